@@ -13,7 +13,7 @@ def or_empty(values: Column) -> Column:
 
 def clean_array(values: Column) -> Column:
     """Trim every element, drop the empty ones, keep the first of each."""
-    return F.array_distinct(F.filter(F.transform(values, F.trim), lambda item: item != ""))
+    return F.array_distinct(F.filter(F.transform(values, lambda item: F.trim(item)), lambda item: item != ""))
 
 
 def argmax(values: Column) -> Column:

@@ -149,8 +149,9 @@ articles AS (SELECT * FROM wiki WHERE {ARTICLE} AND id IS NOT NULL AND nullif(tr
 page_vertices AS (
   SELECT id, min(trim(title, ' ')) AS title, 'page' AS kind FROM articles GROUP BY id),
 mentions AS (
-  SELECT l.id AS src_id, {_norm('l.value')} AS title_norm, count(*) AS mentions
-  FROM links l JOIN articles a ON a.id = l.id GROUP BY ALL HAVING title_norm <> ''),
+  SELECT src_id, title_norm, count(*) AS mentions FROM (
+    SELECT l.id AS src_id, {_norm('l.value')} AS title_norm FROM links l JOIN articles a ON a.id = l.id)
+  WHERE title_norm <> '' GROUP BY src_id, title_norm),
 joined AS (
   SELECT src_id, v.id AS dst_id, mentions FROM mentions m JOIN page_vertices v ON m.title_norm = {_norm('v.title')}),
 link_edges AS (
@@ -237,8 +238,8 @@ SELECT title, CAST(ns AS INTEGER) AS ns, id, redirect, revision_id, timestamp, t
   {joined('templates')}, {joined('external_links')}, {joined('links')} FROM pages_clean p""",
         "sample_page": f"""WITH {PAGES} SELECT id, title, CAST(ns AS INTEGER) AS ns, CAST(length(text) AS INTEGER) AS text_length,
   substring(text_raw, 1, 500) AS raw_head FROM pages_clean WHERE ns = 0 AND text_raw IS NOT NULL ORDER BY id LIMIT 1""",
-        "html_external_links": "WITH "
-        + _captured("external_links", wt.EXTERNAL_LINK_PATTERN, "pages", "page_id", "html")
+        "url_external_links": "WITH "
+        + _captured("external_links", wt.EXTERNAL_LINK_PATTERN, "pages", "page_id", "url")
         + " SELECT page_id, pos, value FROM external_links",
         "clean_array": """WITH parts AS (
   SELECT doc_id, trim(unnest(string_split(text, '.')), ' ') AS value,

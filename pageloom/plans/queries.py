@@ -130,8 +130,8 @@ def _extract(pages: Callable, values: Callable[[Column], Column]) -> Query:
     return lambda spark, sf_dir: _positions(pages(spark, sf_dir), "id", values(F.col("text_raw")))
 
 
-def html_external_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _positions(table(spark, sf_dir, "pages"), "page_id", wikitext.external_links(F.col("html")))
+def url_external_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _positions(table(spark, sf_dir, "pages"), "page_id", wikitext.external_links(F.col("url")))
 
 
 def clean_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,7 +447,7 @@ QUERIES: dict[str, Query] = {
     "markup_templates": _extract(markup_pages, wikitext.templates),
     "markup_external_links": _extract(markup_pages, wikitext.external_links),
     "markup_links": _extract(markup_pages, wikitext.links),
-    "html_external_links": html_external_links,
+    "url_external_links": url_external_links,
     "clean_array": clean_array,
     "markup_counts": markup_counts,
     "clean_text": _clean(wiki_pages),
