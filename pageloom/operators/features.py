@@ -88,12 +88,9 @@ class Vocabulary:
     """
 
     terms: DataFrame  # term_index, term, total_count, doc_freq
+    words: list[str]  # the same terms in index order: the parameter of the vectorizer
     n_docs: int
 
-    def words(self) -> list[str]:
-        """The terms in index order: the parameter of the vectorizer, bounded by ``vocab_size``."""
-        return [row.term for row in self.terms.select("term_index", "term").orderBy("term_index").collect()]
-
 
 def build_vocabulary(
     docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF, max_df: float = MAX_DF
@@ -122,7 +119,7 @@ def build_vocabulary(
     )
     rows = [(index, row.term, row.total_count, row.doc_freq) for index, row in enumerate(kept)]
     schema = "term_index int, term string, total_count bigint, doc_freq bigint"
-    return Vocabulary(spark.createDataFrame(rows, schema), n_docs)
+    return Vocabulary(spark.createDataFrame(rows, schema), [row.term for row in kept], n_docs)
 
 
 def idf_weights(vocabulary: Vocabulary, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
@@ -152,10 +149,9 @@ def build_feature_space(
     times and tokenizing the texts again on each pass would dominate.
     """
     vocabulary = build_vocabulary(docs, vocab_size, min_df, max_df)
-    words = vocabulary.words()
-    if not words:
+    if not vocabulary.words:
         raise ValueError("the vocabulary is empty: too few documents for min_df")
-    vectorizer = CountVectorizerModel.from_vocabulary(words, inputCol="terms", outputCol="tf")
+    vectorizer = CountVectorizerModel.from_vocabulary(vocabulary.words, inputCol="terms", outputCol="tf")
     stages = [*text_stages(), vectorizer]
     counts = PipelineModel(stages).transform(docs).select("id", "title", "tf")
     return FeatureSpace(docs, vocabulary, stages, durable(counts, "term_counts"))

@@ -33,8 +33,8 @@ def pagerank(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vertices = durable(vertices, "vertices")
     links = durable(edges.select("src_id", "dst_id"), "links")
-    degrees = links.groupBy("src_id").agg(F.count("*").alias("out_degree"))
-    heavy = heavy_keys(durable(degrees, "degrees"), "src_id", rows_per_split, rows="out_degree")
+    degrees = durable(links.groupBy("src_id").agg(F.count("*").alias("out_degree")), "degrees")
+    heavy = heavy_keys(degrees, "src_id", rows_per_split, rows="out_degree")
 
     source = ["src_id"]
     if heavy is not None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import arrays, titles, wikitext
 from pageloom.functions import tokens as tk
 from pageloom.operators import articles, features, graph, models, pagerank, stats
-from pageloom.plans.relations import markup_pages, nested_pages, table, wiki_pages
+from pageloom.plans.relations import markup_pages, nested_pages, spread, table, wiki_pages, wiki_texts
 from pageloom.sinks.tables import write_csv, write_model
 from pageloom.sources.mediawiki import parse_pages, project_pages, read_pages
 from pageloom.storage import durable, fresh_path
@@ -141,7 +141,7 @@ def clean_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def markup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.col("text_raw")
-    return wiki_pages(spark, sf_dir).select(
+    return wiki_texts(spark, sf_dir).select(
         "id",
         wikitext.split_count(raw, wikitext.LINK_MARKUP).alias("links"),
         wikitext.split_count(raw, wikitext.CATEGORY_MARKUP).alias("categories"),
@@ -156,7 +156,7 @@ def _clean(pages: Callable, compat: bool = False) -> Query:
 
 
 def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages")).select(
         "page_id", wikitext.clean_wikitext(F.col("html")).alias("text")
     )
 
@@ -203,7 +203,7 @@ def length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_counts_from_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same counts for pages without extracted arrays."""
-    return _round_all(stats.link_counts(stats.page_facts(wiki_pages(spark, sf_dir))))
+    return _round_all(stats.link_counts(stats.page_facts(wiki_texts(spark, sf_dir))))
 
 
 def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,10 +439,10 @@ QUERIES: dict[str, Query] = {
     "page_projection": page_projection,
     "parse_pages": parsed_pages,
     "sample_page": sample_page,
-    "extract_categories": _extract(wiki_pages, wikitext.categories),
-    "extract_templates": _extract(wiki_pages, wikitext.templates),
-    "extract_external_links": _extract(wiki_pages, wikitext.external_links),
-    "extract_links": _extract(wiki_pages, wikitext.links),
+    "extract_categories": _extract(wiki_texts, wikitext.categories),
+    "extract_templates": _extract(wiki_texts, wikitext.templates),
+    "extract_external_links": _extract(wiki_texts, wikitext.external_links),
+    "extract_links": _extract(wiki_texts, wikitext.links),
     "markup_categories": _extract(markup_pages, wikitext.categories),
     "markup_templates": _extract(markup_pages, wikitext.templates),
     "markup_external_links": _extract(markup_pages, wikitext.external_links),
@@ -450,8 +450,8 @@ QUERIES: dict[str, Query] = {
     "url_external_links": url_external_links,
     "clean_array": clean_array,
     "markup_counts": markup_counts,
-    "clean_text": _clean(wiki_pages),
-    "clean_text_compat": _clean(wiki_pages, compat=True),
+    "clean_text": _clean(wiki_texts),
+    "clean_text_compat": _clean(wiki_texts, compat=True),
     "clean_markup": _clean(markup_pages),
     "clean_markup_compat": _clean(markup_pages, compat=True),
     "clean_html": clean_html,

@@ -46,18 +46,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all cores; a larger one as it is.
+
+    A small file with one row group would otherwise keep the whole text work in
+    one task.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").selectExpr(*PAGE_COLUMNS)
 
 
+def wiki_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages for work on their whole text."""
+    return spread(table(spark, sf_dir, "documents")).selectExpr(*PAGE_COLUMNS)
+
+
 def markup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(*MARKUP_COLUMNS)
+    return spread(table(spark, sf_dir, "documents")).selectExpr(*MARKUP_COLUMNS)
 
 
 def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pages in the nested shape of an XML dump."""
     page = F.col
-    return wiki_pages(spark, sf_dir).select(
+    return wiki_texts(spark, sf_dir).select(
         "title",
         "ns",
         "id",
