@@ -28,12 +28,10 @@ def page_vertices(pages: DataFrame) -> DataFrame:
 
 
 def link_mentions(pages: DataFrame, links: Column | str = "links") -> DataFrame:
-    """``src_id, title_norm, mentions``: how often a page links to a normalized title.
+    """``src_id, title_norm``, one row per link, map-only.
 
-    Counted before the titles are resolved: a resolved page has one normalized
-    title, so the count is already the weight of its edge and nothing needs
-    grouping after the join. Pass ``wikitext.link_targets`` of the raw text as
-    ``links`` to count every mention instead of every spelling.
+    Pass ``wikitext.link_targets`` of the raw text as ``links`` to get a row for
+    every mention instead of every spelling.
     """
     source = links if isinstance(links, Column) else F.col(links)
     return (
@@ -41,18 +39,17 @@ def link_mentions(pages: DataFrame, links: Column | str = "links") -> DataFrame:
         .select(F.col("id").cast("bigint").alias("src_id"), F.explode(source).alias("link"))
         .select("src_id", norm_title(F.col("link")).alias("title_norm"))
         .where(F.col("title_norm") != "")
-        .groupBy("src_id", "title_norm")
-        .agg(F.count("*").alias("mentions"))
     )
 
 
 def link_title_join(
     mentions: DataFrame, vertices: DataFrame, rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
-    """Resolve linked titles to page ids: ``src_id, dst_id, mentions``, one row per pair.
+    """Resolve linked titles to page ids: ``src_id, dst_id``, one row per mention and page of that title.
 
     A title that very many pages link to is split over several tasks. Pages that
-    share a normalized title are all linked, each by its own edge.
+    share a normalized title are all linked. ``mentions`` is read twice; pass a
+    written table.
     """
     targets = vertices.select(F.col("id").alias("dst_id"), "title_norm")
     on = ["title_norm"]
@@ -61,18 +58,24 @@ def link_title_join(
         mentions = salt_large_side(mentions, "title_norm", F.col("src_id"), heavy)
         targets = copy_small_side(targets, "title_norm", heavy)
         on.append("salt")
-    return mentions.join(targets, on).select("src_id", "dst_id", "mentions")
+    return mentions.join(targets, on).select("src_id", "dst_id")
 
 
 def link_edges(
     pages: DataFrame, links: Column | str = "links", rows_per_split: int = ROWS_PER_SPLIT
 ) -> DataFrame:
-    """Weighted page-to-page edges without self-loops."""
+    """Page-to-page edges weighted by mentions, without self-loops.
+
+    Counting follows the join, where a row is a pair of ids: that shuffle is
+    narrower than one of titles, and links to missing pages are gone by then.
+    """
     mentions = durable(link_mentions(pages, links), "link_mentions")
     return (
         link_title_join(mentions, page_vertices(pages), rows_per_split)
         .where(F.col("src_id") != F.col("dst_id"))
-        .select("src_id", "dst_id", F.col("mentions").alias("weight"), F.lit("link").alias("edge_type"))
+        .groupBy("src_id", "dst_id")
+        .agg(F.count("*").alias("weight"))
+        .withColumn("edge_type", F.lit("link"))
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.arrays import argmax, label_from_terms
 from pageloom.operators.articles import nlp_docs
 from pageloom.operators.features import FeatureSpace, fit_weighting, vocabulary_table, weighted_features
+from pageloom.operators.skew import broadcast_if_small
 
 LABEL_TERMS = 15
 REPORT_TERMS = 12
@@ -32,7 +33,7 @@ def _terms_of(model: PipelineModel, spark) -> DataFrame:
 
 def _labels_from_ranked(ranked: DataFrame, key: str, terms: DataFrame, extra: Callable[[Column], list[Column]]) -> DataFrame:
     """One row per group from its ranked term indices, ``LABEL_TERMS`` at most."""
-    named = ranked.join(F.broadcast(terms), "term_index")
+    named = ranked.join(terms, "term_index")
     best_first = F.array_sort(F.collect_list(F.struct("rank", "term", "weight")))
     return (
         named.groupBy(key)
@@ -86,12 +87,11 @@ def cluster_labels(model: PipelineModel, spark) -> DataFrame:
 
 
 def group_sizes(assignments: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Documents per cluster or topic with its name, largest first. ``labels`` has k rows."""
-    names = labels.select(key, f"{key}_name")
+    """Documents per cluster or topic with its name, largest first."""
     return (
         assignments.groupBy(key)
         .agg(F.count("*").alias("count"))
-        .join(F.broadcast(names), key, "left")
+        .join(labels.select(key, f"{key}_name"), key, "left")
         .orderBy(F.desc("count"), key)
         .select(key, f"{key}_name", "count")
     )
@@ -99,7 +99,7 @@ def group_sizes(assignments: DataFrame, labels: DataFrame, key: str) -> DataFram
 
 def with_labels(assignments: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """Every assignment with the name of its cluster or topic, if it has one."""
-    return assignments.join(F.broadcast(labels.select(key, f"{key}_name")), key, "left")
+    return assignments.join(broadcast_if_small(labels.select(key, f"{key}_name")), key, "left")
 
 
 def top_terms_report(labels: DataFrame, key: str, n: int = REPORT_TERMS) -> DataFrame:
@@ -150,27 +150,24 @@ def topic_labels(model: PipelineModel, spark) -> DataFrame:
 def top_topics(distributions: DataFrame, labels: DataFrame, n: int = 3) -> DataFrame:
     """The n heaviest topics of every document; the lower topic wins a tie.
 
-    Ranked inside the row: a distribution is an array of k weights, so sorting it
-    there needs no shuffle by document.
+    Each distribution is cut to its n heaviest inside the row, which cannot lose
+    one of the n heaviest of the document, so the ranking by id sorts and
+    shuffles n rows per distribution instead of all k.
     """
     weighted = F.transform(
         "topic_distribution",
         lambda weight, position: F.struct((-weight).alias("order"), position.alias("topic"), weight.alias("weight")),
     )
-    ranked = distributions.select(
-        "id", "title", F.posexplode(F.slice(F.array_sort(weighted), 1, n)).alias("position", "best")
-    )
-    return (
-        ranked.select("id", "title", "position", "best.topic", "best.weight")
-        .join(F.broadcast(labels.select(F.col("topic").cast("int").alias("topic"), "topic_name")), "topic", "left")
-        .select(
-            F.col("id").cast("bigint").alias("id"),
-            F.col("title").cast("string").alias("title"),
-            F.col("topic").cast("int").alias("topic"),
-            "topic_name",
-            F.col("weight").cast("double").alias("topic_weight"),
-            (F.col("position") + 1).alias("topic_rank"),
-        )
+    heaviest = distributions.select("id", "title", F.inline(F.slice(F.array_sort(weighted), 1, n)))
+    by_weight = Window.partitionBy("id").orderBy("order", "topic", "title")
+    ranked = heaviest.withColumn("topic_rank", F.row_number().over(by_weight)).where(F.col("topic_rank") <= n)
+    return with_labels(ranked, labels, "topic").select(
+        F.col("id").cast("bigint").alias("id"),
+        F.col("title").cast("string").alias("title"),
+        F.col("topic").cast("int").alias("topic"),
+        "topic_name",
+        F.col("weight").cast("double").alias("topic_weight"),
+        "topic_rank",
     )
 
 

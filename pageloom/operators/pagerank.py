@@ -28,11 +28,11 @@ def pagerank(
     over the incoming edges. Edges and out-degrees are partitioned by vertex and
     sorted once, so a round shuffles only the contributions, already summed per
     task. A vertex with very many outgoing edges is split over several tasks.
+
+    Both inputs are read more than once; pass written tables.
     """
-    spark = vertices.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vertices = durable(vertices, "vertices")
-    links = durable(edges.select("src_id", "dst_id"), "links")
+    partitions = int(vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = edges.select("src_id", "dst_id")
     degrees = durable(links.groupBy("src_id").agg(F.count("*").alias("out_degree")), "degrees")
     heavy = heavy_keys(degrees, "src_id", rows_per_split, rows="out_degree")
 

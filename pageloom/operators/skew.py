@@ -9,6 +9,16 @@ from pageloom.storage import durable
 
 ROWS_PER_SPLIT = 1_000_000
 MAX_HEAVY_KEYS = 10_000
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark a table for broadcasting once its size is known to be within the limit.
+
+    A larger table comes back unmarked and is joined by whatever strategy the
+    planner picks.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def heavy_keys(

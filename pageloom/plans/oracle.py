@@ -149,13 +149,12 @@ articles AS (SELECT * FROM wiki WHERE {ARTICLE} AND id IS NOT NULL AND nullif(tr
 page_vertices AS (
   SELECT id, min(trim(title, ' ')) AS title, 'page' AS kind FROM articles GROUP BY id),
 mentions AS (
-  SELECT src_id, title_norm, count(*) AS mentions FROM (
-    SELECT l.id AS src_id, {_norm('l.value')} AS title_norm FROM links l JOIN articles a ON a.id = l.id)
-  WHERE title_norm <> '' GROUP BY src_id, title_norm),
+  SELECT l.id AS src_id, {_norm('l.value')} AS title_norm FROM links l JOIN articles a ON a.id = l.id),
 joined AS (
-  SELECT src_id, v.id AS dst_id, mentions FROM mentions m JOIN page_vertices v ON m.title_norm = {_norm('v.title')}),
+  SELECT src_id, v.id AS dst_id FROM mentions m JOIN page_vertices v ON m.title_norm = {_norm('v.title')}),
 link_edges AS (
-  SELECT src_id, dst_id, mentions AS weight, 'link' AS edge_type FROM joined WHERE src_id <> dst_id),
+  SELECT src_id, dst_id, count(*) AS weight, 'link' AS edge_type FROM joined WHERE src_id <> dst_id
+  GROUP BY src_id, dst_id),
 category_edges AS (
   SELECT DISTINCT c.id AS src_id, 'Category:' || c.value AS title, CAST(1 AS BIGINT) AS weight,
     'has_category' AS edge_type FROM categories c JOIN articles a ON a.id = c.id),
