@@ -95,12 +95,10 @@ def _length_measures(value: str, accuracy: int) -> list[Column]:
     def real(measure: Column) -> Column:
         return F.coalesce(measure.cast("double"), F.lit(0.0))
 
+    shares = F.percentile_approx(value, [0.5, 0.9, 0.99], accuracy)  # one sketch serves all three
     return [
         whole(F.min(value)).alias("min"),
-        *(
-            whole(F.percentile_approx(value, share, accuracy)).alias(name)
-            for name, share in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99))
-        ),
+        *(whole(shares[place]).alias(name) for place, name in enumerate(("p50", "p90", "p99"))),
         whole(F.max(value)).alias("max"),
         real(F.avg(value)).alias("avg"),
         real(F.stddev(value)).alias("stddev"),
@@ -142,10 +140,11 @@ def link_counts(facts: DataFrame) -> DataFrame:
 
 
 def link_density_summary(facts: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> DataFrame:
+    links = F.percentile_approx("link_count", [0.5, 0.9], accuracy)
     return link_counts(facts).agg(
         F.min("link_count").alias("min_links"),
-        F.percentile_approx("link_count", 0.5, accuracy).alias("p50_links"),
-        F.percentile_approx("link_count", 0.9, accuracy).alias("p90_links"),
+        links[0].alias("p50_links"),
+        links[1].alias("p90_links"),
         F.max("link_count").alias("max_links"),
         F.avg("links_per_kchar").alias("avg_links_per_kchar"),
         F.percentile_approx("links_per_kchar", 0.9, accuracy).alias("p90_links_per_kchar"),

@@ -50,11 +50,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     with ``from_xml``. No pass over the data is spent on inferring a schema.
     """
     records = spark.read.text(path, lineSep=_PAGE_END)
-    page = F.regexp_extract("value", r"(?s)<page[\s>].*", 0)
+    opening = r"<page[\s>]"
+    page = F.regexp_extract("value", f"(?s){opening}.*", 0)
     return (
-        records.select(page.alias("page"))
-        .where(F.col("page") != "")
-        .select(F.from_xml(F.concat("page", F.lit(_PAGE_END)), PAGE_SCHEMA).alias("page"))
+        records.where(F.col("value").rlike(opening))
+        .select(F.from_xml(F.concat(page, F.lit(_PAGE_END)), PAGE_SCHEMA).alias("page"))
         .select("page.*")
     )
 

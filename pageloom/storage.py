@@ -33,8 +33,12 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or context.getCheckpointDir()).rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, name: str, read_schema: T.StructType | str | None = None) -> DataFrame:
@@ -53,3 +57,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def discard_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once nothing reads them any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
