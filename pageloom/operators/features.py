@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -115,11 +116,10 @@ def build_vocabulary(
         counted.where(F.col("term").isNotNull() & F.col("doc_freq").between(least, most))
         .orderBy(F.desc("total_count"), "term")
         .limit(vocab_size)
-        .collect()
+        .toArrow()
     )
-    rows = [(index, row.term, row.total_count, row.doc_freq) for index, row in enumerate(kept)]
-    schema = "term_index int, term string, total_count bigint, doc_freq bigint"
-    return Vocabulary(spark.createDataFrame(rows, schema), [row.term for row in kept], n_docs)
+    indexed = kept.add_column(0, "term_index", pa.array(range(kept.num_rows), pa.int32()))
+    return Vocabulary(spark.createDataFrame(indexed), kept["term"].to_pylist(), n_docs)
 
 
 def idf_weights(vocabulary: Vocabulary, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
@@ -195,4 +195,5 @@ def tfidf_features(space: FeatureSpace, min_doc_freq: int = MIN_DOC_FREQ) -> Dat
 
 
 def vocabulary_table(spark: SparkSession, words: list[str]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(words)), "term_index int, term string")
+    """``term_index, term`` of a fitted vectorizer."""
+    return spark.createDataFrame(pa.table({"term_index": pa.array(range(len(words)), pa.int32()), "term": words}))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.clustering import LDA, BisectingKMeans, BisectingKMeansModel, LDAModel
@@ -75,7 +76,7 @@ def cluster_labels(model: PipelineModel, spark) -> DataFrame:
     """
     centres = _stage(model, BisectingKMeansModel).clusterCenters()
     table = spark.createDataFrame(
-        [(index, centre.tolist()) for index, centre in enumerate(centres)], "cluster bigint, centre array<double>"
+        pa.table({"cluster": range(len(centres)), "centre": [centre.tolist() for centre in centres]})
     )
     by_weight = Window.partitionBy("cluster").orderBy(F.desc("weight"), "term_index")
     ranked = (

@@ -52,7 +52,8 @@ def pagerank(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        links.count(), nodes.count()
+        for cached in (links, nodes):
+            cached.count()  # a filled cache tells the planner how it is partitioned and sorted
         ranks = nodes.select("id", "out_degree", F.lit(1.0).alias("rank"))
         for step in range(1, max_iter + 1):
             ranks = _one_round(ranks, nodes, links, source, heavy, reset)

@@ -48,6 +48,7 @@ def corpus_stats(pages: DataFrame, out: str | None = None, top_k: int = 30) -> d
     tables["top_tokens"] = stats.top_tokens(pages, top_k)
     if out is not None:
         write_tables(tables, out)
+    tables["overview_ratios"] = stats.overview_ratios(tables["overview"])
     return tables
 
 
@@ -56,7 +57,8 @@ def nlp(
 ) -> dict[str, DataFrame]:
     """Clusters and topics of the documents, from one shared feature space."""
     spark = pages.sparkSession
-    space = features.build_feature_space(articles.nlp_docs(pages))
+    docs = articles.nlp_docs(pages)
+    space = features.build_feature_space(docs)
 
     cluster_model, clustered = models.train_clusters(space, k, max_iter=max_iter)
     clustered = durable(clustered, "cluster_assignments")
@@ -80,6 +82,7 @@ def nlp(
         write_tables(tables, out)
         write_model(cluster_model, under(out, "clusters/model"))
         write_model(topic_model, under(out, "topics/model"))
+    tables["text_head"] = articles.text_head(docs)
     tables["clusters/sizes"] = models.group_sizes(clustered, cluster_names, "cluster")
     tables["clusters/top_terms"] = models.top_terms_report(cluster_names, "cluster")
     tables["topics/prevalence"] = models.group_sizes(topical, topic_names, "topic")

@@ -47,13 +47,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, dealt out to all cores; a larger one as it is.
+    """A scan with fewer splits than cores, dealt out more finely; a larger one as it is.
 
     A small file with one row group would otherwise keep the whole text work in
     one task.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    cores, splits = scan.sparkSession.sparkContext.defaultParallelism, scan.rdd.getNumPartitions()
+    return scan if splits >= cores else scan.repartition(min(cores, 8 * splits))
 
 
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ def test_full_pipeline(spark, dump, pages, tmp_path, monkeypatch):
     assert written.drop("timestamp").exceptAll(pages.drop("timestamp")).isEmpty()
     assert written.count() == pages.count()
 
+    assert result["stats"].pop("overview_ratios").count() == 1
+    assert result["nlp"]["text_head"].count() == 3
     for name, table in result["stats"].items():
         assert read(name).columns == table.columns and read(name).count() == table.count()
     overview = read("overview").first()
