@@ -1,8 +1,12 @@
-"""Runs registered queries next to their SQL twins and compares rows."""
+"""Runs registered queries next to their SQL twins and compares rows.
+
+``PYTHONPATH=. python tests/oracle_check.py DATA_FOLDER [QUERY ...]``
+"""
 
 from __future__ import annotations
 
 import math
+import sys
 import time
 from collections import Counter
 from pathlib import Path
@@ -10,6 +14,8 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
+import __spark_entry__ as contract
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
@@ -51,21 +57,24 @@ def differences(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
     ]
 
 
-def main(spark: SparkSession, sf_dir: str, names: list[str], queries, oracle) -> int:
+def main(sf_dir: str, names: list[str]) -> int:
+    """Print the state and time of the named queries, or of all."""
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    queries, oracle = contract.queries(), contract.oracle_sql()
     connection, failed = connect(sf_dir), 0
     for name in names or queries:
         start = time.time()
         try:
             df = queries[name](spark, sf_dir)
-            if name in oracle:
-                found = differences(df, connection, oracle[name])
-                state = "match" if not found else f"DIFF {found}"
-            else:
-                found = [] if (rows := df.count()) else ["no rows"]
-                state = f"rows {rows}"
+            found = differences(df, connection, oracle[name]) if name in oracle else []
+            state = "DIFF" if found else "match" if name in oracle else f"rows {df.count()}"
         except Exception as error:
-            found = state = f"ERROR {str(error)[:700]}"
+            found, state = [str(error)[:700]], "ERROR"
         failed += bool(found)
-        print(f"{name:32s} {time.time() - start:6.2f}s {state}", flush=True)
+        print(f"{name:32s} {time.time() - start:6.2f}s {state} {found or ''}", flush=True)
     print("failed:", failed)
     return failed
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1], sys.argv[2:]) > 0)

@@ -89,6 +89,15 @@ def test_a_hot_key_is_listed_and_split(spark):
     assert skew.heavy_keys(mentions, "title_norm", rows_per_split=1000) is None
 
 
+def test_only_small_tables_are_marked_for_broadcast(spark):
+    def plan(df):
+        joined = spark.range(10).join(df, "id")
+        return joined._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(skew.broadcast_if_small(spark.range(5), max_rows=5))
+    assert "strategy=broadcast" not in plan(skew.broadcast_if_small(spark.range(6), max_rows=5))
+
+
 def brute_ranks(nodes, edges, rounds=10, reset=0.15):
     out = Counter(src for src, _ in edges)
     rank = dict.fromkeys(nodes, 1.0)
