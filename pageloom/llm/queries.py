@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.llm import bin_completion, token_files
+from pageloom.llm import bin_completion, cross_parsing, near_copies, subword_classifier, token_files
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
 
@@ -29,13 +29,30 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return subword_classifier.classify(docs, subword_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = bin_completion.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
     return bin_completion.packed(durable(parts, "pieces"))
 
 
+def op8_minhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, sf_dir, "documents"), shingle=2)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cross_parsing.identify(docs, cross_parsing.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op3_quality_classifier": op3_quality_classifier,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_minhash_near_copies": op8_minhash_near_copies,
+    "op9_language_id": op9_language_id,
 }
 ORACLE_SQL: dict[str, str] = {}

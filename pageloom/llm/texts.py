@@ -63,6 +63,18 @@ def map_texts(
     return docs.mapInArrow(run, schema)
 
 
+def keep_rows(docs: DataFrame, decide: Callable[[list[str | None]], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows whose text ``decide`` says to keep, with all their columns; no shuffle, no join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            kept = part.filter(pa.array(decide(part.column(text).to_pylist()), pa.bool_()))
+            if kept.num_rows:
+                yield kept
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def lower_ascii(text: str) -> str:
     """A-Z in lower case and nothing else changed."""
     return text.lower() if text.isascii() else text.translate(_LOWER)
