@@ -18,7 +18,9 @@ from tokenizers import Tokenizer
 OTHER_BLANKS = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"]
 ASCII_BLANKS = [c for c in OTHER_BLANKS if c.isascii()]
 #: Remembered chunks of a worker, about 200 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
+#: Marks that, behind letters, are always pieces of their own: no merge crosses from a letter to a mark.
+TAIL = ".,;:!?%$*&#|"
 
 
 def is_plain(text: str) -> bool:
@@ -64,26 +66,59 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         self.numbers = _Numbers()
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
+        self.tails: dict[str, np.ndarray] = {}
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _room(self, ids: int) -> int:
+        """Make room for more ids; the place where they go."""
+        at = self.used
+        self.used += ids
+        while self.used > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        return at
 
     def _learn(self) -> None:
-        """Ids of the waiting chunks; chunk i owns flat[ends[i]:ends[i + 1]]."""
+        """Ids of the waiting chunks; chunk i owns flat[begin[i]:begin[i] + size[i]]."""
         fresh = self.numbers.fresh
         if not fresh:
             return
+        whole: list[int] = []
+        tailed: dict[str, tuple[list[int], list[int]]] = {}
+        number, first = self.numbers.__getitem__, len(self.numbers) - len(fresh)
+        at = 0
+        while at < len(fresh):  # cores join the waiting chunks as they come up
+            chunk = fresh[at]
+            core = chunk.rstrip(TAIL)
+            if len(core) < len(chunk) and core.isalpha():
+                mine = tailed.setdefault(chunk[len(core) :], ([], []))
+                mine[0].append(first + at)
+                mine[1].append(number(core))
+            else:
+                whole.append(at)
+            at += 1
+        while len(self.numbers) > len(self.begin):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
         blank = " " if self.keeps_blanks else ""
-        found = self._library([c if c[0] == "\n" else blank + c for c in fresh])
+        found = self._library([c if c[0] == "\n" else blank + c for c in map(fresh.__getitem__, whole)])
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        first = len(self.numbers) - len(fresh)
-        used = int(self.ends[first])
-        total = used + int(sizes.sum())
-        while total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while len(self.numbers) + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[used:total] = np.fromiter(chain.from_iterable(found), np.uint32, total - used)
-        self.ends[first + 1 : len(self.numbers) + 1] = used + np.cumsum(sizes)
+        total = int(sizes.sum())
+        begin = self._room(total)
+        self.flat[begin : begin + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        places = np.array(whole, np.int64) + first
+        self.begin[places], self.size[places] = begin + np.cumsum(sizes) - sizes, sizes
+        for tail, (chunks, cores) in tailed.items():
+            if tail not in self.tails:
+                self.tails[tail] = np.array(self._library([tail])[0], np.uint32)
+            ids = self.tails[tail]
+            from_, own = self.begin[cores], self.size[cores]
+            size = own + len(ids)
+            start = self._room(int(size.sum())) + np.cumsum(size) - size
+            within = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+            self.flat[np.repeat(start, own) + within] = self.flat[np.repeat(from_, own) + within]
+            self.flat[(start + own)[:, None] + np.arange(len(ids))] = ids
+            self.begin[chunks], self.size[chunks] = start, size
         self.numbers.fresh = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +142,7 @@ class ChunkEncoder:
             upto[i + 1] = len(run)
         self._learn()
         chunks = np.array(run, np.int64)
-        begin, size = self.ends[chunks], self.ends[chunks + 1] - self.ends[chunks]
+        begin, size = self.begin[chunks], self.size[chunks]
         if self.keeps_blanks:  # a text's first chunk was looked up behind a line end that the text doesn't have
             leading = upto[:-1][np.diff(upto) > 0]
             begin[leading] += self.line_end
