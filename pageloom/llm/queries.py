@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.llm import bin_completion, cross_parsing, near_copies, subword_classifier, token_files
+from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, near_copies, subword_classifier, token_files
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
 
@@ -48,11 +48,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_parsing.identify(docs, cross_parsing.train(docs))
 
 
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_minhash_near_copies": op8_minhash_near_copies,
     "op9_language_id": op9_language_id,
+    "op10_benchmark_leaks": op10_benchmark_leaks,
 }
 ORACLE_SQL: dict[str, str] = {}
