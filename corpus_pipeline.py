@@ -1,19 +1,69 @@
-"""Documents to packed training sequences: the operators of ``pageloom.llm`` in a row."""
+"""Documents to packed training sequences: five operators of ``pageloom.llm`` in a row.
+
+Each stage takes whole documents and hands on whole documents with all their columns; the last returns packed pieces.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pageloom.llm import bin_completion
-from pageloom.llm.queries import vocabulary
-from pageloom.llm.texts import importable
+from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, near_copies, subword_classifier
+from pageloom.llm.queries import table, vocabulary
+from pageloom.llm.texts import importable, keep_rows
+from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a learned language; ``und`` goes: null, empty, or without a letter."""
+    importable(spark)
+    shared = spark.sparkContext.broadcast(cross_parsing.train(docs))
+
+    def keep(texts: list[str | None]) -> np.ndarray:
+        return np.array([label != cross_parsing.UNDETERMINED for label in cross_parsing.predict(texts, shared.value)[0]], bool)
+
+    return keep_rows(docs, keep)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least 0.3 for the quality label; rows held out of the training keep out of it here too."""
+    model = subword_classifier.train(docs, table(spark, sf_dir, "labels"))
+    shared = spark.sparkContext.broadcast((model, model.margins()))
+
+    def keep(texts: list[str | None]) -> np.ndarray:
+        own, margins = shared.value
+        return own.score([t or "" for t in texts], margins) >= subword_classifier.THRESHOLD
+
+    return keep_rows(docs, keep)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near copies (five-word shingles, 0.8), once if its row repeats."""
+    importable(spark)
+    copies = near_copies.near_copies(docs).where("not kept").select(F.col("doc_id").alias("copy")).distinct()
+    gone = durable(copies, "copies")
+    # Ids that go are the fewer; rows that repeat as a whole share one id and one text.
+    left = docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(gone["copy"]), "left_anti")
+    repeated = left.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
+    again = durable(repeated, "repeated")
+    if again.isEmpty():
+        return left
+    single = left.join(broadcast_if_small(again), left["doc_id"].eqNullSafe(again["again"]), "left_anti")
+    several = left.join(broadcast_if_small(again), left["doc_id"].eqNullSafe(again["again"]), "left_semi")
+    return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return benchmark_leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids: one row for each piece of a document with its place."""
     importable(spark)
@@ -21,7 +71,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bin_completion.packed(durable(parts, "pieces"))
 
 
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("quality_classifier", quality),
+    ("minhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontamination),
+    ("best_fit_packing", pack),
+]
+#: No SQL: learned models, tokenizer ids and packing. The tests hold the result against plain Python.
 ORACLE_SQL = None
 
 
