@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, near_copies, subword_classifier, token_files
+from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, interpolated_lm, near_copies, subword_classifier, token_files
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
 
@@ -34,6 +34,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_classifier.classify(docs, subword_classifier.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = bin_completion.pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
     return bin_completion.packed(durable(parts, "pieces"))
@@ -55,6 +59,7 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_quality_classifier": op3_quality_classifier,
+    "op5_interpolated_lm": op5_interpolated_lm,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_minhash_near_copies": op8_minhash_near_copies,
     "op9_language_id": op9_language_id,
