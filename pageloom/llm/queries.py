@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, interpolated_lm, near_copies, subword_classifier, token_files
+from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, cross_polytope, interpolated_lm, near_copies, piece_counts, subword_classifier, token_files
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
 
@@ -29,6 +29,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counter = piece_counts.from_sentencepiece(vocabulary("piece_bpe_32k.model"))
+    return piece_counts.count_pieces(table(spark, sf_dir, "documents"), counter)
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return subword_classifier.classify(docs, subword_classifier.train(docs, table(spark, sf_dir, "labels")))
@@ -43,6 +48,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_completion.packed(durable(parts, "pieces"))
 
 
+def op7_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"), shingle=2)
 
@@ -58,9 +67,11 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_piece_counts": op2_piece_counts,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_interpolated_lm": op5_interpolated_lm,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_cross_polytope": op7_cross_polytope,
     "op8_minhash_near_copies": op8_minhash_near_copies,
     "op9_language_id": op9_language_id,
     "op10_benchmark_leaks": op10_benchmark_leaks,
