@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, cross_polytope, interpolated_lm, near_copies, piece_counts, subword_classifier, token_files
+from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, cross_polytope, interpolated_lm, main_text, near_copies, piece_counts, subword_classifier, token_files
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
 
@@ -39,6 +39,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_classifier.classify(docs, subword_classifier.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_piece_counts": op2_piece_counts,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_main_text": op4_main_text,
     "op5_interpolated_lm": op5_interpolated_lm,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_cross_polytope": op7_cross_polytope,
