@@ -13,8 +13,7 @@ def non_empty(text: Column) -> Column:
 
 def norm_title(title: Column) -> Column:
     """Key under which spellings of one title meet: blanks for underscores, one blank per run, lower case."""
-    spaced = F.regexp_replace(F.trim(title.cast("string")), r"_+", " ")
-    return F.lower(F.regexp_replace(spaced, r"\s+", " "))
+    return F.lower(F.regexp_replace(F.trim(title.cast("string")), r"[\s_]+", " "))
 
 
 def category_title(name: Column) -> Column:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions import tokens as tk
+from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
 VOCAB_SIZE = 50_000
@@ -31,25 +32,28 @@ MIN_DOC_FREQ = 10
 SPARSE_VECTOR = "struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
 
 
-def term_arrays(docs: DataFrame, stop_words: list[str] | None = None) -> DataFrame:
-    """Documents with ``tokens_raw, tokens, bigrams, terms`` as native array columns."""
+def term_arrays(docs: DataFrame, stop_words: list[str] | None = None, separator: str = tk.LETTERS_ONLY) -> DataFrame:
+    """Documents with ``tokens_raw, tokens, bigrams, terms`` as native array columns.
+
+    ``tokens.UNICODE_LETTERS`` as ``separator`` keeps letters of every script.
+    """
     words = tk.extended_stop_words() if stop_words is None else stop_words
     return (
-        docs.withColumn("tokens_raw", tk.tokens(F.col("text")))
+        docs.withColumn("tokens_raw", tk.tokens(F.col("text"), separator))
         .withColumn("tokens", tk.without_stop_words(F.col("tokens_raw"), words))
         .withColumn("bigrams", tk.bigrams(F.col("tokens")))
         .withColumn("terms", F.concat("tokens", "bigrams"))
     )
 
 
-def text_stages(stop_words: list[str] | None = None) -> list:
+def text_stages(stop_words: list[str] | None = None, separator: str = tk.LETTERS_ONLY) -> list:
     """The same arrays as ML stages, to be saved inside a model."""
     words = tk.extended_stop_words() if stop_words is None else stop_words
     return [
         RegexTokenizer(
             inputCol="text",
             outputCol="tokens_raw",
-            pattern=tk.LETTERS_ONLY,
+            pattern=separator,
             toLowercase=True,
             minTokenLength=tk.MIN_TOKEN_LENGTH,
         ),
@@ -59,7 +63,7 @@ def text_stages(stop_words: list[str] | None = None) -> list:
     ]
 
 
-def term_statistics(docs: DataFrame) -> DataFrame:
+def term_statistics(docs: DataFrame, separator: str = tk.LETTERS_ONLY) -> DataFrame:
     """``term, total_count, doc_freq`` of every term, and a null term that counts the documents.
 
     A document adds one row per occurrence and one per distinct term, both made
@@ -74,7 +78,7 @@ def term_statistics(docs: DataFrame) -> DataFrame:
         lambda term: F.struct(term.alias("term"), F.lit(0).alias("seen"), F.lit(1).alias("doc")),
     )
     return (
-        term_arrays(docs)
+        term_arrays(docs, separator=separator)
         .select(F.inline(F.concat(occurrences, distinct)))
         .groupBy("term")
         .agg(F.sum("seen").alias("total_count"), F.sum("doc").alias("doc_freq"))
@@ -94,14 +98,18 @@ class Vocabulary:
 
 
 def build_vocabulary(
-    docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF, max_df: float = MAX_DF
+    docs: DataFrame,
+    vocab_size: int = VOCAB_SIZE,
+    min_df: float = MIN_DF,
+    max_df: float = MAX_DF,
+    separator: str = tk.LETTERS_ONLY,
 ) -> Vocabulary:
     """The most frequent terms within the document-frequency limits; ties go to the smaller term.
 
     Limits below 1 are shares of the documents, others are document counts.
     """
     spark = docs.sparkSession
-    counted = term_statistics(docs)
+    counted = term_statistics(docs, separator)
     if min_df >= 1:
         counted = counted.where(F.col("term").isNull() | (F.col("doc_freq") >= min_df))
     counted = durable(counted, "term_statistics")
@@ -112,16 +120,31 @@ def build_vocabulary(
     most = max_df if max_df >= 1 else max_df * n_docs
     if least > most:
         raise ValueError(f"min_df {min_df} and max_df {max_df} leave no term for {n_docs} documents")
-    kept = (
-        counted.where(F.col("term").isNotNull() & F.col("doc_freq").between(least, most))
-        .orderBy(F.desc("total_count"), "term")
-        .limit(vocab_size)
-        .toArrow()
-    )
+    fit = counted.where(F.col("term").isNotNull() & F.col("doc_freq").between(least, most))
+    kept = _most_frequent(fit, vocab_size).orderBy(F.desc("total_count"), "term").limit(vocab_size).toArrow()
     indexed = kept.add_column(0, "term_index", pa.array(range(kept.num_rows), pa.int32()))
     return Vocabulary(spark.createDataFrame(indexed), kept["term"].to_pylist(), n_docs)
 
 
+def _most_frequent(terms: DataFrame, size: int) -> DataFrame:
+    """The terms that a top ``size`` by count can hold: those above a cut-off that a histogram of the counts gives.
+
+    Counts are told apart to a 64th of a power of two, so the histogram has a
+    few thousand rows at most. What is left is the top and the rest of its last
+    step, not ``size`` rows from each partition.
+    """
+    power = F.floor(F.log2("total_count"))
+    step = (F.floor(F.col("total_count") / F.pow(F.lit(2.0), power) * 64) + power * 64).cast("bigint")
+    stepped = terms.withColumn("step", step)
+    rows = stepped.groupBy("step").agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
+    passed = 0
+    for row in rows:
+        passed += row["rows"]
+        if passed >= size:
+            return stepped.where(F.col("step") >= row["step"]).drop("step")
+    return terms
+
+
 def idf_weights(vocabulary: Vocabulary, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
     """Inverse document frequency per term, 0 for terms in fewer than ``min_doc_freq`` documents."""
     weight = F.log((F.lit(vocabulary.n_docs) + 1) / (F.col("doc_freq") + 1))
@@ -138,58 +161,60 @@ class FeatureSpace:
     vocabulary: Vocabulary
     count_stages: list  # text -> tf
     counts: DataFrame  # id, title, tf; a written table
+    weighting: list  # tf -> tfidf -> features
+    features: DataFrame  # id, title, features; a written table
 
 
 def build_feature_space(
-    docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF, max_df: float = MAX_DF
+    docs: DataFrame,
+    vocab_size: int = VOCAB_SIZE,
+    min_df: float = MIN_DF,
+    max_df: float = MAX_DF,
+    separator: str = tk.LETTERS_ONLY,
+    min_doc_freq: int = MIN_DOC_FREQ,
 ) -> FeatureSpace:
-    """Vocabulary and term-count vectors of the documents.
+    """Vocabulary, term-count vectors and weighted vectors of the documents.
 
-    The vectors are written as a table, because training passes over them many
+    The vectors are written as tables, because training passes over them many
     times and tokenizing the texts again on each pass would dominate.
     """
-    vocabulary = build_vocabulary(docs, vocab_size, min_df, max_df)
+    vocabulary = build_vocabulary(docs, vocab_size, min_df, max_df, separator)
     if not vocabulary.words:
         raise ValueError("the vocabulary is empty: too few documents for min_df")
     vectorizer = CountVectorizerModel.from_vocabulary(vocabulary.words, inputCol="terms", outputCol="tf")
-    stages = [*text_stages(), vectorizer]
-    counts = PipelineModel(stages).transform(docs).select("id", "title", "tf")
-    return FeatureSpace(docs, vocabulary, stages, durable(counts, "term_counts"))
+    stages = [*text_stages(separator=separator), vectorizer]
+    counts = durable(PipelineModel(stages).transform(docs).select("id", "title", "tf"), "term_counts")
+    weighting = fit_weighting(counts, min_doc_freq)
+    weighted = PipelineModel(weighting).transform(counts).select("id", "title", "features")
+    return FeatureSpace(docs, vocabulary, stages, counts, weighting, durable(weighted, "features"))
 
 
-def fit_weighting(space: FeatureSpace, min_doc_freq: int = MIN_DOC_FREQ) -> list:
+def fit_weighting(counts: DataFrame, min_doc_freq: int = MIN_DOC_FREQ) -> list:
     """IDF and L2 normalization: tf -> tfidf -> features."""
-    idf: IDFModel = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_doc_freq).fit(space.counts)
+    idf: IDFModel = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_doc_freq).fit(counts)
     return [idf, Normalizer(inputCol="tfidf", outputCol="features", p=2.0)]
 
 
-def weighted_features(space: FeatureSpace, weighting: list) -> DataFrame:
-    """``id, title, features`` as a written table."""
-    features = PipelineModel(weighting).transform(space.counts).select("id", "title", "features")
-    return durable(features, "features")
-
-
-def vector_entries(vectors: DataFrame, column: str, keys: list[str]) -> DataFrame:
-    """The non-zero entries of a sparse vector column, one row each.
+def vector_entries(table: DataFrame, column: str, keys: list[str]) -> DataFrame:
+    """The non-zero entries of a sparse vector column of a written table, one row each.
 
     Spark reads vectors as rows only through dense arrays of the vocabulary's
-    size; the written table is read as the struct it holds instead.
+    size; the table's files are read as the struct they hold instead.
     """
-    key_fields = ", ".join(f"{name} {vectors.schema[name].dataType.simpleString()}" for name in keys)
-    table = durable(vectors.select(*keys, column), column, f"{key_fields}, {column} {SPARSE_VECTOR}")
+    fields = ", ".join(f"{name} {table.schema[name].dataType.simpleString()}" for name in keys)
+    plain = table.sparkSession.read.schema(f"{fields}, {column} {SPARSE_VECTOR}").parquet(*table.inputFiles())
     pairs = F.arrays_zip(f"{column}.indices", f"{column}.values")
-    entry = table.select(*keys, F.explode(pairs).alias("entry"))
+    entry = plain.select(*keys, F.explode(pairs).alias("entry"))
     return entry.select(*keys, F.col("entry.indices").alias("term_index"), F.col("entry.values").alias("weight"))
 
 
-def tfidf_features(space: FeatureSpace, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
-    """Normalized TF-IDF weights as ``id, term, weight`` rows."""
-    features = PipelineModel(fit_weighting(space, min_doc_freq)).transform(space.counts)
+def tfidf_features(space: FeatureSpace) -> DataFrame:
+    """Normalized TF-IDF weights as ``id, term, weight`` rows, from the written vectors."""
     terms = space.vocabulary.terms.select("term_index", "term")
     return (
-        vector_entries(features, "features", ["id"])
+        vector_entries(space.features, "features", ["id"])
         .where(F.col("weight") != 0)
-        .join(F.broadcast(terms), "term_index")
+        .join(broadcast_if_small(terms), "term_index")
         .select("id", "term", "weight")
     )
 

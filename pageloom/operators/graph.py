@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.titles import category_title, non_empty, norm_title, stable_node_id
+from pageloom.functions.wikitext import link_targets
 from pageloom.operators.articles import article_filter, require_columns
-from pageloom.operators.skew import ROWS_PER_SPLIT, copy_small_side, heavy_keys, salt_large_side
+from pageloom.operators.skew import ROWS_PER_SPLIT, join_split
 from pageloom.storage import durable
 
 
@@ -33,6 +34,8 @@ def link_mentions(pages: DataFrame, links: Column | str = "links") -> DataFrame:
     Pass ``wikitext.link_targets`` of the raw text as ``links`` to get a row for
     every mention instead of every spelling.
     """
+    if isinstance(links, str):
+        require_columns(pages, (links,))
     source = links if isinstance(links, Column) else F.col(links)
     return (
         _linkable(pages)
@@ -47,18 +50,12 @@ def link_title_join(
 ) -> DataFrame:
     """Resolve linked titles to page ids: ``src_id, dst_id``, one row per mention and page of that title.
 
-    A title that very many pages link to is split over several tasks. Pages that
-    share a normalized title are all linked. ``mentions`` is read twice; pass a
-    written table.
+    Pages that share a normalized title are all linked. A title whose mentions
+    times pages are very many is split over several tasks. Both inputs are read
+    twice; pass written tables.
     """
     targets = vertices.select(F.col("id").alias("dst_id"), "title_norm")
-    on = ["title_norm"]
-    heavy = heavy_keys(mentions, "title_norm", rows_per_split)
-    if heavy is not None:
-        mentions = salt_large_side(mentions, "title_norm", F.col("src_id"), heavy)
-        targets = copy_small_side(targets, "title_norm", heavy)
-        on.append("salt")
-    return mentions.join(targets, on).select("src_id", "dst_id")
+    return join_split(mentions, targets, "title_norm", F.col("src_id"), rows_per_split).select("src_id", "dst_id")
 
 
 def link_edges(
@@ -71,7 +68,7 @@ def link_edges(
     """
     mentions = durable(link_mentions(pages, links), "link_mentions")
     return (
-        link_title_join(mentions, page_vertices(pages), rows_per_split)
+        link_title_join(mentions, durable(page_vertices(pages), "page_vertices"), rows_per_split)
         .where(F.col("src_id") != F.col("dst_id"))
         .groupBy("src_id", "dst_id")
         .agg(F.count("*").alias("weight"))
@@ -91,24 +88,29 @@ def _memberships(pages: DataFrame) -> DataFrame:
 
 
 def category_vertices(pages: DataFrame) -> DataFrame:
-    """One vertex per category. Counts of a hot category shrink to one row per task before the shuffle."""
-    return (
-        _memberships(pages)
-        .groupBy(F.col("dst_id").alias("id"))
-        .agg(F.min("title").alias("title"))
-        .select("id", "title", F.lit("category").alias("kind"), norm_title(F.col("title")).alias("title_norm"))
+    """One vertex per category: distinct titles by hash, so a hot category is one row of each task."""
+    titles = _memberships(pages).select("title").distinct()
+    return titles.select(
+        stable_node_id("category", F.col("title")).alias("id"),
+        "title",
+        F.lit("category").alias("kind"),
+        norm_title(F.col("title")).alias("title_norm"),
     )
 
 
-def category_edges(pages: DataFrame) -> DataFrame:
+def named_category_edges(pages: DataFrame) -> DataFrame:
+    """Category edges that carry the title of their end, so that it need not be joined back."""
     return (
         _memberships(pages)
-        .select("src_id", "dst_id")
         .distinct()
-        .select("src_id", "dst_id", F.lit(1).cast("bigint").alias("weight"), F.lit("has_category").alias("edge_type"))
+        .select("src_id", "dst_id", "title", F.lit(1).cast("bigint").alias("weight"), F.lit("has_category").alias("edge_type"))
     )
 
 
+def category_edges(pages: DataFrame) -> DataFrame:
+    return named_category_edges(pages).drop("title")
+
+
 def graph_vertices(pages: DataFrame) -> DataFrame:
     """``id, title, kind`` of all pages and, if the pages have categories, all categories."""
     vertices = page_vertices(pages)
@@ -117,9 +119,10 @@ def graph_vertices(pages: DataFrame) -> DataFrame:
     return vertices.select("id", "title", "kind")
 
 
-def graph_edges(pages: DataFrame, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """``src_id, dst_id, weight, edge_type`` of all edges."""
-    edges = link_edges(pages, rows_per_split=rows_per_split)
+def graph_edges(pages: DataFrame, every_mention: bool = False, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """``src_id, dst_id, weight, edge_type`` of all edges; ``every_mention`` counts mentions, not spellings."""
+    links = link_targets(F.col("text_raw")) if every_mention else "links"
+    edges = link_edges(pages, links, rows_per_split)
     if "categories" in pages.columns:
         edges = edges.unionByName(category_edges(pages))
     return edges

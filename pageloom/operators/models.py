@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Model, PipelineModel
@@ -15,13 +16,23 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.arrays import argmax, label_from_terms
 from pageloom.operators.articles import nlp_docs
-from pageloom.operators.features import FeatureSpace, fit_weighting, vocabulary_table, weighted_features
+from pageloom.operators.features import FeatureSpace, vocabulary_table
 from pageloom.operators.skew import broadcast_if_small
+from pageloom.storage import durable
 
 LABEL_TERMS = 15
 REPORT_TERMS = 12
 SEED = 42
 MAX_ITER = 40
+TRAINING_PARTITIONS = 32
+
+
+def fixed_layout(rows: DataFrame, partitions: int) -> DataFrame:
+    """The same rows in the same partitions and order, however the input was dealt.
+
+    Training draws and sums by partition, so the layout is part of the seed.
+    """
+    return rows.repartition(partitions, "id").sortWithinPartitions("id", "title")
 
 
 def _stage(model: PipelineModel, kind: type) -> Model:
@@ -33,7 +44,7 @@ def _terms_of(model: PipelineModel, spark) -> DataFrame:
 
 
 def _labels_from_ranked(ranked: DataFrame, key: str, terms: DataFrame, extra: Callable[[Column], list[Column]]) -> DataFrame:
-    """One row per group from its ranked term indices, ``LABEL_TERMS`` at most."""
+    """One row per group from its ranked term indices, a label's worth of them."""
     named = ranked.join(terms, "term_index")
     best_first = F.array_sort(F.collect_list(F.struct("rank", "term", "weight")))
     return (
@@ -52,11 +63,17 @@ def _labels_from_ranked(ranked: DataFrame, key: str, terms: DataFrame, extra: Ca
 
 
 def train_clusters(
-    space: FeatureSpace, k: int = 10, seed: int = SEED, max_iter: int = MAX_ITER
+    space: FeatureSpace,
+    k: int = 10,
+    seed: int = SEED,
+    max_iter: int = MAX_ITER,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Bisecting k-means over TF-IDF features: the saved-ready model and ``id, title, cluster``."""
-    weighting = fit_weighting(space)
-    features = weighted_features(space, weighting)
+    """Bisecting k-means over TF-IDF features: the saved-ready model and ``id, title, cluster``.
+
+    ``partitions`` fixes the training layout, on which the clusters depend; raise it with the data.
+    """
+    features = durable(fixed_layout(space.features, partitions), "training_features")
     clustering = BisectingKMeans(
         featuresCol="features",
         predictionCol="cluster",
@@ -65,24 +82,24 @@ def train_clusters(
         minDivisibleClusterSize=1.0,
         maxIter=max_iter,
     ).fit(features)
-    model = PipelineModel([*space.count_stages, *weighting, clustering])
+    model = PipelineModel([*space.count_stages, *space.weighting, clustering])
     return model, clustering.transform(features).select("id", "title", "cluster")
 
 
-def cluster_labels(model: PipelineModel, spark) -> DataFrame:
-    """``cluster, cluster_name, top_terms`` from the heaviest terms of every centre.
+def cluster_labels(model: PipelineModel, spark, n: int = LABEL_TERMS) -> DataFrame:
+    """``cluster, cluster_name, top_terms`` from the ``n`` heaviest terms of every centre.
 
     A centre is as long as the vocabulary, which its size limit bounds.
     """
     centres = _stage(model, BisectingKMeansModel).clusterCenters()
-    table = spark.createDataFrame(
-        pa.table({"cluster": range(len(centres)), "centre": [centre.tolist() for centre in centres]})
-    )
+    ends = np.cumsum([0, *map(len, centres)])
+    values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(centres)))
+    table = spark.createDataFrame(pa.table({"cluster": pa.array(range(len(centres)), pa.int64()), "centre": values}))
     by_weight = Window.partitionBy("cluster").orderBy(F.desc("weight"), "term_index")
     ranked = (
         table.select("cluster", F.posexplode("centre").alias("term_index", "weight"))
         .withColumn("rank", F.row_number().over(by_weight))
-        .where(F.col("rank") <= LABEL_TERMS)
+        .where(F.col("rank") <= n)
     )
     return _labels_from_ranked(ranked, "cluster", _terms_of(model, spark), lambda best: [])
 
@@ -111,10 +128,17 @@ def top_terms_report(labels: DataFrame, key: str, n: int = REPORT_TERMS) -> Data
 
 
 def train_topics(
-    space: FeatureSpace, k: int = 10, seed: int = SEED, max_iter: int = MAX_ITER
+    space: FeatureSpace,
+    k: int = 10,
+    seed: int = SEED,
+    max_iter: int = MAX_ITER,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Online LDA over term counts: the saved-ready model and ``id, title, topic, topic_distribution``."""
-    counts = space.counts.select("tf").persist(StorageLevel.MEMORY_AND_DISK)
+    """Online LDA over term counts: the saved-ready model and ``id, title, topic, topic_distribution``.
+
+    ``partitions`` fixes the training layout, on which the topics depend; raise it with the data.
+    """
+    counts = fixed_layout(space.counts, partitions).select("tf").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         lda = LDA(
             k=k,
@@ -136,9 +160,9 @@ def topic_assignments(scored: DataFrame) -> DataFrame:
     return distribution.select("id", "title", argmax(F.col("topic_distribution")).alias("topic"), "topic_distribution")
 
 
-def topic_labels(model: PipelineModel, spark) -> DataFrame:
-    """``topic, topic_name, top_terms, term_weights`` from the heaviest terms of every topic."""
-    described = _stage(model, LDAModel).describeTopics(LABEL_TERMS)
+def topic_labels(model: PipelineModel, spark, n: int = LABEL_TERMS) -> DataFrame:
+    """``topic, topic_name, top_terms, term_weights`` from the ``n`` heaviest terms of every topic."""
+    described = _stage(model, LDAModel).describeTopics(n)
     entry = F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "entry")
     ranked = described.select(F.col("topic").cast("bigint").alias("topic"), entry).select(
         "topic", "rank", F.col("entry.termIndices").alias("term_index"), F.col("entry.termWeights").alias("weight")

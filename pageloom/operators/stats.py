@@ -177,10 +177,10 @@ def token_counts(texts: DataFrame, text: Column, stop_words: list[str], separato
     )
 
 
-def top_tokens(pages: DataFrame, top_k: int = 30) -> DataFrame:
-    """Most frequent tokens of the articles, 25 at most."""
+def top_tokens(pages: DataFrame, top_k: int = 25) -> DataFrame:
+    """The ``top_k`` most frequent tokens of the articles."""
     counts = token_counts(article_filter(pages), stats_text(pages), tk.english_stop_words())
-    return counts.orderBy(F.desc("count"), "token").limit(min(top_k, 25))
+    return counts.orderBy(F.desc("count"), "token").limit(top_k)
 
 
 def overview(facts: DataFrame) -> DataFrame:

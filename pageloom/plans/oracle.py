@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
-
 from pageloom.functions import tokens as tk
 from pageloom.functions import wikitext as wt
 from pageloom.plans.relations import MARKUP_COLUMNS, PAGE_COLUMNS
@@ -24,18 +19,6 @@ def _words(words: list[str]) -> str:
     return ", ".join(_text(word) for word in words)
 
 
-def _english() -> list[str]:
-    """Spark's English stop words, read from its own jar so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as archive:
-        name = "org/apache/spark/ml/feature/stopwords/english.txt"
-        return archive.read(name).decode().splitlines()
-
-
-def _extended() -> list[str]:
-    return sorted({word.lower() for word in _english() + tk.CORPUS_STOP_WORDS if word})
-
-
 # --- pages, arrays, cleaned text -----------------------------------------------------
 
 WIKI = f"wiki AS (SELECT {', '.join(PAGE_COLUMNS)} FROM documents)"
@@ -141,7 +124,7 @@ weights AS (
 
 
 def _norm(title: str) -> str:
-    return f"lower(regexp_replace(regexp_replace(trim({title}, ' '), '_+', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return f"lower(regexp_replace(trim({title}, ' '), '[\\s_]+', ' ', 'g'))"
 
 
 GRAPH = f"""{WIKI}, {CATEGORIES}, {LINKS},
@@ -197,7 +180,7 @@ names AS (SELECT DISTINCT label AS topic, 'group ' || label AS topic_name FROM e
 
 
 def oracle_sql() -> dict[str, str]:
-    terms = TERMS.replace("{stop}", _words(_extended()))
+    terms = TERMS.replace("{stop}", _words(tk.extended_stop_words()))
     vocabulary = VOCABULARY.format(terms=terms)
     pagerank = _pagerank()
 
@@ -232,13 +215,17 @@ WHERE length(token) >= {tk.MIN_TOKEN_LENGTH} AND token NOT IN ({_words(stop)}) G
     sql = {
         "xml_pages": f"WITH {WIKI} {projection}",
         "page_projection": f"WITH {WIKI} {projection}",
+        "rejected_pages": "SELECT doc_id AS id FROM documents WHERE doc_id % 40 IN (7, 11)",
+        "kept_pages": """SELECT doc_id AS id, 'Doc ' || doc_id AS title, CAST(0 AS INTEGER) AS ns, text AS text_raw
+FROM documents WHERE doc_id % 40 NOT IN (7, 11)""",
+        "revision_time": f"WITH {WIKI} SELECT id, timestamp, strftime(CAST(timestamp AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS revision_time FROM wiki",
         "parse_pages": f"""WITH {PAGES}, {CATEGORIES}, {TEMPLATES}, {EXTERNAL_LINKS}, {LINKS}
 SELECT title, CAST(ns AS INTEGER) AS ns, id, redirect, revision_id, timestamp, text_raw, text, {joined('categories')},
   {joined('templates')}, {joined('external_links')}, {joined('links')} FROM pages_clean p""",
         "sample_page": f"""WITH {PAGES} SELECT id, title, CAST(ns AS INTEGER) AS ns, CAST(length(text) AS INTEGER) AS text_length,
   substring(text_raw, 1, 500) AS raw_head FROM pages_clean WHERE ns = 0 AND text_raw IS NOT NULL ORDER BY id LIMIT 1""",
         "url_external_links": "WITH "
-        + _captured("external_links", wt.EXTERNAL_LINK_PATTERN, "pages", "page_id", "url")
+        + _captured("external_links", wt.EXTERNAL_LINK_PATTERN, "pages", "page_id", "url || chr(10) || html")
         + " SELECT page_id, pos, value FROM external_links",
         "clean_array": """WITH parts AS (
   SELECT doc_id, trim(unnest(string_split(text, '.')), ' ') AS value,
@@ -254,7 +241,8 @@ FROM parts WHERE value <> '' GROUP BY doc_id, value""",
         "article_filter": f"WITH {WIKI} SELECT id, title, CAST(ns AS INTEGER) AS ns FROM wiki WHERE {ARTICLE}",
         "nlp_docs": f"WITH {DOCS} SELECT id, title, text FROM docs",
         "text_head": f"WITH {DOCS} SELECT title, substring(text, 1, 240) AS text_head FROM docs ORDER BY id LIMIT 3",
-        "non_empty_title": "SELECT doc_id, nullif(trim(split_part(text, '.', 1), ' '), '') AS title FROM documents",
+        "non_empty_title": """SELECT doc_id, CAST(place - 1 AS INTEGER) AS pos, nullif(trim(sentence, ' '), '') AS title FROM (
+  SELECT doc_id, unnest(string_split(text, '.')) AS sentence, generate_subscripts(string_split(text, '.'), 1) AS place FROM documents)""",
         "norm_title": f"SELECT doc_id, {_norm(chr(39) + ' ' + chr(39) + ' || translate(text, ' + chr(39) + '.' + chr(39) + ', ' + chr(39) + '_' + chr(39) + ')')} AS title_norm FROM documents",
         "page_counts": f"WITH {WIKI} SELECT count(*) AS total_pages, count(redirect) AS redirect_pages FROM wiki",
         "title_stats": f"""WITH {WIKI} SELECT count(DISTINCT title) AS distinct_titles,
@@ -283,8 +271,8 @@ FROM counted""",
         "top_most_linked": f"""WITH {FACTS} SELECT title, text_len, link_count, round(links_per_kchar, 6) AS links_per_kchar,
   category_count, template_count FROM counted ORDER BY link_count DESC, id, title LIMIT 200""",
         "top_tokens": f"""WITH {PAGES}, articles AS (SELECT text FROM pages_clean WHERE {ARTICLE}),
-counts AS ({token_counts('articles', _english())}) SELECT token, count FROM counts ORDER BY count DESC, token LIMIT 25""",
-        "conversation_tokens": token_counts("conversations", _english()),
+counts AS ({token_counts('articles', tk.english_stop_words())}) SELECT token, count FROM counts ORDER BY count DESC, token LIMIT 25""",
+        "conversation_tokens": token_counts("conversations", tk.english_stop_words()),
         "overview": f"WITH {OVERVIEW} SELECT * FROM overview",
         "overview_ratios": f"""WITH {OVERVIEW} SELECT
   round(coalesce(redirect_pages / nullif(total_pages, 0), 0.0), 6) AS redirect_ratio,
@@ -340,6 +328,9 @@ UNION ALL SELECT src_id, NULL, title, weight, edge_type FROM category_edges""",
 UNION ALL SELECT 'edges', 'link', count(*) FROM link_edges
 UNION ALL SELECT 'edges', 'has_category', count(*) FROM category_edges""",
         "nodes_csv": f"WITH {GRAPH} SELECT page_id, title, kind FROM vertices",
+        "edges_csv": f"""WITH {GRAPH}
+SELECT src_id, dst_id AS dst_page_id, weight, edge_type FROM link_edges
+UNION ALL SELECT src_id, NULL, weight, edge_type FROM category_edges""",
         "pagerank": f"WITH {pagerank} SELECT page_id, title, kind, round(pagerank, 6) AS pagerank FROM ranked",
         "pagerank_top_pages": f"""WITH {pagerank} SELECT page_id AS id, title, kind, round(pagerank, 6) AS pagerank
 FROM ranked WHERE kind = 'page' ORDER BY ranked.pagerank DESC, page_id LIMIT 10""",

@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 
 from pageloom.operators import articles, features, graph, models, pagerank, stats
 from pageloom.sinks.tables import under, write_csv, write_model, write_tables
-from pageloom.sources.mediawiki import parse_pages, read_pages
+from pageloom.sources.mediawiki import parse_pages, read_pages, rejected_pages
 from pageloom.storage import durable
 
 
-def ingest(spark: SparkSession, path: str, out: str | None = None) -> DataFrame:
-    """Parse a dump once and return the parsed pages as a column-pruned table scan."""
-    pages = parse_pages(read_pages(spark, path))
+def ingest(spark: SparkSession, path: str, out: str | None = None, bad_records: str = "keep") -> DataFrame:
+    """Parse a dump once and return the parsed pages as a column-pruned table scan.
+
+    With ``out`` the records that are no well-formed page are written there as ``rejected_pages``.
+    """
+    pages = parse_pages(read_pages(spark, path, bad_records))
     if out is None:
         return durable(pages, "pages")
-    write_tables({"pages": pages}, out)
+    write_tables({"pages": pages, "rejected_pages": rejected_pages(spark, path)}, out)
     return spark.read.schema(pages.schema).parquet(under(out, "pages"))
 
 
-def corpus_stats(pages: DataFrame, out: str | None = None, top_k: int = 30) -> dict[str, DataFrame]:
+def corpus_stats(pages: DataFrame, out: str | None = None, top_k: int = 25) -> dict[str, DataFrame]:
     """Every report over the pages; written under ``out`` if given.
 
     The text is read twice, for the page facts and for the tokens. All other
@@ -96,10 +99,11 @@ def page_graph(
     max_iter: int = pagerank.MAX_ITER,
     top_n: int = 10,
     single_file: bool = False,
+    every_mention: bool = False,
 ) -> dict[str, DataFrame]:
-    """Vertices, edges and ranks of the page graph."""
+    """Vertices, edges and ranks of the page graph; ``every_mention`` weighs links by mentions in ``text_raw``."""
     vertices = durable(graph.graph_vertices(pages), "graph_vertices")
-    edges = durable(graph.graph_edges(pages), "graph_edges")
+    edges = durable(graph.graph_edges(pages, every_mention), "graph_edges")
     if out is not None:
         write_csv(vertices, under(out, "graph/nodes_csv"), single_file)
         write_csv(edges, under(out, "graph/edges_csv"), single_file)
@@ -114,11 +118,21 @@ def page_graph(
     }
 
 
-def run_pipeline(spark: SparkSession, path: str, out: str, k: int = 10) -> dict[str, dict[str, DataFrame]]:
+def run_pipeline(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    k: int = 10,
+    top_k: int = 25,
+    max_iter: int = models.MAX_ITER,
+    rank_iter: int = pagerank.MAX_ITER,
+    top_n: int = 10,
+    bad_records: str = "keep",
+) -> dict[str, dict[str, DataFrame]]:
     """Parse a dump and write every result under ``out``."""
-    pages = ingest(spark, path, out)
+    pages = ingest(spark, path, out, bad_records)
     return {
-        "stats": corpus_stats(pages, out),
-        "nlp": nlp(pages, k, out),
-        "graph": page_graph(pages, out),
+        "stats": corpus_stats(pages, out, top_k),
+        "nlp": nlp(pages, k, out, max_iter),
+        "graph": page_graph(pages, out, rank_iter, top_n),
     }

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pageloom.functions import arrays, titles, wikitext
 from pageloom.functions import tokens as tk
 from pageloom.operators import articles, features, graph, models, pagerank, stats
+from pageloom.operators.skew import join_split
 from pageloom.plans.relations import markup_pages, nested_pages, spread, table, wiki_pages, wiki_texts
 from pageloom.sinks.tables import write_csv, write_model
-from pageloom.sources.mediawiki import parse_pages, project_pages, read_pages
+from pageloom.sources.mediawiki import parse_pages, project_pages, read_pages, rejected_pages, with_revision_time
 from pageloom.storage import durable, fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,38 @@ def xml_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_pages(read_pages(spark, path))
 
 
+_BROKEN = """CASE doc_id % 40 WHEN 7 THEN concat('<ns>zero</ns>', char(10)) WHEN 11 THEN '<ns>0</ns> & ' ELSE '<ns>0</ns>' END"""
+
+
+def _broken_dump(spark: SparkSession, sf_dir: str) -> str:
+    """A dump of the documents in which some pages have a wrong number or a bare ampersand."""
+    path = fresh_path(spark, "broken_dump")
+    record = f"""concat('<page><title>Doc ', CAST(doc_id AS STRING), '</title>', {_BROKEN}, '<id>', CAST(doc_id AS STRING),
+      '</id><revision><id>1</id><text>', {_xml_text('text')}, '</text></revision></page>') AS value"""
+    spread(table(spark, sf_dir, "documents")).selectExpr(record).write.text(path)
+    return path
+
+
+def _xml_text(column: str) -> str:
+    return f"replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rejected_pages(spark, _broken_dump(spark, sf_dir))
+    return found.select(F.regexp_extract("record", "<id>([0-9]+)</id>", 1).cast("bigint").alias("id"))
+
+
+def kept_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the same dump."""
+    return project_pages(read_pages(spark, _broken_dump(spark, sf_dir))).select("id", "title", "ns", "text_raw")
+
+
+def revision_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_revision_time(project_pages(nested_pages(spark, sf_dir))).select(
+        "id", "timestamp", F.date_format("revision_time", "yyyy-MM-dd HH:mm:ss").alias("revision_time")
+    )
+
+
 def page_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_pages(nested_pages(spark, sf_dir))
 
@@ -131,7 +164,9 @@ def _extract(pages: Callable, values: Callable[[Column], Column]) -> Query:
 
 
 def url_external_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _positions(table(spark, sf_dir, "pages"), "page_id", wikitext.external_links(F.col("url")))
+    """External links of a web page: its own address and those in its whole markup."""
+    whole = F.concat("url", F.lit("\n"), "html")
+    return _positions(spread(table(spark, sf_dir, "pages")), "page_id", wikitext.external_links(whole))
 
 
 def clean_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,8 +212,10 @@ def text_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def non_empty_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = titles.non_empty(F.substring_index("text", ".", 1))
-    return table(spark, sf_dir, "documents").select("doc_id", title.alias("title"))
+    """Every sentence of a text that is no blank, in order."""
+    sentence = F.posexplode(F.split("text", r"\.")).alias("pos", "sentence")
+    found = table(spark, sf_dir, "documents").select("doc_id", sentence)
+    return found.select("doc_id", "pos", titles.non_empty(F.col("sentence")).alias("title"))
 
 
 def norm_title(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,20 +402,18 @@ def category_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stable_node_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per category: its number of ids, and whether they are negative and its own."""
-    found = graph.category_vertices(parsed(spark, sf_dir)).join(
-        graph.category_edges(parsed(spark, sf_dir)), F.col("id") == F.col("dst_id")
-    )
-    return found.groupBy("title").agg(
-        F.count_distinct("id").alias("ids"),
-        F.min((F.col("id") < 0).cast("int")).alias("negative"),
-        F.count("*").alias("pages"),
+    named = graph.named_category_edges(parsed(spark, sf_dir)).groupBy("title", "dst_id").agg(F.count("*").alias("rows"))
+    return named.groupBy("title").agg(
+        F.count("dst_id").alias("ids"),
+        F.min((F.col("dst_id") < 0).cast("int")).alias("negative"),
+        F.sum("rows").alias("pages"),
     )
 
 
 def link_title_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = parsed(spark, sf_dir)
     return graph.link_title_join(
-        durable(graph.link_mentions(pages), "link_mentions"), graph.page_vertices(pages)
+        durable(graph.link_mentions(pages), "link_mentions"), durable(graph.page_vertices(pages), "page_vertices")
     )
 
 
@@ -391,9 +426,7 @@ def mention_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = parsed(spark, sf_dir)
-    named = graph.category_vertices(pages).select(F.col("id").alias("dst_id"), "title")
-    return graph.category_edges(pages).join(named, "dst_id").select("src_id", "title", "weight", "edge_type")
+    return graph.named_category_edges(parsed(spark, sf_dir)).select("src_id", "title", "weight", "edge_type")
 
 
 def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,9 +435,8 @@ def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = parsed(spark, sf_dir)
-    ends = graph.graph_vertices(pages).select(F.col("id").alias("dst_id"), F.col("title").alias("dst_title"))
-    found = graph.graph_edges(pages).join(ends, "dst_id")
+    ends = vertices(spark, sf_dir).select(F.col("id").alias("dst_id"), F.col("title").alias("dst_title"))
+    found = join_split(edges(spark, sf_dir), ends, "dst_id", F.col("src_id"))
     page_id = F.when(F.col("edge_type") == "link", F.col("dst_id"))
     return found.select("src_id", page_id.alias("dst_page_id"), "dst_title", "weight", "edge_type")
 
@@ -421,6 +453,15 @@ def nodes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.when(F.col("kind") == "page", F.col("id")).alias("page_id"), "title", "kind")
 
 
+def edges_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the edges as CSV and read them back."""
+    path = fresh_path(spark, "edges_csv")
+    write_csv(edges(spark, sf_dir), path)
+    read = spark.read.schema("src_id bigint, dst_id bigint, weight bigint, edge_type string").option("header", True).csv(path)
+    page_id = F.when(F.col("edge_type") == "link", F.col("dst_id"))
+    return read.select("src_id", page_id.alias("dst_page_id"), "weight", "edge_type")
+
+
 def pagerank_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_id = F.when(F.col("kind") == "page", F.col("id"))
     return ranked(spark, sf_dir).select(page_id.alias("page_id"), "title", "kind", rounded("pagerank", "pagerank"))
@@ -437,6 +478,9 @@ def pagerank_top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "xml_pages": xml_pages,
     "page_projection": page_projection,
+    "rejected_pages": rejected,
+    "kept_pages": kept_pages,
+    "revision_time": revision_time,
     "parse_pages": parsed_pages,
     "sample_page": sample_page,
     "extract_categories": _extract(wiki_texts, wikitext.categories),
@@ -513,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "graph_edges": graph_edges,
     "graph_counts": graph_counts,
     "nodes_csv": nodes_csv,
+    "edges_csv": edges_csv,
     "pagerank": pagerank_all,
     "pagerank_top_pages": pagerank_top_pages,
     "pagerank_top_categories": pagerank_top_categories,

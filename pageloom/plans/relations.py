@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TITLE = "CASE WHEN doc_id % 50 = 49 THEN 'Doc 1' ELSE concat('Doc ', CAST(doc_id AS STRING)) END"
+# Every fiftieth page shares its title with one other; links stay within runs of 200 pages, so edges grow with the pages.
+_TITLE = "CASE WHEN doc_id % 50 = 49 THEN concat('Doc ', CAST(doc_id - 48 AS STRING)) ELSE concat('Doc ', CAST(doc_id AS STRING)) END"
 _REDIRECT = "CASE WHEN doc_id % 13 = 12 THEN concat('Doc ', CAST(doc_id % 7 AS STRING)) END"
 
 PAGE_COLUMNS = [
@@ -22,8 +23,9 @@ PAGE_COLUMNS = [
     "'2024-01-01 00:00:00' AS timestamp",
     """concat('{{Infobox place', chr(10), '| name = ', lang, chr(10), '}}', chr(10), text,
   '<ref name="a">note</ref>', chr(10), '== Links ==', chr(10),
-  '* [[Doc ', CAST((doc_id * 7 + 3) % 200 AS STRING), '|see]] and [[doc_', CAST((doc_id * 7 + 3) % 200 AS STRING),
-  '#top]] and [[Doc_', CAST((doc_id + 1) % 200 AS STRING), ']]', chr(10),
+  '* [[Doc ', CAST(doc_id - doc_id % 200 + (doc_id * 7 + 3) % 200 AS STRING), '|see]] and [[doc_',
+  CAST(doc_id - doc_id % 200 + (doc_id * 7 + 3) % 200 AS STRING),
+  '#top]] and [[Doc_', CAST(doc_id - doc_id % 200 + (doc_id + 1) % 200 AS STRING), ']]', chr(10),
   '[http://example.org/', CAST(doc_id AS STRING), ' site] {{cite web|title=x}}', chr(10),
   '[[Category:', source, ']] [[Category:Lang ', lang, ']]') AS text_raw""",
 ]

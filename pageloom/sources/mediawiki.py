@@ -15,6 +15,7 @@ PAGE_SCHEMA = (
     "title string, ns int, id long, redirect struct<_title: string, _VALUE: string>, "
     "revision array<struct<id: long, timestamp: string, text: struct<_VALUE: string, _bytes: long>>>"
 )
+BAD_RECORD = "bad_record"
 
 # Where each output column may sit in a raw frame; the first path present is taken.
 COLUMN_PATHS = {
@@ -41,39 +42,74 @@ COLUMN_TYPES = {
 _PAGE_END = "</page>"
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Raw page rows of an XML dump, under one explicit schema.
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """Every page element of a dump, parsed, with its text in ``bad_record`` if it is not well formed.
 
     Spark's XML reader gives a whole file to one task. A dump is often one huge
     file, so it is read here as text records ending at the page's closing tag,
     which Spark splits by block (bzip2 included), and each record is then parsed
-    with ``from_xml``. No pass over the data is spent on inferring a schema.
+    with ``from_xml``. No pass over the data is spent on inferring a schema. A
+    record that the file cuts off is not well formed, unless the page's closing
+    tag is all that it lacks.
     """
-    records = spark.read.text(path, lineSep=_PAGE_END)
     opening = r"<page[\s>]"
+    records = spark.read.text(path, lineSep=_PAGE_END).where(F.col("value").rlike(opening))
     page = F.regexp_extract("value", f"(?s){opening}.*", 0)
-    return (
-        records.where(F.col("value").rlike(opening))
-        .select(F.from_xml(F.concat(page, F.lit(_PAGE_END)), PAGE_SCHEMA).alias("page"))
-        .select("page.*")
-    )
+    whole = F.concat(page, F.lit(_PAGE_END))
+    parsed = F.from_xml(whole, f"{PAGE_SCHEMA}, {BAD_RECORD} string", {"columnNameOfCorruptRecord": BAD_RECORD})
+    return records.select(whole.alias("record"), parsed.alias("page"))
+
 
+def _is_bad() -> Column:
+    return F.col("page").isNull() | F.col(f"page.{BAD_RECORD}").isNotNull()
 
-def path_type(schema: T.DataType, path: str) -> T.DataType | None:
+
+def read_pages(spark: SparkSession, path: str, bad_records: str = "keep") -> DataFrame:
+    """Raw page rows of an XML dump, under one explicit schema.
+
+    Records that are not well formed or have a wrong type are left to
+    ``rejected_pages`` (``"keep"``), or end the read with an error (``"fail"``).
+    """
+    if bad_records not in ("keep", "fail"):
+        raise ValueError(f"bad_records must be 'keep' or 'fail', not {bad_records!r}")
+    found = _records(spark, path)
+    if bad_records == "fail":
+        error = F.raise_error(F.concat(F.lit("not a well-formed page: "), F.substring("record", 1, 200))).cast("boolean")
+        return found.where(F.when(_is_bad(), error).otherwise(F.lit(True))).select("page.*").drop(BAD_RECORD)
+    return found.where(~_is_bad()).select("page.*").drop(BAD_RECORD)
+
+
+def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
+    """``record``: the text of every page element that ``read_pages`` leaves out."""
+    return _records(spark, path).where(_is_bad()).select("record")
+
+
+def leaf_types(schema: T.StructType) -> dict[str, T.DataType]:
+    """Type of every dotted path of a schema; the elements of an array count as its own level."""
+    known: dict[str, T.DataType] = {}
+    level: list[tuple[str, T.DataType]] = [("", schema)]
+    while level:
+        below = []
+        for prefix, kind in level:
+            inner = kind.elementType if isinstance(kind, T.ArrayType) else kind
+            if inner is not kind:
+                below.append((prefix, inner))
+            elif isinstance(kind, T.StructType):
+                below += [(f"{prefix}.{field.name}".lstrip("."), field.dataType) for field in kind]
+        known.update({path: kind for path, kind in below if path not in known})
+        level = below
+    return known
+
+
+def path_type(schema: T.StructType, path: str) -> T.DataType | None:
     """Type found at a dotted path, looking through arrays; None when the path is absent."""
-    found = schema
-    for name in path.split("."):
-        while isinstance(found, T.ArrayType):
-            found = found.elementType
-        if not isinstance(found, T.StructType) or name not in found.names:
-            return None
-        found = found[name].dataType
-    return found
+    return leaf_types(schema).get(path)
 
 
 def first_path(df: DataFrame, paths: Sequence[str]) -> Column | None:
     """The first of several candidate columns that the frame has."""
-    return next((F.col(path) for path in paths if path_type(df.schema, path) is not None), None)
+    present = leaf_types(df.schema).keys()
+    return F.col(found[0]) if (found := [path for path in paths if path in present]) else None
 
 
 def text_column(df: DataFrame, paths: Sequence[str] = COLUMN_PATHS["text_raw"]) -> Column | None:
@@ -118,6 +154,11 @@ def project_pages(raw: DataFrame, revisions: str = "latest") -> DataFrame:
     return flat.select(*(typed(name) for name in COLUMN_PATHS))
 
 
+def with_revision_time(pages: DataFrame) -> DataFrame:
+    """Pages with ``revision_time``, the timestamp as a typed column; null where it can't be read."""
+    return pages.withColumn("revision_time", F.col("timestamp").try_cast("timestamp"))
+
+
 def parse_pages(raw: DataFrame, compat: bool = False, revisions: str = "latest") -> DataFrame:
     """Flat pages with their extracted arrays and cleaned text, map-only."""
     markup = F.col("text_raw")

@@ -6,7 +6,6 @@ carry real file sizes, so the join planner sees what it is dealing with.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,25 +15,35 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, also set as the checkpoint folder.
+    """The folder named by ``spark.checkpoint.dir``, else one in the session's warehouse; also set for checkpoints.
 
-    A local session that names none gets a temporary folder. A cluster session
-    must name one, because a machine-local folder is lost with its machine.
+    A cluster session must name one, because only the caller knows which folder
+    every executor can reach.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
-    if current is None:
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-            named = tempfile.mkdtemp(prefix="pageloom-")
+    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/pageloom"
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
-    return (named or context.getCheckpointDir()).rstrip("/")
+    return named.rstrip("/")
+
+
+def tables_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables go."""
+    return f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Drop the application's intermediate tables, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(tables_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{tables_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, name: str, read_schema: T.StructType | str | None = None) -> DataFrame:

@@ -135,3 +135,31 @@ def test_pagerank_with_a_sink_and_with_nothing(spark):
     top = pagerank.top_by_rank(ranked, "page", 2).collect()
     assert [r.id for r in top] == sorted(expected, key=lambda i: -expected[i])[:2]
     assert pagerank.pagerank(vertices.limit(0), edges.limit(0)).isEmpty()
+
+
+def test_a_title_of_many_pages_with_many_links_is_split(spark):
+    mentions = spark.createDataFrame([(i, "hub") for i in range(200)] + [(i, f"t{i}") for i in range(50)], "src_id long, title_norm string")
+    vertices = spark.createDataFrame([(1000 + i, "hub") for i in range(30)] + [(2000 + i, f"t{i}") for i in range(50)], "id long, title_norm string")
+    plain = graph.link_title_join(mentions, vertices)
+    split = graph.link_title_join(mentions, vertices, rows_per_split=100)
+    assert plain.count() == 200 * 30 + 50
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+
+
+def test_links_must_be_there(spark):
+    with pytest.raises(ValueError, match="links"):
+        graph.link_mentions(hub_pages(spark).drop("links"))
+
+
+def test_mentions_can_weigh_the_graph(spark):
+    pages = spark.createDataFrame(
+        [(1, "A", 0, None, "[[B]] [[B]] [[b]]", ["B", "b"]), (2, "B", 0, None, "", [])],
+        "id long, title string, ns int, redirect string, text_raw string, links array<string>",
+    )
+    assert [r.weight for r in graph.graph_edges(pages).collect()] == [2]
+    assert [r.weight for r in graph.graph_edges(pages, every_mention=True).collect()] == [3]
+
+
+def test_hot_categories_are_hashed_not_sorted(spark):
+    plan = graph.category_vertices(hub_pages(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

@@ -117,3 +117,29 @@ def test_labels_may_miss_groups(spark):
     labels = spark.createDataFrame([(0, "zero")], "cluster long, cluster_name string")
     found = {r.id: r.cluster_name for r in models.with_labels(assigned, labels, "cluster").collect()}
     assert found == {1: "zero", 2: None}
+
+
+def test_training_does_not_depend_on_the_input_layout(space):
+    from dataclasses import replace
+
+    dealt = [replace(space, counts=space.counts.repartition(n), features=space.features.repartition(n)) for n in (2, 7)]
+    clustered = [models.train_clusters(s, k=K, max_iter=3)[1] for s in dealt]
+    topical = [models.train_topics(s, k=K, max_iter=3)[1].select("id", "title", "topic") for s in dealt]
+    for first, second in (clustered, topical):
+        assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
+
+
+def test_vocabulary_cut_off_keeps_the_order_of_ties(spark):
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)) for n in range(1, 301)]
+    docs = spark.createDataFrame([(i, "t", text) for i, text in enumerate(texts)], "id int, title string, text string")
+    whole = features.build_vocabulary(docs, min_df=1, max_df=1000).words
+    for size in (1, 7, 64, 200):
+        assert features.build_vocabulary(docs, vocab_size=size, min_df=1, max_df=1000).words == whole[:size]
+
+
+def test_unicode_tokens(spark):
+    from pageloom.functions import tokens as tk
+
+    docs = spark.createDataFrame([(1, "t", "élan élan города")], "id int, title string, text string")
+    found = features.term_arrays(docs, [], tk.UNICODE_LETTERS).first()
+    assert found.tokens == ["élan", "élan", "города"]

@@ -101,3 +101,9 @@ def test_percentiles_match_a_sorted_list(spark):
     row = stats.length_summary(values, "all").first()
     assert (row.p50, row.p90, row.p99, row["min"], row["max"]) == (499, 899, 989, 0, 999)
     assert math.isclose(row.stddev, 288.8194361, rel_tol=1e-6)
+
+
+def test_top_tokens_honours_its_size(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}x" for i in range(100)]
+    pages = spark.createDataFrame([(1, "t", 0, None, " ".join(words))], "id int, title string, ns int, redirect string, text string")
+    assert stats.top_tokens(pages, 100).count() == 100 and stats.top_tokens(pages).count() == 25
