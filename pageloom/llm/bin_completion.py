@@ -82,8 +82,6 @@ def fillings(left: Counter, ordered: list[int], room: int, limit: int = FILLINGS
                     found.append((*taken, size))
                     return  # smaller last pieces are dominated by this one
                 extend((*taken, size), rest, size)
-                if found and sum(found[-1]) == room:
-                    return
             at -= 1
         if at < 0 and taken and not any(left[s] > taken.count(s) for s in ordered[: bisect_right(ordered, free)]):
             found.append(taken)

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
-TABLES, PROBES = 3, 32
+TABLES, PROBES = 6, 28
 ROWS_A_PART = 20_000
 EVERY = 20
 NEAREST = 20
