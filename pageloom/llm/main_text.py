@@ -11,7 +11,7 @@ space inside a block turned into one blank and trimmed, blocks in page order joi
 inside a block is white space.
 
 A null or empty page gives an empty text, as does one without text; rows without url vote as one host. Markup may be
-cut off or left unclosed anywhere. Repeated rows vote and return each by itself.
+left unclosed or cut off anywhere; a tag that the page cuts off is dropped. Repeated rows vote and return each by itself.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ PATHS_A_HOST = 3
 #: Of several containers on a winning path, those that hold this share of the best one's score.
 ALONGSIDE = 0.2
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
