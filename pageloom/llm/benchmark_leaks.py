@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import chain
 from operator import itemgetter
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.texts import id_and_text, keep_rows, map_texts
+from pageloom.llm.texts import id_and_text, keep_rows, kept, map_texts
 
 TERM = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
@@ -35,7 +35,7 @@ OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 16
 SHARD_CHARS = 20_000_000
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Terms in more than this share of the items are bounded, not added up, in the shallow pass.
 COMMON = 0.1
 
@@ -106,7 +106,6 @@ class Index:
     items: np.ndarray
     impacts: np.ndarray
     longest: int
-    _words: _Words | None = field(default=None, repr=False)
 
     @classmethod
     def build(cls, rows: list[tuple[int | None, str | None]]) -> Index:
@@ -155,9 +154,10 @@ class Index:
         return self._bounds
 
     def words(self) -> _Words:
-        if self._words is None or len(self._words) > REMEMBERED:
-            self._words = _Words(self.numbers)
-        return self._words
+        memory = kept("terms of chunks", dict)
+        if memory.get("of") is not self or len(memory["words"]) > REMEMBERED:
+            memory.update(of=self, words=_Words(self.numbers))
+        return memory["words"]
 
     def postings(self) -> list[tuple[list[int], list[float], list[float], float]]:
         """For every term its items, impacts, the largest impact of each block, and the largest of all."""
@@ -171,7 +171,7 @@ class Index:
 
     def __getstate__(self) -> dict:
         names = ("item_ids", "numbers", "parts", "starts", "items", "impacts", "longest")
-        return {n: getattr(self, n) for n in names} | {"_words": None}
+        return {n: getattr(self, n) for n in names}
 
 
 def wand(index: Index, query: list[int], threshold: float = RETRIEVE) -> list[tuple[int, float]]:

@@ -14,11 +14,13 @@ from itertools import chain
 import numpy as np
 from tokenizers import Tokenizer
 
+from pageloom.llm.texts import kept
+
 #: White space other than the space and the line end, as ``str.split`` sees it.
 OTHER_BLANKS = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"]
 ASCII_BLANKS = [c for c in OTHER_BLANKS if c.isascii()]
 #: Remembered chunks of a worker, about 200 bytes each.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 #: Marks that, behind letters, are always pieces of their own: no merge crosses from a letter to a mark.
 TAIL = ".,;:!?%$*&#|"
 
@@ -158,11 +160,6 @@ class ChunkEncoder:
         return np.concatenate(parts), counts
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder of a tokenizer file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    return kept(f"ids of {path}", lambda: ChunkEncoder(path))

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.texts import WordHashes, fold, id_and_text, mix, slices, words_of
+from pageloom.llm.texts import WordHashes, fold, id_and_text, kept, mix, slices, words_of
 from pageloom.storage import durable
 
 FOLDS, HELD_OUT = 10, 0
@@ -64,7 +64,7 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, number = WordHashes(), TaskContext.get().partitionId() << 32
+        hashes, number = kept("word hashes", WordHashes), TaskContext.get().partitionId() << 32
         for batch in slices(batches, limit=block_bytes):
             split = [words_of(t) if t else [] for t in batch.column("text").to_pylist()]
             keys = batch.column("doc_id").to_pylist()

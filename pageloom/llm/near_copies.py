@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.components import components
-from pageloom.llm.texts import WordHashes, id_and_text, map_texts, mix, slices, words_of
+from pageloom.llm.texts import WordHashes, id_and_text, kept, map_texts, mix, slices, words_of
 from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
@@ -40,17 +40,13 @@ _B = _rng.integers(0, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32)
 #: A pair at the limit shows fewer equal minima than this with probability 3e-7 (five standard deviations).
 LEAST_EQUAL = int(BANDS * ROWS * 0.8 - 5 * (BANDS * ROWS * 0.16) ** 0.5)
 
-_WORDS: list[WordHashes] = []
-
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word shingles; with fewer words, of the whole sequence as one."""
     words = words_of(text) if text else []
     if not words:
         return np.empty(0, np.uint64)
-    if not _WORDS:
-        _WORDS.append(WordHashes())
-    hashes = _WORDS[0](words)
+    hashes = kept("word hashes", WordHashes)(words)
     width = min(size, len(words))
     found = np.full(len(words) - width + 1, 0 if width == size else width + 1, np.uint64)
     for k in range(width):

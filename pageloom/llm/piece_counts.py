@@ -20,11 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pageloom.llm.texts import id_and_text, map_texts
+from pageloom.llm.texts import id_and_text, kept, map_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 class _Chunks(dict):
@@ -49,10 +49,9 @@ class Counter:
     pieces: dict[str, float]
     byte_fallback: bool = True
     _automaton: object = field(default=None, repr=False)
-    _chunks: _Chunks | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return {"pieces": self.pieces, "byte_fallback": self.byte_fallback, "_automaton": None, "_chunks": None}
+        return {"pieces": self.pieces, "byte_fallback": self.byte_fallback, "_automaton": None}
 
     def automaton(self) -> object:
         if self._automaton is None:
@@ -96,13 +95,15 @@ class Counter:
     def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Best score and number of tokens of each text."""
         self.automaton()
-        if self._chunks is None or len(self._chunks) > REMEMBERED:
-            self._chunks = _Chunks(self)
-        place = self._chunks.__getitem__
+        memory = kept("pieces of chunks", dict)
+        if memory.get("of") is not self or len(memory["chunks"]) > REMEMBERED:
+            memory.update(of=self, chunks=_Chunks(self))
+        chunks = memory["chunks"]
+        place = chunks.__getitem__
         split = [self._split(t) if t else [] for t in texts]
         places = np.fromiter(chain.from_iterable(map(place, words) for words in split), np.int64, sum(map(len, split)))
         owner = np.repeat(np.arange(len(texts)), [len(w) for w in split])
-        scores, counts = np.array(self._chunks.scores), np.array(self._chunks.counts, np.int64)
+        scores, counts = np.array(chunks.scores), np.array(chunks.counts, np.int64)
         if not len(places):
             return np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         return np.bincount(owner, scores[places], len(texts)), np.bincount(owner, counts[places], len(texts)).astype(np.int64)

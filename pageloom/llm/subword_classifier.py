@@ -32,6 +32,8 @@ SAMPLE_ROWS = 1_200
 SAMPLE_CHARS = 8_000
 THRESHOLD = 0.3
 PADDING = 40
+#: Text to a slice: its feature arrays take some sixty times as much.
+SLICE = 1 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -200,4 +202,4 @@ def classify(docs: DataFrame, model: Classifier, threshold: float = THRESHOLD, f
             names=["doc_id", "held_out", "score", "predicted"],
         )
 
-    return map_texts(id_and_text(docs), work, "doc_id bigint, held_out boolean, score double, predicted int")
+    return map_texts(id_and_text(docs), work, "doc_id bigint, held_out boolean, score double, predicted int", limit=SLICE)

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
+Kept = TypeVar("Kept")
 #: Fixed value of the contracts: a word is a run of anything but these characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SEPARATORS = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
@@ -49,13 +51,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             start = stop
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], Kept]) -> Kept:
+    """What a worker remembers between tasks under a name; one thing at a time, so that operators in a row don't add up."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
 def map_texts(
-    docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text"
+    docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text", limit: int = SLICE_BYTES
 ) -> DataFrame:
     """``work`` on every bounded slice of the rows, inside the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, column):
+        for part in slices(batches, column, limit):
             out = work(part)
             if out is not None and out.num_rows:
                 yield out
@@ -63,11 +76,13 @@ def map_texts(
     return docs.mapInArrow(run, schema)
 
 
-def keep_rows(docs: DataFrame, decide: Callable[[list[str | None]], np.ndarray], text: str = "text") -> DataFrame:
+def keep_rows(
+    docs: DataFrame, decide: Callable[[list[str | None]], np.ndarray], text: str = "text", limit: int = SLICE_BYTES
+) -> DataFrame:
     """The rows whose text ``decide`` says to keep, with all their columns; no shuffle, no join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
+        for part in slices(batches, text, limit):
             kept = part.filter(pa.array(decide(part.column(text).to_pylist()), pa.bool_()))
             if kept.num_rows:
                 yield kept
@@ -114,7 +129,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound; one C-level lookup per repeated word."""
 
-    def __init__(self, limit: int = 400_000) -> None:
+    def __init__(self, limit: int = 300_000) -> None:
         self.limit, self.known = limit, {}
 
     def __call__(self, words: list[str]) -> np.ndarray:
