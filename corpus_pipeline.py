@@ -40,7 +40,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         own, margins = shared.value
         return own.score([t or "" for t in texts], margins) >= subword_classifier.THRESHOLD
 
-    return keep_rows(docs, keep)
+    return keep_rows(docs, keep, limit=subword_classifier.SLICE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
