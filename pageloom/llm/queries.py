@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, cross_polytope, interpolated_lm, main_text, near_copies, piece_counts, subword_classifier, token_files
+from pageloom.llm.oracle import ORACLE_SQL
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
 
@@ -66,9 +68,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Pairs of document and leaked item with the overlaps; the operator's score is left out, which SQL can't give."""
+    found = benchmark_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    overlaps = [F.round(name, 6).alias(name) for name in ("overlap", "question_overlap", "answer_overlap")]
+    return found.select("doc_id", "item_id", *overlaps)
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_piece_counts": op2_piece_counts,
@@ -81,4 +88,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_benchmark_leaks": op10_benchmark_leaks,
 }
-ORACLE_SQL: dict[str, str] = {}
