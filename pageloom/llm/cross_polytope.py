@@ -26,6 +26,8 @@ from pageloom.storage import durable
 
 TABLES, PROBES = 6, 28
 ROWS_A_PART = 20_000
+#: Vectors hashed at a time; each is copied once for every probe.
+HASHED_ROWS = 512
 EVERY = 20
 NEAREST = 20
 
@@ -99,7 +101,7 @@ def _hashed(rows: DataFrame, probes: int, tables: int) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", width int, tab int, axis int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in (whole.slice(i, HASHED_ROWS) for i in range(0, whole.num_rows, HASHED_ROWS))):
             vectors = batch.column("vector").to_pylist()
             by_width: dict[int, list[int]] = {}
             for i, v in enumerate(vectors):
