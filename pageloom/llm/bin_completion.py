@@ -29,7 +29,8 @@ from pageloom.storage import durable
 CAPACITY = 4096
 GROUP_PIECES = 8192
 NODES = 400
-FILLINGS = 40
+#: Bounds of the search: fillings of a bin that are kept, and steps to enumerate them.
+FILLINGS, STEPS = 10, 1_500
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -64,17 +65,22 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
     return max(bound, len(ordered) - half)
 
 
-def fillings(left: Counter, ordered: list[int], room: int, limit: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated sets of remaining sizes that fit ``room``, least waste first, at most ``limit`` of them.
+def fillings(left: Counter, ordered: list[int], room: int, limit: int = FILLINGS, perfect: bool = False) -> list[tuple[int, ...]]:
+    """Undominated sets of remaining sizes that fit ``room``, least waste first: at most ``limit`` of what bounded steps find.
+
+    With ``perfect`` the first one without waste ends the enumeration.
 
     A filling ends with the largest size that still fits, since any smaller last
     size is dominated by that; one that can take a further piece is dominated too.
     """
     found: list[tuple[int, ...]] = []
+    steps = 0
 
     def extend(taken: tuple[int, ...], free: int, top: int) -> None:
+        nonlocal steps
+        steps += 1
         at = bisect_right(ordered, min(free, top)) - 1
-        while at >= 0 and len(found) < 4 * limit:
+        while at >= 0 and len(found) < 4 * limit and steps < STEPS:
             size = ordered[at]
             if left[size] > taken.count(size):
                 rest = free - size
@@ -82,8 +88,10 @@ def fillings(left: Counter, ordered: list[int], room: int, limit: int = FILLINGS
                     found.append((*taken, size))
                     return  # smaller last pieces are dominated by this one
                 extend((*taken, size), rest, size)
+                if perfect and found and sum(found[-1]) == room:
+                    return
             at -= 1
-        if at < 0 and taken and not any(left[s] > taken.count(s) for s in ordered[: bisect_right(ordered, free)]):
+        if at < 0 and taken and steps < STEPS and not any(left[s] > taken.count(s) for s in ordered[: bisect_right(ordered, free)]):
             found.append(taken)
 
     extend((), room, room)
@@ -144,11 +152,18 @@ def _search(left: Counter, capacity: int, allowed: int, nodes: int) -> tuple[lis
         left[size] += 1
 
     def choices() -> Iterator[tuple[int, ...]]:
-        top = ordered[-1]
-        take(top)
-        options = fillings(left, ordered, capacity - top) if ordered and ordered[0] <= capacity - top else [()]
-        give(top)
-        return iter([(top, *option) for option in options])
+        """Fillings around the largest piece: one without waste at once, all others only if the search comes back."""
+        top, tried = ordered[-1], set()
+        for perfect in (True, False):
+            take(top)
+            options = fillings(left, ordered, capacity - top, perfect=perfect) if ordered and ordered[0] <= capacity - top else [()]
+            give(top)
+            if perfect and top + sum(options[0]) != capacity:
+                continue
+            for option in options[: 1 if perfect else None]:
+                if option not in tried:
+                    tried.add(option)
+                    yield (top, *option)
 
     while ordered:
         if len(stack) == len(bins):
