@@ -31,6 +31,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Any])
     return _built[key]
 
 
+def forget_stages() -> None:
+    """Let the shared stages be built anew."""
+    _built.clear()
+
+
 def rounded(column: Column | str, name: str) -> Column:
     return F.round(column, 6).alias(name)
 
