@@ -24,6 +24,8 @@ REMEMBERED = 600_000
 #: Marks that, behind letters, are always pieces of their own: no merge crosses from a letter to a mark.
 TAIL = ".,;:!?%$*&#|"
 
+JOINED = 400
+
 
 def is_plain(text: str) -> bool:
     """Words are parted by one space or one line end each, and nothing else is blank."""
@@ -61,6 +63,10 @@ class ChunkEncoder:
         self.remembered = remembered
         self.keeps_blanks = bool(self._library([" "])[0])
         self.line_end = len(self._library(["\n"])[0])
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for piece, i in vocabulary.items() if (piece.startswith("Ġ") if self.keeps_blanks else suffix and piece.endswith(suffix))]] = True
         self._forget()
 
     def _library(self, texts: list[str]) -> list[list[int]]:
@@ -80,11 +86,29 @@ class ChunkEncoder:
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         return at
 
+    def _each(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, and how many belong to each, by a library call's text for each."""
+        blank = " " if self.keeps_blanks else ""
+        found = self._library([c if c[0] == "\n" else blank + c for c in chunks])
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _letters(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks of letters alone, many to a text: each is one word, whose first or last piece shows it."""
+        blank = " " if self.keeps_blanks else ""
+        found = self._library([blank + " ".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)])
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        edges = np.flatnonzero(self.edge[ids])
+        if len(edges) != len(chunks):  # letters that are no letters any more once normalized
+            return self._each(chunks)
+        return ids, np.diff(edges, append=len(ids)) if self.keeps_blanks else np.diff(edges, prepend=-1)
+
     def _learn(self) -> None:
         """Ids of the waiting chunks; chunk i owns flat[begin[i]:begin[i] + size[i]]."""
         fresh = self.numbers.fresh
         if not fresh:
             return
+        words: list[int] = []
         whole: list[int] = []
         tailed: dict[str, tuple[list[int], list[int]]] = {}
         number, first = self.numbers.__getitem__, len(self.numbers) - len(fresh)
@@ -97,19 +121,19 @@ class ChunkEncoder:
                 mine[0].append(first + at)
                 mine[1].append(number(core))
             else:
-                whole.append(at)
+                (words if chunk.isalpha() else whole).append(at)
             at += 1
         while len(self.numbers) > len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        blank = " " if self.keeps_blanks else ""
-        found = self._library([c if c[0] == "\n" else blank + c for c in map(fresh.__getitem__, whole)])
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(sizes.sum())
-        begin = self._room(total)
-        self.flat[begin : begin + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
-        places = np.array(whole, np.int64) + first
-        self.begin[places], self.size[places] = begin + np.cumsum(sizes) - sizes, sizes
+        for places, (ids, sizes) in (
+            (words, self._letters([fresh[i] for i in words])),
+            (whole, self._each([fresh[i] for i in whole])),
+        ):
+            begin = self._room(len(ids))
+            self.flat[begin : begin + len(ids)] = ids
+            at = np.array(places, np.int64) + first
+            self.begin[at], self.size[at] = begin + np.cumsum(sizes) - sizes, sizes
         for tail, (chunks, cores) in tailed.items():
             if tail not in self.tails:
                 self.tails[tail] = np.array(self._library([tail])[0], np.uint32)
