@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.functions import tokens as tk
 from pageloom.operators import articles, features, graph, models, pagerank, stats
 from pageloom.sinks.tables import under, write_csv, write_model, write_tables
 from pageloom.sources.mediawiki import parse_pages, read_pages, rejected_pages
@@ -56,12 +57,16 @@ def corpus_stats(pages: DataFrame, out: str | None = None, top_k: int = 25) -> d
 
 
 def nlp(
-    pages: DataFrame, k: int = 10, out: str | None = None, max_iter: int = models.MAX_ITER
+    pages: DataFrame,
+    k: int = 10,
+    out: str | None = None,
+    max_iter: int = models.MAX_ITER,
+    separator: str = tk.LETTERS_ONLY,
 ) -> dict[str, DataFrame]:
     """Clusters and topics of the documents, from one shared feature space."""
     spark = pages.sparkSession
     docs = articles.nlp_docs(pages)
-    space = features.build_feature_space(docs)
+    space = features.build_feature_space(docs, separator=separator)
 
     cluster_model, clustered = models.train_clusters(space, k, max_iter=max_iter)
     clustered = durable(clustered, "cluster_assignments")
@@ -128,11 +133,12 @@ def run_pipeline(
     rank_iter: int = pagerank.MAX_ITER,
     top_n: int = 10,
     bad_records: str = "keep",
+    separator: str = tk.LETTERS_ONLY,
 ) -> dict[str, dict[str, DataFrame]]:
     """Parse a dump and write every result under ``out``."""
     pages = ingest(spark, path, out, bad_records)
     return {
         "stats": corpus_stats(pages, out, top_k),
-        "nlp": nlp(pages, k, out, max_iter),
+        "nlp": nlp(pages, k, out, max_iter, separator),
         "graph": page_graph(pages, out, rank_iter, top_n),
     }
