@@ -100,22 +100,25 @@ def _hashed(rows: DataFrame, probes: int, tables: int) -> DataFrame:
     """``rows`` once for each table and probed axis, with ``width, tab, axis``."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", width int, tab int, axis int"
 
+    def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        vectors = batch.column("vector").to_pylist()
+        by_width: dict[int, list[int]] = {}
+        for i, v in enumerate(vectors):
+            by_width.setdefault(len(v), []).append(i)
+        for width, places in by_width.items():
+            data = np.array([vectors[i] for i in places], np.float64)
+            own = batch.take(pa.array(places))
+            for table in range(tables):
+                axes = nearest_axes(rotated(data, table), probes)
+                out = own.take(pa.array(np.repeat(np.arange(len(places)), axes.shape[1])))
+                n = out.num_rows
+                extra = [np.full(n, width, np.int32), np.full(n, table, np.int32), axes.ravel().astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*out.columns, *map(pa.array, extra)], names=[*out.schema.names, "width", "tab", "axis"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in (whole.slice(i, HASHED_ROWS) for i in range(0, whole.num_rows, HASHED_ROWS))):
-            vectors = batch.column("vector").to_pylist()
-            by_width: dict[int, list[int]] = {}
-            for i, v in enumerate(vectors):
-                by_width.setdefault(len(v), []).append(i)
-            for width, places in by_width.items():
-                data = np.array([vectors[i] for i in places], np.float64)
-                own = batch.take(pa.array(places))
-                for table in range(tables):
-                    axes = nearest_axes(rotated(data, table), probes)
-                    times = axes.shape[1]
-                    out = own.take(pa.array(np.repeat(np.arange(len(places)), times)))
-                    n = out.num_rows
-                    extra = [np.full(n, width, np.int32), np.full(n, table, np.int32), axes.ravel().astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([*out.columns, *map(pa.array, extra)], names=[*out.schema.names, "width", "tab", "axis"])
+        for batch in batches:
+            for at in range(0, batch.num_rows, HASHED_ROWS):
+                yield from hashed(batch.slice(at, HASHED_ROWS))
 
     return rows.mapInArrow(run, schema)
 
