@@ -35,7 +35,7 @@ OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 16
 SHARD_CHARS = 20_000_000
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Terms in more than this share of the items are bounded, not added up, in the shallow pass.
 COMMON = 0.1
 

@@ -20,7 +20,7 @@ from pageloom.llm.texts import kept
 OTHER_BLANKS = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"]
 ASCII_BLANKS = [c for c in OTHER_BLANKS if c.isascii()]
 #: Remembered chunks of a worker, about 200 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Marks that, behind letters, are always pieces of their own: no merge crosses from a letter to a mark.
 TAIL = ".,;:!?%$*&#|"
 

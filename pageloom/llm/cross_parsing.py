@@ -24,7 +24,7 @@ from pageloom.llm.texts import fold, id_and_text, map_texts
 SEGMENT = 1024
 #: Bounds of the labelled sample: documents for each language, and symbols that they contribute.
 SAMPLE_DOCS = 400
-SAMPLE_SYMBOLS = 40_000
+SAMPLE_SYMBOLS = 25_000
 SYMBOLS = 60
 UNDETERMINED = "und"
 _BLANK, _OTHER = 1, 2
@@ -83,11 +83,11 @@ class Model:
             tables, roots, at = [], [], 0
             for language in self.languages:
                 own = suffix_automaton(self.texts[language], width)
-                tables.append(np.where(own > 0, own + at, 0))
+                own[own > 0] += at
+                tables.append(own)
                 roots.append(at)
                 at += len(own)
-            shift = np.concatenate(tables).astype(np.int32)
-            self._tables = shift, np.array(roots, np.int32), width
+            self._tables = np.concatenate(tables), np.array(roots, np.int32), width
         return self._tables
 
     def __getstate__(self) -> dict:
@@ -132,7 +132,7 @@ def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
                 link[after] = clone
                 link[here] = clone
         last = here
-    table = np.zeros(len(target) * width, np.int64)
+    table = np.zeros(len(target) * width, np.int32)
     for state, edges in enumerate(target):
         for symbol, to in edges.items():
             table[state * width + symbol] = to * width

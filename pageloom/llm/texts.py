@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 Kept = TypeVar("Kept")
 #: Fixed value of the contracts: a word is a run of anything but these characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -129,7 +129,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound; one C-level lookup per repeated word."""
 
-    def __init__(self, limit: int = 300_000) -> None:
+    def __init__(self, limit: int = 150_000) -> None:
         self.limit, self.known = limit, {}
 
     def __call__(self, words: list[str]) -> np.ndarray:
