@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.texts import fold, id_and_text, map_texts
+from pageloom.llm.texts import fold, id_and_text, kept, map_texts
 
 SEGMENT = 1024
 #: Bounds of the labelled sample: documents for each language, and symbols that they contribute.
@@ -218,6 +218,7 @@ def train(
 
 def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
     """Language and score of each text, see ``identify``."""
+    kept("language", dict)  # another operator's memory goes before the automata are built
     names, known = model.languages, letters()
     labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     ok = [i for i, t in enumerate(texts) if t and known[code_points(t)].any()] if names else []

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.cross_parsing import crc_fold
-from pageloom.llm.texts import fold, id_and_text, map_texts
+from pageloom.llm.texts import fold, id_and_text, kept, map_texts
 
 NGRAMS = (3, 4)
 BUCKETS = 1 << 16
@@ -97,6 +97,7 @@ class Classifier:
 
     def score(self, texts: list[str], margins: np.ndarray | None = None) -> np.ndarray:
         """Probability of label 1. A text without features has nothing but the bias."""
+        kept("quality", dict)  # another operator's memory goes first
         margins = self.margins() if margins is None else margins
         buckets, owners = features(texts)
         sums = np.bincount(owners, margins[buckets], len(texts))
