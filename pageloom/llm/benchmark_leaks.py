@@ -1,11 +1,11 @@
 """Benchmark decontamination by a BM25 index of the test items and block-max WAND.
 
-Every document is cut into passages, windows of terms that overlap so far that any item lies whole in one of them. Each
-passage is a query against the inverted index. Impacts are divided by the score that an item has with itself, so one
-threshold serves all items. A shallow pass over a slice of passages adds up the impacts of the telling terms and bounds
-the rest by what an item has in common terms; passages that cannot reach the threshold are done. All others run block-max WAND,
-which returns every item at or above the threshold. What it returns is verified on shingles of five terms: an item
-leaks if the passage holds 80 % of its shingles, or 80 % of its question's and of its answer's.
+An item leaks if the document, taken whole, holds 80 % of its shingles of five terms, or 80 % of its question's and of
+its answer's, wherever they stand. A shallow pass over a slice of documents counts the items' shingles in each by their
+hashes; documents in which no item reaches that share are done. Of the others, the terms inside the items' shingles are
+a query against the inverted index, and block-max WAND returns every item at or above a threshold. Impacts are divided
+by the score that an item has with itself, so one threshold serves all items; it is lowered to the least score that a
+leak of any item can have. What is returned is verified on the shingles themselves, over the whole document.
 
 Terms are lower-cased runs of letters and digits. The question is an item's first line, the answer is the rest. A part
 of fewer than five terms is one shingle; an item without terms matches nothing. Items are indexed in shards of bounded
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 from operator import itemgetter
@@ -25,19 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.texts import id_and_text, keep_rows, kept, map_texts
+from pageloom.llm.texts import id_and_text, keep_rows, kept, map_texts, mix
 
 TERM = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
-#: Share of an item's own score. Eighty percent of the shingles hold more than that of the terms' impacts.
+#: Share of an item's own score; less where the shingles that a leak may lack hold more than the rest of it.
 RETRIEVE = 0.5
 OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 16
 SHARD_CHARS = 20_000_000
 REMEMBERED = 150_000
-#: Terms in more than this share of the items are bounded, not added up, in the shallow pass.
-COMMON = 0.1
+#: Pairs of a document's shingle and an item's part that the shallow pass counts at a time.
+COUNTED = 2_000_000
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def terms_of(text: str) -> list[str]:
@@ -48,14 +50,26 @@ def shingles(terms: list[int], size: int = SHINGLE) -> set[tuple[int, ...]]:
     return {tuple(terms[i : i + size]) for i in range(len(terms) - size + 1)} or ({tuple(terms)} if terms else set())
 
 
+def held(wanted: set[tuple[int, ...]], found: set[tuple[int, ...]]) -> float:
+    """Share of the wanted shingles that are among those found; 1 if none is wanted."""
+    return len(wanted & found) / len(wanted) if wanted else 1.0
+
+
 def covered(wanted: set[tuple[int, ...]], terms: list[int]) -> float:
     """Share of the wanted shingles that occur in the terms; 1 if none is wanted."""
-    if not wanted:
-        return 1.0
     found: set[tuple[int, ...]] = set()
     for size in {len(w) for w in wanted}:
         found |= {tuple(terms[i : i + size]) for i in range(len(terms) - size + 1)}
-    return len(wanted & found) / len(wanted)
+    return held(wanted, found)
+
+
+def gram_hashes(terms: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` terms from every place on."""
+    count = max(0, len(terms) - size + 1)
+    out = np.full(count, size, np.uint64)
+    for i in range(size):
+        out = mix(out * _FACTOR + terms[i : i + count].astype(np.uint64))
+    return out
 
 
 class _Words(dict):
@@ -105,7 +119,6 @@ class Index:
     starts: np.ndarray
     items: np.ndarray
     impacts: np.ndarray
-    longest: int
 
     @classmethod
     def build(cls, rows: list[tuple[int | None, str | None]]) -> Index:
@@ -131,27 +144,60 @@ class Index:
         impact = impact / own[item]
         order = np.lexsort((item, term))
         starts = np.concatenate([[0], np.cumsum(df)])
-        return cls(ids, numbers, parts, starts, item[order], impact[order], int(lengths.max(initial=0)))
+        return cls(ids, numbers, parts, starts, item[order], impact[order])
 
-    def bounds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Largest impact of every term, whether the term is common, and what an item can get from common terms at most.
+    def grams(self) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+        """For every size of shingle the sorted hashes and where their parts begin; the parts; and shingles a part.
 
-        Fewer terms count as common where an item could match by those alone.
+        Parts 3 i, 3 i + 1 and 3 i + 2 are item i, its question and its answer.
+        """
+        if getattr(self, "_grams", None) is None:
+            by_size: dict[int, list[tuple[np.ndarray, int]]] = {}
+            counts = np.zeros(3 * len(self.parts), np.int64)
+            for i, (q, a) in enumerate(self.parts):
+                for part, terms in enumerate((q + a, q, a), 3 * i):
+                    if terms:
+                        size = min(SHINGLE, len(terms))
+                        own = np.unique(gram_hashes(np.array(terms, np.int64), size))
+                        counts[part] = len(own)
+                        by_size.setdefault(size, []).append((own, part))
+            lists, owners, at = {}, [], 0
+            for size, found in by_size.items():
+                hashes = np.concatenate([h for h, _ in found])
+                part = np.repeat([p for _, p in found], [len(h) for h, _ in found])
+                order = np.argsort(hashes, kind="stable")
+                names, first = np.unique(hashes[order], return_index=True)
+                lists[size] = names, np.append(first, len(hashes)) + at
+                owners.append(part[order])
+                at += len(hashes)
+            self._grams = lists, np.concatenate(owners).astype(np.int32) if owners else np.empty(0, np.int32), counts
+        return self._grams
+
+    def least(self, overlap: float = OVERLAP) -> float:
+        """The least score of a leak of any item: what is left without the shingles that a leak may lack.
+
+        A term goes only with all shingles that hold it, so a shingle takes its share of each of its terms at most.
         """
-        if getattr(self, "_bounds", None) is None:
-            n, df = len(self.starts) - 1, np.diff(self.starts)
-            owner = np.repeat(np.arange(n), df)
-            top = np.zeros(n)
-            np.maximum.at(top, owner, self.impacts)
-            least = max(4.0, COMMON * len(self.item_ids))
-            while True:
-                common = df > least
-                from_common = np.bincount(self.items, np.where(common[owner], self.impacts, 0), len(self.item_ids))
-                if not common.any() or from_common.max(initial=0) < RETRIEVE / 2:
-                    break
-                least *= 2
-            self._bounds = top, common, from_common
-        return self._bounds
+        known = getattr(self, "_least", None) or {}
+        if overlap not in known:
+            term = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+            order = np.argsort(self.items, kind="stable")
+            ends = np.cumsum(np.bincount(self.items, minlength=len(self.parts)))
+            least = 1.0
+
+            def loss(terms: list[int], impacts: dict[int, float]) -> float:
+                wanted = [set(s) for s in shingles(terms)]
+                holders = Counter(chain.from_iterable(wanted))
+                lost = sorted((sum(impacts[t] / holders[t] for t in s) for s in wanted), reverse=True)
+                return sum(lost[: int(len(wanted) * (1 - overlap) + 1e-9)])
+
+            for i, (q, a) in enumerate(self.parts):
+                own = order[ends[i] - len(set(q + a)) : ends[i]]
+                mine = dict(zip(term[own].tolist(), self.impacts[own].tolist(), strict=True))
+                least = min(least, 1 - max(loss(q + a, mine), loss(q, mine) + loss(a, mine)))
+            known[overlap] = least
+            self._least = known
+        return known[overlap]
 
     def words(self) -> _Words:
         memory = kept("terms of chunks", dict)
@@ -170,8 +216,8 @@ class Index:
         return self._postings
 
     def __getstate__(self) -> dict:
-        names = ("item_ids", "numbers", "parts", "starts", "items", "impacts", "longest")
-        return {n: getattr(self, n) for n in names}
+        names = ("item_ids", "numbers", "parts", "starts", "items", "impacts", "_least")
+        return {n: getattr(self, n, None) for n in names}
 
 
 def wand(index: Index, query: list[int], threshold: float = RETRIEVE) -> list[tuple[int, float]]:
@@ -227,47 +273,76 @@ def wand(index: Index, query: list[int], threshold: float = RETRIEVE) -> list[tu
 _item = itemgetter(0)
 
 
-def reachable(index: Index, terms: np.ndarray, owner: np.ndarray, threshold: float) -> np.ndarray:
-    """Passages that some item could match at the threshold. ``owner`` is the passage of each term."""
-    _, common, from_common = index.bounds()
-    known = terms > 0
-    known[known] = ~common[terms[known]]
-    pairs = np.unique(owner[known] * np.int64(len(common)) + terms[known])
-    passage, term = pairs // len(common), pairs % len(common)
-    size = index.starts[term + 1] - index.starts[term]
-    at = np.repeat(index.starts[term] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    key = np.repeat(passage, size) * np.int64(len(index.item_ids)) + index.items[at]
-    keys, inverse = np.unique(key, return_inverse=True)
-    sums = np.bincount(inverse, index.impacts[at], len(keys))
-    bound = sums + from_common[keys % len(index.item_ids)]
-    return np.unique(keys[bound + 1e-9 >= threshold] // len(index.item_ids))
+def reachable(index: Index, terms: np.ndarray, stops: np.ndarray, overlap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts that may hold an item, and the places and sizes of the items' shingles. ``stops`` is where each text ends."""
+    lists, parts, counts = index.grams()
+    text = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
+    places, sizes, rows = [], [], []
+    for size, (names, first) in lists.items():
+        hashes = gram_hashes(terms, size)
+        if not len(hashes):
+            continue
+        inside = text[: len(hashes)] == text[size - 1 :]
+        for i in range(size):
+            inside &= terms[i : i + len(hashes)] > 0
+        place = np.flatnonzero(inside)
+        row = np.searchsorted(names, hashes[place]).clip(max=len(names) - 1)
+        hit = names[row] == hashes[place]
+        place, row = place[hit], row[hit]
+        places.append(place)
+        sizes.append(np.full(len(place), size))
+        # Each shingle of a text once, with where its parts begin and end.
+        _, single = np.unique(text[place] * np.int64(len(names)) + row, return_index=True)
+        rows.append(np.stack([text[place[single]], first[row[single]], first[row[single] + 1]]))
+    if not any(map(len, places)):
+        return (np.empty(0, np.int64),) * 3
+    every = np.concatenate(rows, 1)
+    owner, begin, end = every[:, np.argsort(every[0], kind="stable")]
+    done = np.concatenate([[0], np.cumsum(end - begin)])
+    found, at = [], 0
+    while at < len(owner):
+        upto = max(at + 1, int(np.searchsorted(done, done[at] + COUNTED, side="right")) - 1)
+        # Whole texts at a time.
+        if upto < len(owner):
+            start = int(np.searchsorted(owner, owner[upto]))
+            upto = start if start > at else int(np.searchsorted(owner, owner[at], side="right"))
+        n = (end - begin)[at:upto]
+        pick = np.repeat(begin[at:upto] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        key, hits = np.unique(np.repeat(owner[at:upto], n) * np.int64(len(counts)) + parts[pick], return_counts=True)
+        key = key[hits + 1e-9 >= overlap * counts[key % len(counts)]]
+        pair, part = key // 3, key % 3
+        whole = pair[part == 0]
+        pairs = np.unique(pair)
+        item = pairs % len(index.parts)
+        question = np.isin(pairs, pair[part == 1]) | (counts[3 * item + 1] == 0)
+        answer = np.isin(pairs, pair[part == 2]) | (counts[3 * item + 2] == 0)
+        found.append(np.concatenate([whole, pairs[question & answer]]) // len(index.parts))
+        at = upto
+    return np.unique(np.concatenate(found)), np.concatenate(places), np.concatenate(sizes)
 
 
 def leaks(index: Index, texts: list[str | None], threshold: float = RETRIEVE, overlap: float = OVERLAP) -> list[dict[int, tuple]]:
-    """For every text: item place -> (score, whole, question and answer overlap) of its best passage."""
+    """For every text: item place -> (score, whole, question and answer overlap)."""
     out: list[dict[int, tuple]] = [{} for _ in texts]
     if not index.item_ids:
         return out
-    stride = max(SHINGLE, index.longest)
     terms, stops = index.words().terms(texts)
-    starts = np.concatenate([[0], stops[:-1]])
-    lengths = stops - starts
-    per_text = np.maximum(1, -(-lengths // stride) - 1) * (lengths > 0)
-    text = np.repeat(np.arange(len(texts)), per_text)
-    first = starts[text] + (np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)) * stride
-    last = np.minimum(first + 2 * stride, stops[text])
-    span = last - first
-    owner = np.repeat(np.arange(len(text)), span)
-    place = np.repeat(first - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
-    for passage in reachable(index, terms[place], owner, threshold).tolist():
-        window = terms[first[passage] : last[passage]].tolist()
-        for item, score in wand(index, window, threshold):
+    may, places, sizes = reachable(index, terms, stops, overlap)
+    if not len(may):
+        return out
+    order = np.argsort(places, kind="stable")
+    places, sizes = places[order], sizes[order]
+    need = max(min(threshold, index.least(overlap)), 1e-8)
+    for text in may.tolist():
+        start, stop = int(stops[text - 1]) if text else 0, int(stops[text])
+        own, begin = terms[start:stop].tolist(), np.searchsorted(places, [start, stop])
+        grams = {tuple(own[p - start : p - start + n]) for p, n in zip(places[slice(*begin)].tolist(), sizes[slice(*begin)].tolist(), strict=True)}
+        for item, score in wand(index, list(chain.from_iterable(sorted(grams))), need):
             question, answer = index.parts[item]
-            whole = covered(shingles(question + answer), window)
-            in_question, in_answer = covered(shingles(question), window), covered(shingles(answer), window)
+            whole = held(shingles(question + answer), grams)
+            in_question, in_answer = held(shingles(question), grams), held(shingles(answer), grams)
             if whole >= overlap or (in_question >= overlap and in_answer >= overlap):
-                mine = out[text[passage]]
-                mine[item] = max(mine.get(item, (0.0,)), (score, whole, in_question, in_answer))
+                out[text][item] = score, whole, in_question, in_answer
     return out
 
 
@@ -290,11 +365,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, o
     """``doc_id, item_id, score, overlap, question_overlap, answer_overlap`` for every leaked item of every document row.
 
     Null and empty texts leak nothing. The score is the share of the item's own
-    BM25 score that the document's best passage reaches.
+    BM25 score that the document reaches with its terms in shingles of the items.
     """
     schema = "doc_id bigint, item_id bigint, score double, overlap double, question_overlap double, answer_overlap double"
     result = None
     for index in shards(items):
+        index.least(overlap)  # once, not in every worker
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def work(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
@@ -319,6 +395,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, o
 def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
     """Documents that leak no item, with all their columns."""
     for index in shards(items):
+        index.least(overlap)
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = keep_rows(docs, lambda texts, shared=shared: np.array([not f for f in leaks(shared.value, texts, threshold, overlap)], bool))
     return docs

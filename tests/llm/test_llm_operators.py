@@ -589,6 +589,53 @@ def test_leaks_of_odd_rows(spark, edge, nothing):
     assert len(benchmark_leaks.shards(items, shard_chars=40)) > 1
 
 
+def whole_leaks(texts, items):
+    """The twin's definition over whole texts: item, or question and answer, to 80 %."""
+    out = set()
+    for item, text in items:
+        question, _, answer = text.partition("\n")
+        parts = [benchmark_leaks.shingles(benchmark_leaks.terms_of(p)) for p in (text, question, answer)]
+        for place, t in enumerate(texts):
+            whole, q, a = (benchmark_leaks.covered(p, benchmark_leaks.terms_of(t)) for p in parts)
+            if whole >= 0.8 or (q >= 0.8 and a >= 0.8):
+                out.add((place, item))
+    return out
+
+
+def test_leaks_wherever_their_shingles_stand():
+    rnd = random.Random(5)
+    filler = [f"f{i}" for i in range(3000)]
+    question, answer = [f"q{i}" for i in range(25)], [f"a{i}" for i in range(25)]
+    template = "which of the following answers to the question is the right one if any of them is".split()
+    items = [(1, " ".join(question) + "\n" + " ".join(answer)), (2, "short question of six terms here\nyes")]
+    # Nearly all of item 3 stands in every item, so that its own terms hold most of its score.
+    items += [(3 + i, " ".join([*template, f"z{i}"]) + "\n" + " ".join(f"w{i}x{j}" for j in range(3 * (i > 0)))) for i in range(30)]
+    texts = [" ".join(template), " ".join(filler[:500]) + " short question of six terms here " + " ".join(filler[:900]) + " Yes", "yes"]
+    for gap in (0, 1, 100, 2000):
+        texts.append(" ".join([*filler[:40], *question, *filler[40 : 40 + gap], *answer, *filler[:40]]))
+        texts.append(" ".join([*answer, *filler[: 40 + gap], *question[:-3]]))
+    for before in range(0, 110):
+        at = rnd.randint(1, 49)
+        copy = question + answer
+        texts.append(" ".join([*filler[:before], *copy[:at], *filler[2000:2030], *copy[at:], *filler[:60]]))
+    index = benchmark_leaks.Index.build(items)
+    found = {(place, index.item_ids[item]) for place, mine in enumerate(benchmark_leaks.leaks(index, texts)) for item in mine}
+    assert found == whole_leaks(texts, items) and {(0, 3), (1, 2), (9, 1), (10, 1)} <= found and (2, 2) not in found
+    assert {place for place, item in found if item == 1} == set(range(3, len(texts)))
+
+
+def test_leaks_have_the_least_score():
+    rnd = random.Random(11)
+    for _ in range(150):
+        pool = [f"t{i}" for i in range(rnd.choice([6, 15, 60]))]
+        parts = [[[rnd.choice(pool) for _ in range(rnd.randint(0, n))] for n in (18, 12)] for _ in range(rnd.randint(1, 8))]
+        items = [(i, " ".join(["k", *q]) + "\n" + " ".join(a)) for i, (q, a) in enumerate(parts)]
+        texts = [" ".join(rnd.choice(items)[1].split()[rnd.randint(0, 3) :] + rnd.choices(pool, k=rnd.randint(0, 9))) for _ in range(12)]
+        index = benchmark_leaks.Index.build(items)
+        found = {(place, index.item_ids[item]) for place, mine in enumerate(benchmark_leaks.leaks(index, texts)) for item in mine}
+        assert found == whole_leaks(texts, items)
+
+
 def test_folds_of_null_keys(spark):
     from pyspark.sql import functions as F
 
