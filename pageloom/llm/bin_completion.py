@@ -70,31 +70,36 @@ def fillings(left: Counter, ordered: list[int], room: int, limit: int = FILLINGS
 
     With ``perfect`` the first one without waste ends the enumeration.
 
-    A filling ends with the largest size that still fits, since any smaller last
-    size is dominated by that; one that can take a further piece is dominated too.
+    The stack is as deep as there are distinct sizes: all copies of a size are
+    taken at once, then fewer of them. A filling that can take a further piece is
+    dominated.
     """
     found: list[tuple[int, ...]] = []
+    # Sizes taken with their copies, room left, place of the next size, its copies to take, smallest size that was passed over.
+    stack: list[tuple[tuple[tuple[int, int], ...], int, int, int, int]] = []
+
+    def onward(taken: tuple[tuple[int, int], ...], free: int, top: int, passed: int) -> None:
+        """On to the largest size below place ``top`` that fits; if none does, a filling that nothing passed over can join is found."""
+        at = bisect_right(ordered, free, 0, top) - 1
+        if at >= 0:
+            stack.append((taken, free, at, min(left[ordered[at]], free // ordered[at]), passed))
+        elif taken and free < passed:
+            found.append(tuple(size for size, copies in taken for _ in range(copies)))
+
+    onward((), room, len(ordered), room + 1)
     steps = 0
-
-    def extend(taken: tuple[int, ...], free: int, top: int) -> None:
-        nonlocal steps
+    while stack and len(found) < 4 * limit and steps < STEPS:
         steps += 1
-        at = bisect_right(ordered, min(free, top)) - 1
-        while at >= 0 and len(found) < 4 * limit and steps < STEPS:
-            size = ordered[at]
-            if left[size] > taken.count(size):
-                rest = free - size
-                if rest < ordered[0]:
-                    found.append((*taken, size))
-                    return  # smaller last pieces are dominated by this one
-                extend((*taken, size), rest, size)
-                if perfect and found and sum(found[-1]) == room:
-                    return
-            at -= 1
-        if at < 0 and taken and steps < STEPS and not any(left[s] > taken.count(s) for s in ordered[: bisect_right(ordered, free)]):
-            found.append(taken)
-
-    extend((), room, room)
+        taken, free, at, copies, passed = stack.pop()
+        size = ordered[at]
+        rest = free - copies * size
+        # Smaller pieces in the last copy's place are dominated where that leaves no room, or holds no two of them.
+        fewer = copies - 1 - (rest == 0 or rest < ordered[0] and 2 * ordered[0] > rest + size)
+        if at and fewer >= 0:
+            stack.append((taken, free, at, fewer, size))
+        onward((*taken, (size, copies)) if copies else taken, rest, at, passed)
+        if perfect and found and sum(found[-1]) == room:
+            break
     unique = sorted(set(found), key=lambda f: (-sum(f), len(f)))
     kept: list[tuple[int, ...]] = []
     for filling in unique:
@@ -104,14 +109,17 @@ def fillings(left: Counter, ordered: list[int], room: int, limit: int = FILLINGS
 
 
 def dominates(better: tuple[int, ...], filling: tuple[int, ...]) -> bool:
-    """Whether the pieces of ``filling`` can be put, whole, into places as large as those of ``better``."""
-    rooms = sorted(better, reverse=True)
-    for size in sorted(filling, reverse=True):
-        fit = [r for r in rooms if r >= size]
-        if not fit:
+    """Whether the pieces of ``filling`` can be put, whole, into places as large as those of ``better``.
+
+    Pieces that both have take each other's places.
+    """
+    places, given = Counter(better), Counter(filling)
+    rooms = sorted((places - given).elements())
+    for size in sorted((given - places).elements(), reverse=True):
+        at = bisect_left(rooms, size)
+        if at == len(rooms):
             return False
-        rooms.remove(tightest := min(fit))
-        rooms.append(tightest - size)
+        insort(rooms, rooms.pop(at) - size)
     return True
 
 

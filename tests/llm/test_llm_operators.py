@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -324,6 +325,31 @@ def test_fillings_are_undominated():
     assert not any(a != b and bin_completion.dominates(a, b) and sum(a) > sum(b) for a in found for b in found)
 
 
+def test_fillings_equal_all_maximal_ones():
+    rnd = random.Random(8)
+    for _ in range(200):
+        left = Counter(rnd.randint(5, 40) for _ in range(rnd.randint(1, 8)))
+        room, sizes = rnd.randint(5, 90), sorted(left)
+        found = bin_completion.fillings(left, sizes, room, limit=1000)
+        taken = [dict(zip(sizes, n, strict=True)) for n in itertools.product(*(range(left[s] + 1) for s in sizes))]
+        taken = [(t, room - sum(s * n for s, n in t.items())) for t in taken]
+        whole = [tuple(Counter(t).elements()) for t, free in taken if free >= 0 and not any(left[s] > n and s <= free for s, n in t.items())]
+        assert {tuple(sorted(f)) for f in found} <= set(whole)
+        assert all(any(bin_completion.dominates(f, w) for f in found) for w in whole if w)
+
+
+def test_packing_of_thousands_of_tiny_pieces():
+    rnd = random.Random(9)
+    groups = [[3] * 8192, [2] * 8192, [2, 3] * 4096, [rnd.choice([2, 3]) for _ in range(8192)]]
+    groups.append([3] * 2731 + [rnd.randint(100, 3000) for _ in range(800)])
+    groups.append([3] * 4000 + [2048] * 3 + [1400] * 5 + [7] * 1000)
+    for sizes in groups:
+        bins = bin_completion.pack(sizes)
+        assert Counter(s for b in bins for s in b) == Counter(sizes) and all(sum(b) <= 4096 for b in bins)
+        assert bin_completion.lower_bound(sizes, 4096) <= len(bins) <= len(bin_completion.best_fit(sizes, 4096))
+    assert len(bin_completion.pack([2, 3] * 4096)) == 5
+
+
 def check_packing(rows, ids_of):
     """Every id of every document once and in order, and gapless sequences of at most 4096."""
     by_document, by_sequence = defaultdict(list), defaultdict(list)
