@@ -3,7 +3,9 @@
 Every page's containers are scored: a block of text counts for its container, half for the one around it, and text in
 links counts against it. The page votes for the generalised path (tags and classes without digits, from the root down)
 of its best container; Spark adds up the votes by host. Each page is then read again along its host's winning paths,
-most votes first; a page that has none of them falls back on its own best container.
+most votes first; a page that has none of them falls back on its own best container. From there it climbs to the whole
+article: to the article or main element around it, and as far as nothing beside it is a list of links (see ``climbed``).
+Every block there that isn't left out is kept.
 
 Left out wherever they stand: menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts,
 styles, hidden parts and reader comments. Text outside of markup is kept whole: character references decoded, white
@@ -32,8 +34,6 @@ from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
 PATHS_A_HOST = 3
-#: Of several containers on a winning path, those that hold this share of the best one's score.
-ALONGSIDE = 0.2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|[^<]+|<", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
@@ -89,11 +89,14 @@ class Page:
         self.out.append(out or tag in LEFT_OUT or not inside)
         return len(self.tag) - 1
 
-    def _tags(self, node: int) -> Iterator[str]:
+    def _up(self, node: int) -> Iterator[int]:
         while node >= 0:
-            yield self.tag[node]
+            yield node
             node = self.parent[node]
 
+    def _tags(self, node: int) -> Iterator[str]:
+        return (self.tag[n] for n in self._up(node))
+
     def path(self, node: int) -> str:
         names = []
         while node >= 0:
@@ -120,6 +123,42 @@ class Page:
                     found[around] = found.get(around, 0.0) + worth / 2
         return found
 
+    def climbed(self, nodes: list[int]) -> set[int]:
+        """The elements that hold the whole article of which the given ones are a part.
+
+        Inside an article or main element that is the nearest one. From there, or
+        from the elements themselves, it goes on to the element around as long as
+        nothing in that is mostly links; out of an article or main element only to
+        a main element.
+        """
+        length, linked = [0] * len(self.tag), [0] * len(self.tag)
+        menus: list[int] = [0] * len(self.tag)
+        for node, text, n in self.blocks:
+            if not self.out[node]:
+                length[node] += len(text)
+                linked[node] += n
+        menu = [False] * len(self.tag)
+        loose = [2 * n > size for n, size in zip(linked, length, strict=True)]
+        for node in range(len(self.tag) - 1, -1, -1):
+            parent = self.parent[node]
+            menu[node] = 2 * linked[node] > length[node] and self.tag[node] != "p" and self.tag[node] not in HEADINGS
+            if parent >= 0:
+                length[parent] += length[node]
+                linked[parent] += linked[node]
+                menus[parent] += menu[node]
+        found = set()
+        for node in nodes:
+            whole = next((n for n in self._up(node) if self.tag[n] in ("article", "main")), None)
+            top = node if whole is None else whole
+            mains = {n for n in self._up(top) if self.tag[n] == "main"}
+            at = top
+            while (around := self.parent[at]) >= 0 and not loose[around] and menus[around] == menu[at]:
+                at = around
+                if whole is None or at in mains:
+                    top = at
+            found.add(top)
+        return found
+
     def text(self, roots: set[int]) -> str:
         """Blocks under the given elements."""
         inside = [False] * len(self.tag)
@@ -261,9 +300,8 @@ def extract(source: str | None, paths: list[str] | None) -> str:
         named.setdefault(page.path(node), []).append(node)
     for path in paths or []:
         if path in named:
-            top = max(scores[n] for n in named[path])
-            return page.text({n for n in named[path] if scores[n] >= ALONGSIDE * top})
-    return page.text({min(scores, key=lambda n: (-scores[n], n))})
+            return page.text(page.climbed(named[path]))
+    return page.text(page.climbed(named[page.path(min(scores, key=lambda n: (-scores[n], n)))]))
 
 
 def host_of(url: str = "url") -> F.Column:

@@ -246,6 +246,30 @@ def test_main_text_follows_the_host(spark):
     assert main_text.extract(cut[: cut.index("<li>b") + 3], None) == "T & 1\n\nOne two x <b>!\n\na"
 
 
+def test_main_text_keeps_the_whole_article():
+    menu, long, short = "<div class=top><a href=/>Home</a> <a href=/b>More</a></div>", "long " * 200, "short " * 17
+    lead, body = "lead " * 80, "body " * 120
+
+    def both(article, around=menu):
+        page = f"<html><body>{around}{article}<footer>f</footer></body></html>"
+        container = main_text.parse(page)
+        return {main_text.extract(page, None), main_text.extract(page, [container.path(main_text.best_container(container))])}
+
+    def joined(*parts):
+        return {"\n\n".join(" ".join(p.split()) for p in parts)}
+
+    uneven = f"<h1>T</h1><section>{long}</section><section>{short}</section>"
+    assert both(f"<main>{uneven}</main>") == joined("T", long, short)
+    assert both(f"<main><h1>T</h1><article><section>{long}</section></article><p>{short}</main>") == joined("T", long, short)
+    assert both(f"<div class=wrap>{uneven}</div>") == joined("T", long, short)
+    classes = f"<div class=lead><p>{lead}</p></div><div class=text><p>{body}</p></div>"
+    assert both(f"<div class=wrap>{classes}</div>") == joined(lead, body) and both(classes, "") == joined(lead, body)
+    assert both(f"<article>{classes}<ul><li><a href=/r>Reference</a></ul></article>") == joined(lead, body, "Reference")
+    assert both(f"<article>{classes}</article><div>aside of the page</div>") == joined(lead, body)
+    # On one path, however short.
+    assert both(f"<div class=wrap>{menu}<section>{long}</section><section>{short}</section></div>") == joined(long, short)
+
+
 # --- 5 -------------------------------------------------------------------------------
 
 
