@@ -6,7 +6,8 @@ phrase of its own. The language that needs the fewest phrases wins, each weighed
 language's labelled text, so that a language known from more text isn't favoured for it.
 
 Texts are parsed whole, in segments of ``SEGMENT`` symbols (a phrase ends with its segment), many segments abreast in
-numpy. Symbols are lower-cased letters; a run of anything else is one blank.
+numpy. Symbols are lower-cased letters; a run of anything else is one blank. The most common letters of the sample are
+one symbol each, every other one that occurs in it is two symbols or more, so that tables stay narrow in any script.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ SEGMENT = 1024
 #: Bounds of the labelled sample: documents for each language, and symbols that they contribute.
 SAMPLE_DOCS = 400
 SAMPLE_SYMBOLS = 25_000
-SYMBOLS = 60
+#: Letters that are one symbol, and digits that the number of any other letter of the sample is written in.
+SYMBOLS, DIGITS = 60, 32
 UNDETERMINED = "und"
 _BLANK, _OTHER = 1, 2
 
@@ -51,11 +53,12 @@ def code_points(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Labelled sample: a symbol's number by code point, and the symbols of each language's text."""
+    """Labelled sample: a symbol's number by code point, the symbols of each language's text, and the other letters in order."""
 
     alphabet: dict[int, int]
     texts: dict[str, np.ndarray]
     _tables: tuple | None = field(default=None, repr=False)
+    rare: list[int] = field(default_factory=list)
 
     @property
     def languages(self) -> list[str]:
@@ -66,7 +69,31 @@ class Model:
         coded = self.coder()[points]
         keep = np.ones(len(coded), bool)
         keep[1:] = (coded[1:] != _BLANK) | (coded[:-1] != _BLANK)
-        return coded[keep]
+        coded = coded[keep]
+        if not self.rare:
+            return coded
+        place = np.flatnonzero(coded == _OTHER)
+        rank = self.ranks()[points[keep][place]]
+        place, rank = place[rank >= 0], rank[rank >= 0]
+        n = 2
+        while DIGITS**n < len(self.rare):
+            n += 1
+        size = np.ones(len(coded), np.int64)
+        size[place] = n
+        out, ends = np.repeat(coded, size), np.cumsum(size)[place]
+        for i in range(n):
+            out[ends - 1 - i] = self.first_digit + rank // DIGITS**i % DIGITS
+        return out
+
+    @property
+    def first_digit(self) -> int:
+        return max(self.alphabet.values(), default=_OTHER) + 1
+
+    def ranks(self) -> np.ndarray:
+        if getattr(self, "_ranks", None) is None:
+            self._ranks = np.full(0x110000, -1, np.int32)
+            self._ranks[self.rare] = np.arange(len(self.rare))
+        return self._ranks
 
     def coder(self) -> np.ndarray:
         if getattr(self, "_coder", None) is None:
@@ -79,7 +106,7 @@ class Model:
     def automata(self) -> tuple[np.ndarray, np.ndarray, int]:
         """All transition tables in a row, the place of each root, and symbols to a state."""
         if self._tables is None:
-            width = max(self.alphabet.values(), default=_OTHER) + 1
+            width = self.first_digit + (DIGITS if self.rare else 0)
             tables, roots, at = [], [], 0
             for language in self.languages:
                 own = suffix_automaton(self.texts[language], width)
@@ -91,7 +118,7 @@ class Model:
         return self._tables
 
     def __getstate__(self) -> dict:
-        return {"alphabet": self.alphabet, "texts": self.texts, "_tables": None}
+        return {"alphabet": self.alphabet, "texts": self.texts, "_tables": None, "rare": self.rare}
 
 
 def suffix_automaton(symbols: np.ndarray, width: int) -> np.ndarray:
@@ -178,8 +205,8 @@ def build(samples: dict[str, list[str]], limit: int = SAMPLE_SYMBOLS) -> Model:
         for text in texts:
             points, counts = np.unique(code_points(text), return_counts=True)
             seen.update({int(p): int(n) for p, n in zip(points, counts, strict=True) if known[p]})
-    ranked = sorted(seen, key=lambda p: (-seen[p], p))[:SYMBOLS]
-    model = Model({p: _OTHER + 1 + i for i, p in enumerate(ranked)}, {})
+    ranked = sorted(seen, key=lambda p: (-seen[p], p))
+    model = Model({p: _OTHER + 1 + i for i, p in enumerate(ranked[:SYMBOLS])}, {}, rare=ranked[SYMBOLS:])
     for language, texts in samples.items():
         parts: list[np.ndarray] = []
         held = 0
@@ -197,23 +224,43 @@ def train(
 ) -> Model:
     """A model from a bounded sample of the labelled documents outside the held-out fold.
 
-    Every language gives at most ``sample_docs`` texts, those with the smallest
-    hashes, and of each its first ``2 * sample_symbols / sample_docs`` characters.
+    Every language gives at most ``sample_docs`` distinct texts, those with the
+    smallest hashes, and of each a window at a place that its hash names. Windows
+    are so long that they hold ``2 * sample_symbols`` characters together, or are
+    the whole texts.
     """
-    chars = max(1, 2 * sample_symbols // sample_docs)
     labelled = id_and_text(docs, "doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held_out)
     )
-    rows = labelled.groupBy("lang").count()
     unit = 1 << 30
-    hashed = labelled.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, chars).alias("head"))
-    near = hashed.join(F.broadcast(rows), "lang").where(
-        F.pmod("h", F.lit(unit)) * F.col("count") < F.lit(2.0 * unit * sample_docs)
-    )
-    picked = near.dropDuplicates(["lang", "head"]).groupBy("lang").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("h", "head"))), 1, sample_docs).alias("texts")
-    )
-    return build({r["lang"]: [t["head"] for t in r["texts"]] for r in picked.collect()}, sample_symbols)
+    hashed = labelled.select("lang", F.xxhash64("text").alias("h"), "text")
+    rows = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("count"))
+    near = hashed.join(F.broadcast(rows), "lang").where(F.pmod("h", F.lit(unit)) * F.col("count") < F.lit(2.0 * unit * sample_docs))
+    facts = F.struct(F.pmod("h", F.lit(unit)).alias("place"), "h", F.length("text").cast("bigint").alias("n"))
+    listed = near.select("lang", facts.alias("fact")).distinct().groupBy("lang")
+    wanted = listed.agg(F.slice(F.array_sort(F.collect_list("fact")), 1, sample_docs).alias("facts")).collect()
+    if not wanted:
+        return build({}, sample_symbols)
+    chosen = [(r["lang"], f["h"], window([g["n"] for g in r["facts"]], 2 * sample_symbols)) for r in wanted for f in r["facts"]]
+    names = docs.sparkSession.createDataFrame(chosen, "lang string, h bigint, chars bigint")
+    start = F.pmod(F.xxhash64("h", F.lit(1)), F.greatest(F.lit(1), F.length("text") - F.col("chars") + 1)) + 1
+    part = F.substring("text", start.cast("int"), F.col("chars").cast("int")).alias("part")
+    picked = hashed.join(F.broadcast(names), ["lang", "h"]).select("lang", F.pmod("h", F.lit(unit)).alias("place"), "h", part)
+    texts: dict[str, list[str]] = {}
+    for r in sorted(picked.dropDuplicates(["lang", "h"]).collect(), key=lambda r: (r["lang"], r["place"], r["h"])):
+        texts.setdefault(r["lang"], []).append(r["part"])
+    return build(texts, sample_symbols)
+
+
+def window(lengths: list[int], total: int) -> int:
+    """The least length to which texts can be cut and hold ``total`` together; that of the longest if they don't."""
+    left = total
+    for i, n in enumerate(sorted(lengths)):
+        share = -(-left // (len(lengths) - i))
+        if n >= share:
+            return max(1, share)
+        left -= n
+    return max([1, *lengths])
 
 
 def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:

@@ -588,6 +588,34 @@ def test_language_of_odd_rows(spark, edge, nothing):
     assert cross_parsing.identify(nothing, model).isEmpty()
 
 
+def invented(seed, alphabet, n_words):
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choices(alphabet, k=rnd.randint(3, 8))) for _ in range(80)]
+    return lambda: " ".join(rnd.choices(words, k=n_words))
+
+
+def test_language_learns_from_whole_texts(spark):
+    header = "one and the same header of every page " * 10
+    of = {lang: invented(lang, "abcdefghijklmnopqrst", 700) for lang in ("aa", "bb")}
+    outside = [i for i in range(60) if fold(i, 3) != 1]
+    rows = [(outside[2 * i + k], header + of[lang](), lang) for i in range(10) for k, lang in enumerate(of)]
+    model = cross_parsing.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert all(len(model.texts[lang]) >= cross_parsing.SAMPLE_SYMBOLS for lang in of)
+    fresh = [(lang, of[lang]()[:200]) for lang in of for _ in range(20)]
+    assert cross_parsing.predict([t for _, t in fresh], model)[0] == [lang for lang, _ in fresh]
+    assert cross_parsing.window([5, 100, 100], 105) == 50 and cross_parsing.window([5, 6], 100) == 6
+
+
+def test_languages_beyond_the_common_letters():
+    # Much Latin, Cyrillic and Greek text; two languages of one script each beyond those letters, and two of one wide script.
+    scripts = {"la": (97, 26), "ru": (0x430, 32), "el": (0x3B1, 24), "he": (0x5D0, 27), "hy": (0x561, 38), "ka": (0x10D0, 33), "z1": (0x4E00, 2500), "z2": (0x4E00, 2500)}
+    of = {name: invented(name, [chr(c) for c in range(first, first + n)], 300) for name, (first, n) in scripts.items()}
+    model = cross_parsing.build({name: [make() for _ in range(20 if name in ("la", "ru", "el") else 4)] for name, make in of.items()})
+    fresh = [(name, make()[:120]) for name, make in of.items() for _ in range(10)]
+    assert cross_parsing.predict([t for _, t in fresh], model)[0] == [name for name, _ in fresh]
+    assert model.automata()[2] < 256
+
+
 # --- 10 ------------------------------------------------------------------------------
 
 
