@@ -69,4 +69,46 @@ SELECT doc_id, item_id, round(overlap, 6) AS overlap, round(question_overlap, 6)
   round(answer_overlap, 6) AS answer_overlap
 FROM shares WHERE overlap >= 0.8 OR (question_overlap >= 0.8 AND answer_overlap >= 0.8)"""
 
-ORACLE_SQL: dict[str, str] = {"op8_minhash_near_copies": NEAR_COPIES, "op10_benchmark_leaks": LEAKS}
+EXACT_COPIES = f"""SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY lowered ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(lowered) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS lowered FROM documents)
+WINDOW same AS (PARTITION BY lowered)"""
+
+#: The polynomial of crc32, bit by bit; near pairs share what is left after a deletion, and replacements are told apart from moves by position.
+SPELLING = f"""WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS times FROM (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+bytes AS (
+  SELECT run, times, length(run) AS size, hex(encode(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run)) AS digits FROM runs),
+hashed AS (
+  SELECT run, times, size, xor(list_reduce(list_prepend(4294967295, list_transform(generate_series(1, len(digits), 2),
+    lambda i: CAST('0x' || substring(digits, i, 2) AS BIGINT))), lambda c, b: list_reduce(
+      [xor(c, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda a, _: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) AS h FROM bytes),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % size) || substring(run, h % size + 2) ELSE run END AS word, times FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+less AS (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM (
+    SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN less b ON a.word = b.rest),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS other_n, arg_min(other, (-other_n, other)) AS other FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= 10 * w.n THEN b.other END AS form,
+    CASE WHEN b.other_n >= 10 * w.n THEN b.other_n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+steps AS (
+  SELECT word, word AS root FROM forms UNION SELECT s.word, f.form FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT s.word, s.root FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_minhash_near_copies": NEAR_COPIES,
+    "op10_benchmark_leaks": LEAKS,
+    "op11_block_names": EXACT_COPIES,
+    "op12_spelling_groups": SPELLING,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, cross_polytope, interpolated_lm, main_text, near_copies, piece_counts, subword_classifier, token_files
+from pageloom.llm import benchmark_leaks, bin_completion, bit_scatter, block_names, cross_parsing, cross_polytope, frequency_trie, interpolated_lm, main_text, near_copies, piece_counts, subword_classifier, token_files
 from pageloom.llm.oracle import ORACLE_SQL
 from pageloom.llm.texts import importable
 from pageloom.storage import durable, fresh_path
@@ -74,6 +74,18 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", *overlaps)
 
 
+def op11_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frequency_trie.spelling_groups(frequency_trie.counted_words(table(spark, sf_dir, "documents")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_scatter.whiten(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -87,4 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_copies": op8_minhash_near_copies,
     "op9_language_id": op9_language_id,
     "op10_benchmark_leaks": op10_benchmark_leaks,
+    "op11_block_names": op11_block_names,
+    "op12_spelling_groups": op12_spelling_groups,
+    "op13_whitening": op13_whitening,
 }
