@@ -1,13 +1,13 @@
 """Exact duplicates by deterministic block naming.
 
-Texts are cut into blocks of a fixed number of bytes. All blocks are sorted and
-numbered in that order, so equal blocks, and only those, share an integer name.
+Texts are cut into blocks of a fixed number of bytes. The blocks are sorted and
+numbered in order, so equal blocks, and only those, share an integer name.
 Then the names of adjacent pairs are named in the same way, level by level,
 until one name is left of each text: texts are equal when they end on the same
-level with the same name. Nothing is hashed, so nothing can collide.
+level with the same name. Names come from comparing whole blocks, so no two collide.
 
 On Spark: the rows are dealt with in slices. A slice sends each of its distinct
-blocks (later pairs) once to a range sort, whatever number of its texts hold it,
+blocks (later pairs) once to the sort, whatever number of its texts hold it,
 and gets the names back. A text that very many rows share is one row of each
 slice there; the rows themselves never meet.
 """
@@ -99,6 +99,7 @@ def _identities(state: DataFrame) -> DataFrame:
         if level and waiting.isEmpty():
             break
         names = sorted_names(waiting.select("slice", F.posexplode("keys").alias("place", "key")))
+        waiting = waiting.drop("keys")
         state = durable(waiting.groupBy("slice").cogroup(names.groupBy("slice")).applyInArrow(_pairing(level), _STATE), "named")
         done.append(state.where(F.size("keys") == 0).select("slice", "levels", "names"))
         level += 1
@@ -106,12 +107,15 @@ def _identities(state: DataFrame) -> DataFrame:
 
 
 def sorted_names(keys: DataFrame) -> DataFrame:
-    """``slice, place, name`` of rows ``slice, place, key``: the rank of the key among all distinct keys in byte order.
+    """``slice, place, name`` of rows ``slice, place, key``: a number from 0 on for each distinct key.
 
-    Keys are sorted over ranges; each range counts its distinct keys and starts
-    where the ranges before it end, so only one number a range is collected.
+    Equal keys meet in one partition and are sorted there as whole byte strings. A
+    partition counts its distinct keys and starts where those before it end, so
+    only one number a partition is collected. Keys are dealt out by hash and not by
+    range: a range would need samples of whole blocks in the driver, and blocks that
+    begin alike would crowd one range.
     """
-    ordered = keys.repartitionByRange(F.col("key")).sortWithinPartitions("key")
+    ordered = keys.repartition(F.col("key")).sortWithinPartitions("key")
     ranked = durable(ordered.mapInArrow(_ranks, "part int, slice long, place int, rank long"), "ranks")
     counts = ranked.groupBy("part").agg((F.max("rank") + 1).alias("keys")).orderBy("part").toArrow()
     ends = np.cumsum(counts["keys"].to_numpy())
