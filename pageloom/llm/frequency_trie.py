@@ -5,7 +5,9 @@ and the words stand in a trie by the successive counts of their vectors. One
 edit changes a vector by at most one letter too many in one group and one too
 few in another, so a depth-first search that may spend one surplus and one
 deficit meets every word within one edit; the words of the leaves it reaches are
-verified letter by letter.
+verified letter by letter. Of two words with different vectors only one searches,
+the one with fewer letters in the first group that differs: its search spends the
+surplus first.
 
 On Spark: a word goes to the task of its vector's first counts, and asks in the
 tasks of all beginnings that the budget reaches. So many counts make a beginning
@@ -15,7 +17,7 @@ that each has a bounded number of words. No two words meet but in a leaf.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -167,9 +169,10 @@ def _depth(words: DataFrame, of: np.ndarray, groups: int, most_words: int) -> tu
 
 
 def within_budget(depth: int) -> np.ndarray:
-    """All changes of ``depth`` counts by at most one surplus and at most one deficit."""
-    moves = {tuple(np.eye(depth + 1, dtype=int)[up][:depth] - np.eye(depth + 1, dtype=int)[down][:depth]) for up, down in product(range(depth + 1), repeat=2)}
-    return np.array(sorted(moves), np.int64).reshape(-1, depth)
+    """All changes of ``depth`` counts by at most one surplus and, after it, at most one deficit."""
+    one = np.eye(depth, dtype=np.int64)
+    moves = [np.zeros(depth, np.int64), *one, *(one[up] - one[down] for up, down in combinations(range(depth), 2))]
+    return np.array(moves).reshape(-1, depth)
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,37 +211,37 @@ class Trie:
             node = np.searchsorted(keys, node * self.base + rows[:, level] + 1)
         self.starts = np.searchsorted(node, np.arange(node[-1] + 2 if len(node) else 1))
 
-    def leaves(self, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(leaf, query)`` arrays of all leaves within one surplus and one deficit of the queries.
+    def leaves(self, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """``(leaf, query)`` arrays of all leaves within one surplus and then one deficit of the queries, and whether any was spent.
 
         Depth first; a step of the stack takes all queries that have spent their
         budget alike along one branch of decisions.
         """
-        stack = [(0, np.zeros(len(asked), np.int64), np.arange(len(asked)), 0, 0)]
+        stack = [(0, np.zeros(len(asked), np.int64), np.arange(len(asked)), ())]
         while stack:
-            level, node, who, surplus, deficit = stack.pop()
+            level, node, who, spent = stack.pop()
             if level == len(self.levels):
-                yield node, who
+                yield node, who, bool(spent)
                 continue
             keys = self.levels[level]
             count = asked[who, level]
-            for step in (0, *([1] * (not surplus)), *([-1] * (not deficit))):
+            for step in {(): (0, 1), (1,): (0, -1), (1, -1): (0,)}[spent]:
                 wanted = node * self.base + count + 1 + step
                 at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
                 there = keys[at] == wanted
                 if there.any():
-                    stack.append((level + 1, at[there], who[there], surplus + (step > 0), deficit + (step < 0)))
+                    stack.append((level + 1, at[there], who[there], (*spent, step) if step else spent))
 
-    def pairs(self, asked: np.ndarray, most: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """``(word, query)`` arrays of all words of the leaves, in pieces of about ``most``."""
-        for leaf, who in self.leaves(asked):
+    def pairs(self, asked: np.ndarray, most: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """``(word, query)`` arrays of all words of the leaves, in pieces of about ``most``, and whether their vectors differ."""
+        for leaf, who, differ in self.leaves(asked):
             ends = np.cumsum(self.starts[leaf + 1] - self.starts[leaf])
             start = 0
             while start < len(leaf):
                 stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, side="right")))
                 sizes = (self.starts[leaf + 1] - self.starts[leaf])[start:stop]
                 within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                yield self.order[np.repeat(self.starts[leaf[start:stop]], sizes) + within], np.repeat(who[start:stop], sizes)
+                yield self.order[np.repeat(self.starts[leaf[start:stop]], sizes) + within], np.repeat(who[start:stop], sizes), differ
                 start = stop
 
 
@@ -256,18 +259,20 @@ def one_edit(a: str, b: str) -> bool:
 
 
 class _Letters:
-    """Words as rows of code points, from the left and from the right, up to ``WIDTH``."""
+    """Words as rows of code points, from the left and from the right, as wide as the longest up to ``WIDTH``."""
 
     def __init__(self, words: list[str]) -> None:
         self.words = words
         codes, self.sizes = _codes(words)
         ends = np.cumsum(self.sizes)
-        self.left, self.right = (np.zeros((len(words), WIDTH), np.uint32) for _ in range(2))
+        width = min(WIDTH, int(self.sizes.max(initial=0)))
+        kind = np.uint8 if codes.max(initial=0) < 256 else np.uint32
+        self.left, self.right = (np.zeros((len(words), width), kind) for _ in range(2))
         place = np.arange(len(codes)) - np.repeat(ends - self.sizes, self.sizes)
         back = np.repeat(self.sizes, self.sizes) - 1 - place
         row = np.repeat(np.arange(len(words)), self.sizes)
         for to, at in ((self.left, place), (self.right, back)):
-            to[row[at < WIDTH], at[at < WIDTH]] = codes[at < WIDTH]
+            to[row[at < width], at[at < width]] = codes[at < width]
 
 
 def _near(a: _Letters, i: np.ndarray, b: _Letters, j: np.ndarray) -> np.ndarray:
@@ -278,35 +283,58 @@ def _near(a: _Letters, i: np.ndarray, b: _Letters, j: np.ndarray) -> np.ndarray:
     short = near & (more <= WIDTH)
     at = np.flatnonzero(short)
     if len(at):
-        head = np.logical_and.accumulate(a.left[i[at]] == b.left[j[at]], axis=1).sum(axis=1)
-        tail = np.logical_and.accumulate(a.right[i[at]] == b.right[j[at]], axis=1).sum(axis=1)
-        near[at] = (head < more[at]) & (head + tail >= more[at] - 1)
+        # Beyond the shorter of both widths nothing can be common.
+        width = min(a.left.shape[1], b.left.shape[1])
+        head, tail = (_common(x[i[at], :width], y[j[at], :width]) for x, y in ((a.left, b.left), (a.right, b.right)))
+        near[at] = (np.maximum(head, tail) < more[at]) & (np.minimum(head, n[at]) + np.minimum(tail, m[at]) >= more[at] - 1)
     for p in np.flatnonzero(near & ~short):
         near[p] = one_edit(a.words[i[p]], b.words[j[p]])
     return near
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many entries the rows have in common from their start on."""
+    unlike = x != y
+    first = unlike.argmax(axis=1)
+    first[~unlike.any(axis=1)] = x.shape[1]
+    return first
+
+
+_FOUND = {"word": pa.string(), "near": pa.int64(), "near_n": pa.int64(), "near_word": pa.string()}
+
+
 def _search(mine: pa.Table, theirs: pa.Table, of: np.ndarray, groups: int) -> pa.Table:
-    """The near words among ``mine`` of each word of ``theirs``."""
-    empty = pa.table({"word": pa.array([], pa.string()), "near": pa.array([], pa.int64()), "near_n": pa.array([], pa.int64()), "near_word": pa.array([], pa.string())})
-    if not mine.num_rows or not theirs.num_rows:
-        return empty
-    own = mine["word"].to_pylist()
-    n = mine["n"].to_numpy()
-    best_first = np.empty(len(own), np.int64)
-    best_first[sorted(range(len(own)), key=lambda k: (-n[k], own[k]))] = np.arange(len(own))
-    letters, trie = _Letters(own), Trie(vectors(own, of, groups))
-    found = []
-    for start in range(0, theirs.num_rows, 20_000):
-        part = theirs["word"].slice(start, 20_000)
-        asked = part.to_pylist()
-        query = _Letters(asked)
-        near, best = np.zeros(len(asked), np.int64), np.full(len(asked), len(own))
-        for word, who in trie.pairs(vectors(asked, of, groups)):
-            good = _near(letters, word, query, who)
-            near += np.bincount(who[good], minlength=len(asked))
-            np.minimum.at(best, who[good], best_first[word[good]])
-        hit = np.flatnonzero(near)
-        by_rank = np.argsort(best_first)[best[hit]]
-        found.append(pa.table([part.take(pa.array(hit)), pa.array(near[hit]), mine["n"].take(pa.array(by_rank)), mine["word"].take(pa.array(by_rank))], empty.column_names))
+    """The near pairs of ``mine`` and ``theirs``, told to both; words of one vector find each other and are told once each."""
+    found = [pa.table([pa.array([], kind) for kind in _FOUND.values()], list(_FOUND))]
+    if mine.num_rows and theirs.num_rows:
+        own, asked = mine["word"].to_pylist(), theirs["word"].to_pylist()
+        own_n, asked_n = mine["n"].to_numpy(), theirs["n"].to_numpy()
+        letters, trie = _Letters(own), Trie(vectors(own, of, groups))
+        hits: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
+        for start in range(0, len(asked), 20_000):
+            part = asked[start : start + 20_000]
+            query = _Letters(part)
+            for word, who, differ in trie.pairs(vectors(part, of, groups)):
+                good = _near(letters, word, query, who)
+                hits[differ].append((word[good], start + who[good]))
+        for differ, pairs in hits.items():
+            word, who = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.empty(0, np.int64),) * 2
+            if len(word):
+                found.append(_told(asked, who, own, own_n, word))
+                if differ:
+                    found.append(_told(own, word, asked, asked_n, who))
     return pa.concat_tables(found)
+
+
+def _told(words: list[str], who: np.ndarray, others: list[str], n: np.ndarray, near: np.ndarray) -> pa.Table:
+    """For each word of ``who`` the number of its near words and the best: the largest n, then the smallest word."""
+    ids, owner, counts = np.unique(who, return_inverse=True, return_counts=True)
+    used, place = np.unique(near, return_inverse=True)
+    order = np.array(sorted(range(len(used)), key=lambda k: (-n[used[k]], others[used[k]])))
+    rank = np.empty(len(used), np.int64)
+    rank[order] = np.arange(len(used))
+    best = np.full(len(ids), len(used))
+    np.minimum.at(best, owner, rank[place])
+    pick = used[order[best]]
+    columns = [[words[i] for i in ids.tolist()], counts, n[pick], [others[i] for i in pick.tolist()]]
+    return pa.table([pa.array(c, kind) for c, kind in zip(columns, _FOUND.values())], list(_FOUND))
