@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -16,10 +18,11 @@ from pyspark.ml.feature import (
     SQLTransformer,
     StopWordsRemover,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.functions import tokens as tk
+from pageloom.operators.sketches import frequent_enough
 from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
@@ -63,12 +66,15 @@ def text_stages(stop_words: list[str] | None = None, separator: str = tk.LETTERS
     ]
 
 
-def term_statistics(docs: DataFrame, separator: str = tk.LETTERS_ONLY) -> DataFrame:
+def term_statistics(
+    docs: DataFrame, separator: str = tk.LETTERS_ONLY, keep: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """``term, total_count, doc_freq`` of every term, and a null term that counts the documents.
 
     A document adds one row per occurrence and one per distinct term, both made
     inside the row, so nothing is grouped by document and the only shuffle
-    carries counts already summed per task.
+    carries counts already summed per task. Terms that ``keep`` turns down are left
+    out before any row is made of them.
     """
     occurrences = F.transform(
         "terms", lambda term: F.struct(term.alias("term"), F.lit(1).alias("seen"), F.lit(0).alias("doc"))
@@ -77,9 +83,11 @@ def term_statistics(docs: DataFrame, separator: str = tk.LETTERS_ONLY) -> DataFr
         F.concat(F.array_distinct("terms"), F.array(F.lit(None).cast("string"))),
         lambda term: F.struct(term.alias("term"), F.lit(0).alias("seen"), F.lit(1).alias("doc")),
     )
+    arrays = term_arrays(docs, separator=separator).select("terms")
+    if keep is not None:
+        arrays = arrays.select(F.filter("terms", keep).alias("terms"))
     return (
-        term_arrays(docs, separator=separator)
-        .select(F.inline(F.concat(occurrences, distinct)))
+        arrays.select(F.inline(F.concat(occurrences, distinct)))
         .groupBy("term")
         .agg(F.sum("seen").alias("total_count"), F.sum("doc").alias("doc_freq"))
     )
@@ -103,13 +111,21 @@ def build_vocabulary(
     min_df: float = MIN_DF,
     max_df: float = MAX_DF,
     separator: str = tk.LETTERS_ONLY,
+    sketch_buckets: int = 0,
 ) -> Vocabulary:
     """The most frequent terms within the document-frequency limits; ties go to the smaller term.
 
-    Limits below 1 are shares of the documents, others are document counts.
+    Limits below 1 are shares of the documents, others are document counts. With
+    ``sketch_buckets`` a sketch of that many counters leaves out terms that are
+    surely below a ``min_df`` count before anything is shuffled; the vocabulary is
+    the same. It pays while the distinct terms of all documents together are fewer
+    than ``min_df`` times the buckets.
     """
     spark = docs.sparkSession
-    counted = term_statistics(docs, separator)
+    keep = None
+    if sketch_buckets and min_df >= 1:
+        keep = frequent_enough(term_arrays(docs, separator=separator), "terms", math.ceil(min_df), sketch_buckets)
+    counted = term_statistics(docs, separator, keep)
     if min_df >= 1:
         counted = counted.where(F.col("term").isNull() | (F.col("doc_freq") >= min_df))
     counted = durable(counted, "term_statistics")

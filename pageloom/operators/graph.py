@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions.titles import category_title, non_empty, norm_title, stable_node_id
 from pageloom.functions.wikitext import link_targets
 from pageloom.operators.articles import article_filter, require_columns
+from pageloom.operators.redirects import follow, redirect_ends, redirect_steps
 from pageloom.operators.skew import ROWS_PER_SPLIT, join_split
 from pageloom.storage import durable
 
@@ -59,14 +60,18 @@ def link_title_join(
 
 
 def link_edges(
-    pages: DataFrame, links: Column | str = "links", rows_per_split: int = ROWS_PER_SPLIT
+    pages: DataFrame, links: Column | str = "links", rows_per_split: int = ROWS_PER_SPLIT, redirects: bool = False
 ) -> DataFrame:
     """Page-to-page edges weighted by mentions, without self-loops.
 
     Counting follows the join, where a row is a pair of ids: that shuffle is
-    narrower than one of titles, and links to missing pages are gone by then.
+    narrower than one of titles, and links to missing pages are gone by then. With
+    ``redirects`` a link to a redirect counts for the page that it ends at.
     """
-    mentions = durable(link_mentions(pages, links), "link_mentions")
+    mentions = link_mentions(pages, links)
+    if redirects:
+        mentions = follow(mentions, redirect_ends(redirect_steps(pages)))
+    mentions = durable(mentions, "link_mentions")
     return (
         link_title_join(mentions, durable(page_vertices(pages), "page_vertices"), rows_per_split)
         .where(F.col("src_id") != F.col("dst_id"))
@@ -119,10 +124,15 @@ def graph_vertices(pages: DataFrame) -> DataFrame:
     return vertices.select("id", "title", "kind")
 
 
-def graph_edges(pages: DataFrame, every_mention: bool = False, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """``src_id, dst_id, weight, edge_type`` of all edges; ``every_mention`` counts mentions, not spellings."""
+def graph_edges(
+    pages: DataFrame, every_mention: bool = False, rows_per_split: int = ROWS_PER_SPLIT, redirects: bool = False
+) -> DataFrame:
+    """``src_id, dst_id, weight, edge_type`` of all edges.
+
+    ``every_mention`` counts mentions, not spellings; ``redirects`` follows redirects.
+    """
     links = link_targets(F.col("text_raw")) if every_mention else "links"
-    edges = link_edges(pages, links, rows_per_split)
+    edges = link_edges(pages, links, rows_per_split, redirects)
     if "categories" in pages.columns:
         edges = edges.unionByName(category_edges(pages))
     return edges

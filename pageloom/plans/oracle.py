@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pageloom.functions import nesting
 from pageloom.functions import tokens as tk
 from pageloom.functions import wikitext as wt
-from pageloom.plans.relations import MARKUP_COLUMNS, PAGE_COLUMNS
+from pageloom.plans.relations import CHAIN_COLUMNS, MARKUP_COLUMNS, NESTED_COLUMNS, PAGE_COLUMNS, SHARED_COLUMNS
 
 _SPECIAL_LINKS = "^(" + "|".join(wt.EXCLUDED_LINK_NAMESPACES) + ")"
 
@@ -22,6 +23,9 @@ def _words(words: list[str]) -> str:
 # --- pages, arrays, cleaned text -----------------------------------------------------
 
 WIKI = f"wiki AS (SELECT {', '.join(PAGE_COLUMNS)} FROM documents)"
+SHARED = f"wiki AS (SELECT {', '.join(SHARED_COLUMNS)} FROM documents)"
+CHAINS = f"wiki AS (SELECT {', '.join(CHAIN_COLUMNS)} FROM documents)"
+DEEP = f"wiki AS (SELECT {', '.join(NESTED_COLUMNS)} FROM documents)"
 MARKUP = f"wiki AS (SELECT {', '.join(MARKUP_COLUMNS)} FROM documents)"
 
 
@@ -51,6 +55,53 @@ def _cleaned(text: str, compat: bool = False) -> str:
     return sql
 
 
+def _unnested(name: str, source: str, pair: tuple[str, str], begins: str = "", replacement: str = "") -> str:
+    """CTEs of ``id, text`` without nested pairs: depths as running sums over the parts, lifted where they would fall below 0."""
+    opening, closing = (_text(mark) for mark in pair)
+    part = f"'(\\Q{pair[0]}\\E|\\Q{pair[1]}\\E|[^{''.join(sorted({chr(92) + m[0] for m in pair}))}]+|.)'"
+    way = "PARTITION BY id ORDER BY pos"
+    opens = f"AND regexp_matches(coalesce(o.next, ''), '{begins}')" if begins else ""
+    inside = "depth > 0 OR before > 0"
+    dropped = ""
+    if begins:
+        inside = f"EXISTS (SELECT 1 FROM {name}_pairs p WHERE p.id = d.id AND d.pos BETWEEN p.first AND p.last)"
+        dropped = f"""{name}_pairs AS (
+  SELECT o.id, o.pos AS first, min(c.pos) AS last FROM {name}_depths o JOIN {name}_depths c ON c.id = o.id AND c.pos > o.pos AND c.before < o.before
+  WHERE o.before > o.depth {opens} GROUP BY ALL),
+"""
+    # before: the depth to the right of a part; depth: the depth to its left, both as read from the right.
+    return f"""{name}_parts AS (
+  SELECT id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM (SELECT id, regexp_extract_all(text, {part}, 0, 's') AS parts FROM {source})),
+{name}_signs AS (
+  SELECT id, part, pos, CASE part WHEN {opening} THEN 1 WHEN {closing} THEN -1 ELSE 0 END AS sign FROM {name}_parts),
+{name}_sums AS (SELECT *, sum(sign) OVER ({way}) AS total FROM {name}_signs),
+{name}_lifted AS (SELECT *, total - least(0, min(total) OVER ({way})) AS forth FROM {name}_sums),
+{name}_closed AS (
+  SELECT id, part, pos, CASE WHEN sign = -1 AND coalesce(lag(forth) OVER ({way}), 0) = 0 THEN 0 ELSE sign END AS sign,
+    lead(part) OVER ({way}) AS next FROM {name}_lifted),
+{name}_back AS (SELECT *, sum(-sign) OVER ({way} DESC) AS total FROM {name}_closed),
+{name}_low AS (SELECT *, total - least(0, min(total) OVER ({way} DESC)) AS depth FROM {name}_back),
+{name}_depths AS (SELECT *, coalesce(lead(depth) OVER ({way}), 0) AS before FROM {name}_low),
+{dropped}{name}_cut AS (SELECT id, part, pos, {inside} AS inside FROM {name}_depths d),
+{name}_shown AS (
+  SELECT id, pos, CASE WHEN NOT inside THEN part WHEN NOT coalesce(lag(inside) OVER ({way}), false) THEN {_text(replacement) if replacement else "''"} ELSE '' END AS part FROM {name}_cut),
+{name} AS (SELECT s.id, coalesce(string_agg(part, '' ORDER BY pos), any_value(s.text)) AS text FROM {source} s LEFT JOIN {name}_shown USING (id) GROUP BY s.id)"""
+
+
+def _deep_cleaned() -> str:
+    """CTEs of the nested cleaning, cut at the two steps that are no patterns."""
+    ctes, source, sql = [DEEP, "step0 AS (SELECT id, coalesce(text_raw, '') AS text FROM wiki)"], "step0", "text"
+    for step in wt.nested_steps():
+        if isinstance(step, str):
+            ctes.append(f"{step}_before AS (SELECT id, {sql} AS text FROM {source})")
+            pair, begins, new = (nesting.LINK, nesting.MEDIA, " ") if step == "media" else (nesting.TEMPLATE, "", "")
+            ctes.append(_unnested(step, f"{step}_before", pair, begins, new))
+            source, sql = step, "text"
+        else:
+            sql = f"regexp_replace({sql}, {_text(step[0])}, {_text(step[1].replace('$1', chr(92) + '1'))}, 'g')"
+    return f"WITH {', '.join(ctes)} SELECT id, {sql} AS text FROM {source}"
+
+
 PAGES = f"{WIKI},\npages_clean AS (SELECT *, {_cleaned('text_raw')} AS text FROM wiki)"
 ARTICLE = "ns = 0 AND redirect IS NULL"
 DOCS = f"{PAGES},\ndocs AS (SELECT id, title, text FROM pages_clean WHERE {ARTICLE} AND length(text) > 500)"
@@ -150,9 +201,9 @@ edges AS (
   UNION ALL SELECT 'p' || src_id, 'c' || title FROM category_edges)"""
 
 
-def _pagerank(rounds: int = 10) -> str:
+def _pagerank(rounds: int = 10, tables: str = GRAPH) -> str:
     steps = [
-        f"{GRAPH}",
+        tables,
         "degrees AS (SELECT src, count(*) AS degree FROM edges GROUP BY src)",
         "linked AS MATERIALIZED (SELECT e.src, e.dst, d.degree FROM edges e JOIN degrees d ON e.src = d.src)",
         "r0 AS (SELECT node, CAST(1.0 AS DOUBLE) AS rank FROM vertices)",
@@ -171,6 +222,19 @@ def _pagerank(rounds: int = 10) -> str:
     return ",\n".join(steps)
 
 
+_SHARED_GRAPH = GRAPH.replace(WIKI, SHARED)
+
+#: The walk is cut off beyond the longest chain; titles whose walk goes on from there are on circles.
+REDIRECTS = f"""{CHAINS},
+titled AS (SELECT {_norm('title')} AS title_norm, {_norm("split_part(redirect, '#', 1)")} AS target FROM wiki WHERE ns = 0),
+steps AS (
+  SELECT title_norm, min(target) AS target FROM titled GROUP BY title_norm HAVING count(*) = count(target)),
+walk AS (
+  SELECT title_norm, target AS place, CAST(1 AS BIGINT) AS hops FROM steps
+  UNION ALL SELECT w.title_norm, s.target, w.hops + 1 FROM walk w JOIN steps s ON w.place = s.title_norm WHERE w.hops < 60),
+reached AS (SELECT title_norm, place, hops FROM walk WHERE place NOT IN (SELECT title_norm FROM steps)),
+ends AS (SELECT s.title_norm, r.place AS "end", r.hops FROM steps s LEFT JOIN reached r USING (title_norm))"""
+
 # --- vectors ------------------------------------------------------------------------------
 
 _VECTORS = "vectors AS (SELECT vec_id AS id, 'vec ' || vec_id AS title, embedding AS v, label FROM embeddings)"
@@ -204,6 +268,13 @@ WHERE length(token) >= {tk.MIN_TOKEN_LENGTH} AND token NOT IN ({_words(stop)}) G
         patterns = (wt.LINK_MARKUP, wt.CATEGORY_MARKUP, wt.TEMPLATE_MARKUP)
         return ", ".join(f"{markup_count(pattern)} AS {name}" for pattern, name in zip(patterns, names))
 
+    def percentile_rows(source: str, wanted: dict[str, tuple[str, list[float]]]) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{name}' AS measure, CAST({share} AS DOUBLE) AS share, round(CAST(quantile_disc({value}, {share}) AS DOUBLE), 6) AS value FROM {source}"
+            for name, (value, shares) in wanted.items()
+            for share in shares
+        )
+
     projection = "SELECT title, CAST(ns AS INTEGER) AS ns, id, redirect, revision_id, timestamp, text_raw FROM wiki"
     extracted = {
         "categories": CATEGORIES,
@@ -238,6 +309,8 @@ FROM parts WHERE value <> '' GROUP BY doc_id, value""",
         "clean_markup": f"WITH {MARKUP} SELECT id, {_cleaned('text_raw')} AS text FROM wiki",
         "clean_markup_compat": f"WITH {MARKUP} SELECT id, {_cleaned('text_raw', compat=True)} AS text FROM wiki",
         "clean_html": f"SELECT page_id, {_cleaned('html')} AS text FROM pages",
+        "clean_nested": _deep_cleaned(),
+        "without_templates": f"WITH {DEEP}, step0 AS (SELECT id, text_raw AS text FROM wiki), {_unnested('cut', 'step0', nesting.TEMPLATE)} SELECT id, text FROM cut",
         "article_filter": f"WITH {WIKI} SELECT id, title, CAST(ns AS INTEGER) AS ns FROM wiki WHERE {ARTICLE}",
         "nlp_docs": f"WITH {DOCS} SELECT id, title, text FROM docs",
         "text_head": f"WITH {DOCS} SELECT title, substring(text, 1, 240) AS text_head FROM docs ORDER BY id LIMIT 3",
@@ -268,6 +341,8 @@ FROM counted""",
   round(avg(links_per_kchar), 6) AS avg_links_per_kchar,
   round(quantile_disc(links_per_kchar, 0.9), 6) AS p90_links_per_kchar,
   round(avg(category_count), 6) AS avg_categories, round(avg(template_count), 6) AS avg_templates FROM counted""",
+        "exact_lengths": f"WITH {FACTS} " + percentile_rows("facts", {"text_len": ("text_len", [0.0, 0.01, 0.5, 0.9, 0.99, 1.0]), "kchars": ("text_len / 1000.0::DOUBLE", [0.25, 0.5, 0.9, 0.999])}),
+        "exact_link_density": f"WITH {FACTS} " + percentile_rows("counted", {"link_count": ("link_count", [0.5, 0.9]), "links_per_kchar": ("links_per_kchar", [0.5, 0.9])}),
         "top_most_linked": f"""WITH {FACTS} SELECT title, text_len, link_count, round(links_per_kchar, 6) AS links_per_kchar,
   category_count, template_count FROM counted ORDER BY link_count DESC, id, title LIMIT 200""",
         "top_tokens": f"""WITH {PAGES}, articles AS (SELECT text FROM pages_clean WHERE {ARTICLE}),
@@ -285,6 +360,7 @@ FROM overview""",
         "bigrams": term_column("bigrams", "|"),
         "terms": term_column("terms", "|"),
         "vocabulary": f"WITH {vocabulary} SELECT * FROM vocabulary",
+        "vocabulary_sketched": f"WITH {vocabulary} SELECT * FROM vocabulary",
         "idf_weights": f"WITH {vocabulary} SELECT term, doc_freq, round(idf, 6) AS idf FROM weights",
         "tfidf_features": f"""WITH {vocabulary},
 tfidf AS (SELECT id, term, tf * idf AS w FROM frequency JOIN weights USING (term)),
@@ -311,6 +387,24 @@ FROM dominant d LEFT JOIN names n ON d.topic = n.topic""",
 FROM category_edges GROUP BY title""",
         "link_title_join": f"WITH {GRAPH} SELECT * FROM joined",
         "link_edges": f"WITH {GRAPH} SELECT * FROM link_edges",
+        "redirect_ends": f'WITH RECURSIVE {REDIRECTS} SELECT title_norm, "end", hops FROM ends',
+        "resolved_link_edges": f"""WITH RECURSIVE {REDIRECTS}, {LINKS},
+articles AS (SELECT id, {_norm('title')} AS title_norm FROM wiki WHERE {ARTICLE}),
+mentions AS (SELECT l.id AS src_id, {_norm('l.value')} AS title_norm FROM links l JOIN articles a ON a.id = l.id),
+followed AS (
+  SELECT src_id, CASE WHEN e.title_norm IS NULL THEN m.title_norm ELSE e."end" END AS title_norm
+  FROM mentions m LEFT JOIN ends e ON e.title_norm = m.title_norm)
+SELECT src_id, a.id AS dst_id, count(*) AS weight, 'link' AS edge_type FROM followed f JOIN articles a ON a.title_norm = f.title_norm
+WHERE src_id <> a.id GROUP BY ALL""",
+        "grouped_links": f"""WITH {_SHARED_GRAPH},
+groups AS (SELECT {_norm('title')} AS title_norm, min(id) AS group_id FROM page_vertices GROUP BY ALL)
+SELECT src_id, group_id, count(*) AS weight, 'link' AS edge_type FROM mentions JOIN groups USING (title_norm) GROUP BY ALL""",
+        "expanded_links": f"WITH {_SHARED_GRAPH} SELECT * FROM link_edges",
+        "grouped_pagerank": f"WITH {_pagerank(tables=_SHARED_GRAPH)} SELECT page_id, title, kind, round(pagerank, 6) AS pagerank FROM ranked",
+        "dense_node_ids": """SELECT title, CAST(-row_number() OVER (ORDER BY title) AS BIGINT) AS id FROM (
+  SELECT DISTINCT unnest(string_split(text, '.')) AS title FROM documents)""",
+        "id_collisions": """SELECT doc_id % 97 AS id, count(DISTINCT doc_id) AS names, min('Doc ' || doc_id) AS first_name, max('Doc ' || doc_id) AS last_name
+FROM documents GROUP BY ALL HAVING count(DISTINCT doc_id) > 1""",
         "mention_edges": f"""WITH {GRAPH},
 every AS (
   SELECT l.id AS src_id, {_norm('l.value')} AS title_norm, count(*) AS weight

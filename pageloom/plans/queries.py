@@ -9,11 +9,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.functions import arrays, titles, wikitext
+from pageloom.functions import arrays, nesting, titles, wikitext
 from pageloom.functions import tokens as tk
-from pageloom.operators import articles, features, graph, models, pagerank, stats
+from pageloom.operators import articles, factored, features, graph, models, node_ids, pagerank, percentiles, redirects, stats
 from pageloom.operators.skew import join_split
-from pageloom.plans.relations import markup_pages, nested_pages, spread, table, wiki_pages, wiki_texts
+from pageloom.plans.relations import deep_pages, markup_pages, nested_pages, redirect_pages, shared_title_pages, spread, table, wiki_pages, wiki_texts
 from pageloom.sinks.tables import write_csv, write_model
 from pageloom.sources.mediawiki import parse_pages, project_pages, read_pages, rejected_pages, with_revision_time
 from pageloom.storage import durable, fresh_path
@@ -201,6 +201,15 @@ def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deep_pages(spark, sf_dir).select("id", wikitext.clean_nested(F.col("text_raw")).alias("text"))
+
+
+def without_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Templates of any depth out of the raw text, and nothing else."""
+    return deep_pages(spark, sf_dir).select("id", nesting.without_nested(F.col("text_raw")).alias("text"))
+
+
 # --- filters ---------------------------------------------------------------------
 
 
@@ -243,6 +252,23 @@ def length_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_all(stats.length_summary(table(spark, sf_dir, "documents"), "documents", "n_chars"))
 
 
+def _percentile_rows(spark: SparkSession, source: DataFrame, shares: dict[str, list[float]]) -> DataFrame:
+    found = percentiles.exact_percentiles(source, shares)
+    rows = [(c, share, float(value)) for c, values in found.items() for share, value in zip(shares[c], values)]
+    return spark.createDataFrame(rows, "measure string, share double, value double")
+
+
+def exact_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of a whole-number and of a real column of all pages."""
+    counted = durable(facts(spark, sf_dir).select("text_len", (F.col("text_len") / 1000.0).alias("kchars")), "lengths")
+    return _percentile_rows(spark, counted, {"text_len": [0.0, 0.01, 0.5, 0.9, 0.99, 1.0], "kchars": [0.25, 0.5, 0.9, 0.999]})
+
+
+def exact_link_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = durable(stats.link_counts(facts(spark, sf_dir)).select("link_count", "links_per_kchar"), "densities")
+    return _round_all(_percentile_rows(spark, counted, {"link_count": [0.5, 0.9], "links_per_kchar": [0.5, 0.9]}))
+
+
 def link_counts_from_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same counts for pages without extracted arrays."""
     return _round_all(stats.link_counts(stats.page_facts(wiki_texts(spark, sf_dir))))
@@ -271,6 +297,11 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return space(spark, sf_dir).vocabulary.terms
 
 
+def vocabulary_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vocabulary, with the terms that are surely too rare left out before the shuffle."""
+    return features.build_vocabulary(docs(spark, sf_dir), sketch_buckets=1 << 20).terms
+
+
 def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_all(features.idf_weights(space(spark, sf_dir).vocabulary))
 
@@ -422,6 +453,52 @@ def link_title_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def redirect_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redirects.redirect_ends(redirects.redirect_steps(redirect_pages(spark, sf_dir)))
+
+
+def resolved_link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of links followed through their redirects."""
+    return graph.link_edges(redirect_pages(spark, sf_dir), redirects=True)
+
+
+def _grouped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    def build():
+        pages = shared_title_pages(spark, sf_dir)
+        groups = durable(factored.title_groups(pages), "title_groups")
+        return durable(factored.grouped_vertices(pages, groups), "grouped_vertices"), durable(factored.grouped_links(pages, groups), "grouped_links")
+
+    return _once(spark, sf_dir, "grouped", build)
+
+
+def grouped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links to titles that many pages share, one row for each page and title."""
+    return _grouped(spark, sf_dir)[1].where("edge_type = 'link'")
+
+
+def expanded_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same links written out to every page of their titles."""
+    nodes, links = _grouped(spark, sf_dir)
+    return factored.expanded(links.where("edge_type = 'link'"), nodes)
+
+
+def grouped_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = factored.grouped_pagerank(*_grouped(spark, sf_dir))
+    return found.select(F.when(F.col("kind") == "page", F.col("id")).alias("page_id"), "title", "kind", rounded("pagerank", "pagerank"))
+
+
+def dense_node_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct sentence numbered in order; no two share a number."""
+    sentences = table(spark, sf_dir, "documents").select(F.explode(F.split("text", r"\.")).alias("title"))
+    return node_ids.dense_ids(sentences)
+
+
+def id_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that ids of two digits would merge."""
+    named = table(spark, sf_dir, "documents").select(F.concat(F.lit("Doc "), "doc_id").alias("title"), "doc_id")
+    return node_ids.id_collisions(named, F.pmod("doc_id", F.lit(97)))
+
+
 def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.link_edges(parsed(spark, sf_dir))
 
@@ -504,6 +581,8 @@ QUERIES: dict[str, Query] = {
     "clean_markup": _clean(markup_pages),
     "clean_markup_compat": _clean(markup_pages, compat=True),
     "clean_html": clean_html,
+    "clean_nested": clean_nested,
+    "without_templates": without_templates,
     "article_filter": article_filter,
     "nlp_docs": nlp_docs,
     "text_head": text_head,
@@ -519,6 +598,8 @@ QUERIES: dict[str, Query] = {
     "length_summary": length_summary,
     "link_counts": _on_facts(stats.link_counts),
     "link_counts_from_markup": link_counts_from_markup,
+    "exact_lengths": exact_lengths,
+    "exact_link_density": exact_link_density,
     "link_density_summary": _on_facts(stats.link_density_summary),
     "top_most_linked": _on_facts(stats.top_most_linked),
     "top_tokens": top_tokens,
@@ -530,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "bigrams": _term_column("bigrams", "|"),
     "terms": _term_column("terms", "|"),
     "vocabulary": vocabulary,
+    "vocabulary_sketched": vocabulary_sketched,
     "idf_weights": idf_weights,
     "tfidf_features": tfidf_features,
     "label_from_terms": label_from_terms,
@@ -555,6 +637,13 @@ QUERIES: dict[str, Query] = {
     "category_vertices": category_vertices,
     "stable_node_id": stable_node_id,
     "link_title_join": link_title_join,
+    "redirect_ends": redirect_ends,
+    "resolved_link_edges": resolved_link_edges,
+    "grouped_links": grouped_links,
+    "expanded_links": expanded_links,
+    "grouped_pagerank": grouped_pagerank,
+    "dense_node_ids": dense_node_ids,
+    "id_collisions": id_collisions,
     "link_edges": link_edges,
     "mention_edges": mention_edges,
     "category_edges": category_edges,

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.functions import wikitext
+from pageloom.storage import durable
+
 # Every fiftieth page shares its title with one other; links stay within runs of 200 pages, so edges grow with the pages.
 _TITLE = "CASE WHEN doc_id % 50 = 49 THEN concat('Doc ', CAST(doc_id - 48 AS STRING)) ELSE concat('Doc ', CAST(doc_id AS STRING)) END"
 _REDIRECT = "CASE WHEN doc_id % 13 = 12 THEN concat('Doc ', CAST(doc_id % 7 AS STRING)) END"
@@ -43,6 +46,38 @@ MARKUP_COLUMNS = [
   '[[category: ', source, ' |key]] [[ :Foo]] [[_Bar_]] [[', lang, ']] [[', lang, ']]', chr(10), text, ' ') AS text_raw""",
 ]
 
+# Few titles, each shared by many pages and linked by many.
+SHARED_COLUMNS = [
+    "doc_id AS id",
+    "concat('Topic ', CAST(doc_id % 97 AS STRING)) AS title",
+    "CASE WHEN doc_id % 11 = 10 THEN 10 ELSE 0 END AS ns",
+    "CASE WHEN doc_id % 13 = 12 THEN 'Topic 1' END AS redirect",
+    """concat('[[Topic ', CAST((doc_id * 7 + 3) % 89 AS STRING), ']] [[topic_', CAST((doc_id * 7 + 3) % 89 AS STRING), '#top]] [[Topic ',
+  CAST((doc_id + doc_id % 2) % 97 AS STRING), '|x]] [[Doc]] [[Category:', source, ']] [[Category:Lang ', lang, ']]') AS text_raw""",
+]
+
+# Runs of forty pages with a chain of ten redirects, circles, and redirects to nowhere.
+CHAIN_COLUMNS = [
+    "doc_id AS id",
+    "concat('Doc ', CAST(doc_id AS STRING)) AS title",
+    "CASE WHEN doc_id % 37 = 36 THEN 10 ELSE 0 END AS ns",
+    """CASE WHEN doc_id % 40 BETWEEN 1 AND 10 OR doc_id % 40 IN (15, 19) THEN concat('doc_', CAST(doc_id - 1 AS STRING), '#top')
+  WHEN doc_id % 40 IN (12, 13) THEN concat('Doc ', CAST(doc_id + 1 AS STRING))
+  WHEN doc_id % 40 = 14 THEN concat('DOC ', CAST(doc_id - 2 AS STRING)) WHEN doc_id % 40 = 17 THEN concat('Doc ', CAST(doc_id AS STRING))
+  WHEN doc_id % 40 = 18 THEN concat('Nowhere ', CAST(doc_id AS STRING)) END AS redirect""",
+    """concat('[[Doc ', CAST(doc_id - doc_id % 40 + (doc_id * 7 + 3) % 40 AS STRING), ']] [[doc_',
+  CAST(doc_id - doc_id % 40 + (doc_id + 5) % 40 AS STRING), '#top]] [[Doc ', CAST(doc_id - doc_id % 40 + 10 AS STRING), '|x]]') AS text_raw""",
+]
+
+# Templates up to twenty deep, media links in media links, and delimiters without a partner.
+NESTED_COLUMNS = [
+    "doc_id AS id",
+    """concat('{{Box|a=', repeat('{{d|', CAST(doc_id % 20 AS INT)), lang, repeat('}}', CAST(doc_id % 20 AS INT)), '|b=1}} after ',
+  CASE doc_id % 6 WHEN 1 THEN '{{open ' WHEN 2 THEN 'stray}} ' WHEN 3 THEN '}}{{a}}{{' WHEN 4 THEN '{{{p}}} {one} ' ELSE '' END,
+  '[[File:a.jpg|thumb|see [[Beta]] and [[Image:q|[[Gamma|', source, ']] ]] x]] [[Alpha|', lang, ']] [[ category: C]] ',
+  CASE doc_id % 5 WHEN 1 THEN '[[File:open ' WHEN 2 THEN 'stray]] [[x]]' ELSE '[[Delta]]' END, chr(10), '== ', lang, ' ==', chr(10), text) AS text_raw""",
+]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -71,6 +106,24 @@ def markup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents")).selectExpr(*MARKUP_COLUMNS)
 
 
+def _linked(pages: DataFrame, categories: bool = True) -> DataFrame:
+    """Pages with the arrays that the graph is made of, written once."""
+    arrays = {"links": wikitext.links(F.col("text_raw"))} | ({"categories": wikitext.categories(F.col("text_raw"))} if categories else {})
+    return durable(pages.withColumns(arrays), "linked_pages")
+
+
+def shared_title_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(table(spark, sf_dir, "documents").selectExpr(*SHARED_COLUMNS))
+
+
+def redirect_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(table(spark, sf_dir, "documents").selectExpr(*CHAIN_COLUMNS), categories=False)
+
+
+def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents")).selectExpr(*NESTED_COLUMNS)
+
+
 def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pages in the nested shape of an XML dump."""
     page = F.col
