@@ -20,7 +20,7 @@ from pageloom.llm.texts import kept
 OTHER_BLANKS = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"]
 ASCII_BLANKS = [c for c in OTHER_BLANKS if c.isascii()]
 #: Remembered chunks of a worker, about 200 bytes each.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 #: Marks that, behind letters, are always pieces of their own: no merge crosses from a letter to a mark.
 TAIL = ".,;:!?%$*&#|"
 
@@ -55,7 +55,8 @@ class _Numbers(dict):
 class ChunkEncoder:
     """Ids as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` gives them.
 
-    ``remembered`` bounds the known chunks; beyond it the memory starts anew.
+    ``remembered`` bounds the known chunks; beyond it those go that came up once
+    since the last time, which most chunks of a large corpus do.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
@@ -76,7 +77,27 @@ class ChunkEncoder:
         self.numbers = _Numbers()
         self.tails: dict[str, np.ndarray] = {}
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.begin, self.size, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def _forget_rare(self) -> None:
+        """Keep what came up repeatedly, the most frequent half of the bound at most."""
+        names, seen, begin, size, flat = list(self.numbers), self.seen[: len(self.numbers)], self.begin, self.size, self.flat
+        often = np.flatnonzero(seen > 1)
+        if len(often) > self.remembered // 2:
+            often = np.sort(often[np.argpartition(seen[often], -(self.remembered // 2))[-(self.remembered // 2) :]])
+        self._forget()
+        self.numbers.update(zip([names[i] for i in often.tolist()], range(len(often))))
+        self._more_numbers()
+        sizes = size[often]
+        starts = np.cumsum(sizes) - sizes
+        at = self._room(int(sizes.sum()))
+        self.flat[at : at + int(sizes.sum())] = flat[np.repeat(begin[often] - starts, sizes) + np.arange(int(sizes.sum()))]
+        self.begin[: len(often)], self.size[: len(often)] = at + starts, sizes
+
+    def _more_numbers(self) -> None:
+        """Room for what is known of each numbered chunk."""
+        while len(self.numbers) > len(self.begin):
+            self.begin, self.size, self.seen = (np.concatenate([own, np.zeros_like(own)]) for own in (self.begin, self.size, self.seen))
 
     def _room(self, ids: int) -> int:
         """Make room for more ids; the place where they go."""
@@ -123,9 +144,7 @@ class ChunkEncoder:
             else:
                 (words if chunk.isalpha() else whole).append(at)
             at += 1
-        while len(self.numbers) > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self._more_numbers()
         for places, (ids, sizes) in (
             (words, self._letters([fresh[i] for i in words])),
             (whole, self._each([fresh[i] for i in whole])),
@@ -139,6 +158,7 @@ class ChunkEncoder:
                 self.tails[tail] = np.array(self._library([tail])[0], np.uint32)
             ids = self.tails[tail]
             from_, own = self.begin[cores], self.size[cores]
+            np.add.at(self.seen, cores, 1)
             size = own + len(ids)
             start = self._room(int(size.sum())) + np.cumsum(size) - size
             within = np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
@@ -150,8 +170,8 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many belong to each text."""
         if len(self.numbers) > self.remembered:
-            self._forget()
-        run: list[int] = []
+            self._forget_rare()
+        runs: list[np.ndarray] = [np.empty(0, np.int64)]
         upto = np.zeros(len(texts) + 1, np.int64)
         number = self.numbers.__getitem__
         odd = []
@@ -160,14 +180,16 @@ class ChunkEncoder:
                 if self.keeps_blanks:
                     words = text.replace("\n", " \n").split(" ")
                     words[0] = "\n" + words[0]
-                    run.extend(map(number, words))
                 else:
-                    run.extend(map(number, text.split()))
+                    words = text.split()
+                runs.append(np.fromiter(map(number, words), np.int64, len(words)))
+                upto[i + 1] = len(words)
             elif text:
                 odd.append(i)
-            upto[i + 1] = len(run)
+        upto = np.cumsum(upto)
         self._learn()
-        chunks = np.array(run, np.int64)
+        chunks = np.concatenate(runs)
+        self.seen[: len(self.numbers)] += np.bincount(chunks, minlength=len(self.numbers))
         begin, size = self.begin[chunks], self.size[chunks]
         if self.keeps_blanks:  # a text's first chunk was looked up behind a line end that the text doesn't have
             leading = upto[:-1][np.diff(upto) > 0]
