@@ -1,9 +1,8 @@
 """Static range asymmetric numeral system over interleaved lanes, in numpy.
 
-A block of symbols is dealt to lanes, symbol ``i`` to lane ``i % lanes``. Every lane is a coder of its own with a 32-bit
-63-bit state
-and 32-bit words; all lanes step together, so one numpy call codes one symbol of each lane. Words of all lanes
-share one stream. Every ``CHECKPOINT`` steps the encoder notes the states and the place in the stream, so that the
+A block of symbols is dealt to lanes, symbol ``i`` to lane ``i % lanes``. Every lane is a coder of its own with a
+63-bit state and 32-bit words; all lanes step together, so one numpy call codes one symbol of each lane. Words of all
+lanes share one stream. Every ``CHECKPOINT`` steps the encoder notes the states and the place in the stream, so that the
 stretches between checkpoints can be decoded independently of each other.
 """
 
@@ -135,12 +134,12 @@ def _stretch(n: int, words: np.ndarray, at: int, state: np.ndarray, first: int,
 
 
 def decode(block: bytes, table: FrequencyTable) -> np.ndarray:
-    """All symbols of a block, checked against both checksums."""
+    """All symbols of a block, each stretch from its own checkpoint, checked against both checksums."""
     head, places, states, words = _parsed(block)
     n = int(head["symbols"])
     if not n:
         return np.empty(0, np.uint32)
-    out = _stretch(n, words, int(places[0]), states[0], 0, -(-n // int(head["lanes"])), table)
+    out = np.concatenate([_stretch(n, words, int(at), state, mark * CHECKPOINT, CHECKPOINT, table) for mark, (at, state) in enumerate(zip(places, states))])
     if zlib.crc32(out.astype("<u4").tobytes()) != head["raw_crc"]:
         raise ValueError("the decoded symbols don't match their checksum")
     return out

@@ -5,12 +5,13 @@
 ``blocks``  one row for each independent coded block of whole documents: ``part`` (files in ascending key order),
             ``first`` (the place of its first document in the part), ``start`` (ids of the part before the block),
             ``n_tokens``, ``keys`` and ``lengths`` (little-endian int64 and uint32 of its documents), ``null_keys``
-            (a byte each), ``payload`` (the coded ids with checkpoints and checksums, see ``range_coder``).
+            (a byte each), ``table_crc`` (of the table it is coded under), ``payload`` (the coded ids with checkpoints
+            and checksums, see ``range_coder``).
 ``table``   the frequency of every id, shared by all blocks.
 ``parts``   ids in each part, from which ids before a document follow.
 
-Null texts count as empty and give the end id alone; null keys come first. Repeated rows are documents of their own,
-ties of the key are ordered by text. An empty table gives empty tables. No other column of the input is touched.
+Null texts count as empty and give the end id alone; null keys come first. Repeated rows are documents of their own;
+ties of the key are ordered by a hash of the text, so that one key of very many rows is spread over several parts. An empty table gives empty tables. No other column of the input is touched.
 """
 
 from __future__ import annotations
@@ -62,8 +63,9 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             )
             place, before = place + n, before + int(stops[-1])
 
-    ordered = id_and_text(docs).repartitionByRange(F.col("doc_id").asc_nulls_first())
-    return ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(run, schema)
+    place = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = id_and_text(docs).repartitionByRange(*place)
+    return ordered.sortWithinPartitions(*place, "text").mapInArrow(run, schema)
 
 
 def _width(tokenizer: str) -> tuple[int, str]:
@@ -89,7 +91,7 @@ def id_counts(rows: DataFrame, vocabulary: int, kind: str) -> DataFrame:
 def coded_blocks(rows: DataFrame, table: FrequencyTable, kind: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Rows of consecutive documents as coded blocks of at least ``block_tokens`` ids, or what a task has left."""
     shared = rows.sparkSession.sparkContext.broadcast(table.freq)
-    schema = "part int, first bigint, start bigint, n_tokens bigint, keys binary, null_keys binary, lengths binary, payload binary"
+    schema = "part int, first bigint, start bigint, n_tokens bigint, keys binary, null_keys binary, lengths binary, table_crc bigint, payload binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freqs = FrequencyTable.of(shared.value)
@@ -108,6 +110,7 @@ def coded_blocks(rows: DataFrame, table: FrequencyTable, kind: str, block_tokens
                         "keys": np.array([r["doc_id"] or 0 for r in held], "<i8").tobytes(),
                         "null_keys": bytes(r["doc_id"] is None for r in held),
                         "lengths": np.array([r["n_tokens"] for r in held], "<u4").tobytes(),
+                        "table_crc": freqs.crc(),
                         "payload": encode(ids, freqs),
                     }
                 ],
@@ -116,7 +119,8 @@ def coded_blocks(rows: DataFrame, table: FrequencyTable, kind: str, block_tokens
 
         out = pa.schema(
             [("part", pa.int32()), ("first", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())]
-            + [(name, pa.binary()) for name in ("keys", "null_keys", "lengths", "payload")]
+            + [(name, pa.binary()) for name in ("keys", "null_keys", "lengths")]
+            + [("table_crc", pa.int64()), ("payload", pa.binary())]
         )
         for batch in slices(batches, "ids"):
             for row in batch.to_pylist():
@@ -158,8 +162,11 @@ def read_tokens(spark: SparkSession, folder: str, with_ids: bool = False) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = FrequencyTable.of(shared.value)
+        known = table.crc()
         for batch in slices(batches, "payload"):
             for row in batch.to_pylist():
+                if row["table_crc"] != known:
+                    raise ValueError("the block is coded under another frequency table")
                 ids = decode(row["payload"], table)
                 lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
                 stops = np.cumsum(lengths)
