@@ -9,21 +9,25 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, near_copies, subword_classifier
 from pageloom.llm.queries import table, vocabulary
 from pageloom.llm.texts import importable, keep_rows
-from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in a learned language; ``und`` goes: null, empty, or without a letter."""
+    """Documents whose text is in a learned language; ``und`` goes: null, empty, or without a letter.
+
+    Where nothing is learned, because no row has a language, every text with a letter stays.
+    """
     importable(spark)
-    shared = spark.sparkContext.broadcast(cross_parsing.train(docs))
+    model = cross_parsing.train(docs)
+    if not model.languages:
+        return keep_rows(docs, lambda texts: np.array([cross_parsing.has_letter(text) for text in texts], bool))
+    shared = spark.sparkContext.broadcast(model)
 
     def keep(texts: list[str | None]) -> np.ndarray:
         return np.array([label != cross_parsing.UNDETERMINED for label in cross_parsing.predict(texts, shared.value)[0]], bool)
@@ -44,19 +48,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies (five-word shingles, 0.8), once if its row repeats."""
+    """One document of each group of near copies (five-word shingles, 0.8): the least id, of its texts the one with the least hash."""
     importable(spark)
-    copies = near_copies.near_copies(docs).where("not kept").select(F.col("doc_id").alias("copy")).distinct()
-    gone = durable(copies, "copies")
-    # Ids that go are the fewer; rows that repeat as a whole share one id and one text.
-    left = docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(gone["copy"]), "left_anti")
-    repeated = left.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
-    again = durable(repeated, "repeated")
-    if again.isEmpty():
-        return left
-    single = left.join(broadcast_if_small(again), left["doc_id"].eqNullSafe(again["again"]), "left_anti")
-    several = left.join(broadcast_if_small(again), left["doc_id"].eqNullSafe(again["again"]), "left_semi")
-    return single.unionByName(several.dropDuplicates(["doc_id", "text"]))
+    return near_copies.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

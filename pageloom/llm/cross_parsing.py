@@ -47,6 +47,10 @@ def letters() -> np.ndarray:
     return _LETTERS[0]
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and bool(letters()[code_points(text)].any())
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -266,9 +270,9 @@ def window(lengths: list[int], total: int) -> int:
 def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
     """Language and score of each text, see ``identify``."""
     kept("language", dict)  # another operator's memory goes before the automata are built
-    names, known = model.languages, letters()
+    names = model.languages
     labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-    ok = [i for i, t in enumerate(texts) if t and known[code_points(t)].any()] if names else []
+    ok = [i for i, t in enumerate(texts) if has_letter(t)] if names else []
     if not ok:
         return labels, scores
     weight = np.log2([max(2, len(model.texts[name])) for name in names])

@@ -10,8 +10,8 @@
    ``CHUNK`` nodes is dealt into chunks, and every pair of chunks is a task's worth of its own.
 4. Confirmed links give the components.
 
-Nulls: a null or wordless text has an empty set and is linked with nothing; a null id keeps a null component. Rows with
-one id and several texts are judged row by row. An empty table gives an empty result.
+Nulls: a null or wordless text has an empty set and is linked with nothing; a null id keeps a null component and links
+nothing. Rows with one id and several texts are judged row by row. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,18 +21,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.components import components
 from pageloom.llm.texts import WordHashes, id_and_text, kept, map_texts, mix, slices, words_of
-from pageloom.operators.skew import broadcast_if_small
+from pageloom.operators.skew import broadcast_if_small, join_split
 from pageloom.storage import durable
 
 SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 42, 6
 CHUNK = 4096
+#: Rows of a band key beyond which its nodes are shared out over several tasks.
+KEY_ROWS = 100_000
+#: A column that no table has.
+KEY = "__row_key"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20)
 _A = _rng.integers(1, 1 << 32, BANDS * ROWS, np.uint64).astype(np.uint32) | np.uint32(1)
@@ -79,28 +83,51 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signed(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, node, keys``: node and keys are null for an empty set."""
+    """``doc_id, row_key, n_shingles, node, keys`` of each row: node and keys are null for an empty set.
+
+    ``row_key`` is a hash of the text, which tells rows of one id apart.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("row_key"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([band_keys(signature(s)) if len(s) else None for s in sets], pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "node", "keys"],
+            names=["doc_id", "row_key", "n_shingles", "node", "keys"],
         )
 
-    return map_texts(id_and_text(docs), work, "doc_id bigint, n_shingles bigint, node bigint, keys array<bigint>")
+    return map_texts(id_and_text(docs, "doc_id", "text", row_key()), work, "doc_id bigint, row_key bigint, n_shingles bigint, node bigint, keys array<bigint>")
+
+
+def row_key() -> Column:
+    """Tells texts of one id apart; null and empty texts are the same here as everywhere."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("row_key")
+
+
+def nodes_of(table: DataFrame) -> DataFrame:
+    """``node, doc_id, keys``: each distinct set once, with one bearer. Copies of a text are one row from here on.
+
+    Equal sets have equal keys, so any bearer's will do.
+    """
+    known = table.where("node is not null and doc_id is not null")
+    return known.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
+
 
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Edges ``node, least`` between nodes that share a band key, a star for each key.
 
-def candidates(table: DataFrame) -> DataFrame:
-    """Edges ``node, least`` between nodes that share a band key, a star for each key."""
-    keyed = table.where("node is not null").select("node", F.explode("keys").alias("key"))
+    A key that very many nodes share is one row of each task while its least node is
+    sought; the join back is split by the rows it makes.
+    """
+    keyed = durable(nodes.select("node", F.explode("keys").alias("key")), "band_keys")
     shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    return keyed.join(shared.select("key", "least"), "key").where("node <> least").select("node", "least").distinct()
+    found = join_split(keyed, durable(shared.select("key", "least"), "shared_keys"), "key", F.col("node"), KEY_ROWS)
+    return found.where("node <> least").select("node", "least").distinct()
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -187,19 +214,51 @@ def confirmed(docs: DataFrame, members: DataFrame, shingle: int, percent: int, c
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every document; the least id of a component is kept."""
+def judged(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, row_key, n_shingles, root`` of each row; rows of one component share ``root``, which is null for rows linked with nothing."""
     if not 80 <= percent <= 100:
         raise ValueError("the bands are laid out for similarities of 0.8 and more")
     table = durable(signed(docs, shingle), "signed")
-    gathered = durable(components(candidates(table), "node", "least"), "gathered")
-    plain = table.select("doc_id", "n_shingles", "node")
-    members = gathered.join(plain.where("doc_id is not null"), "node").groupBy("node", F.col("root").alias("gathering")).agg(F.min("doc_id").alias("doc_id"))
-    links = components(confirmed(docs, durable(members, "members"), shingle, percent), "a", "b")
-    rooted = plain.where("node is not null and doc_id is not null").join(durable(links, "rooted"), "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "node")).drop("node")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = rooted.join(least, "root").select("doc_id", "n_shingles", "component_id")
-    alone = plain.where("node is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return linked.unionByName(alone).withColumn("kept", kept)
+    nodes = durable(nodes_of(table), "nodes")
+    gathered = durable(components(candidates(nodes), "node", "least"), "gathered")
+    members = gathered.withColumnRenamed("root", "gathering").join(nodes.select("node", "doc_id"), "node")
+    links = durable(components(confirmed(docs, durable(members, "members"), shingle, percent), "a", "b"), "rooted")
+    plain = table.select("doc_id", "row_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
+    # Nodes that are linked with another: a node of very many copies is split by the join or not joined at all.
+    return plain.join(broadcast_if_small(links), "node", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("root", "node").alias("root"))
+
+
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every document; the least id of a component is kept."""
+    rows = durable(judged(docs, shingle, percent), "judged")
+    least = durable(rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")), "least")
+    # A component of one row is its own; only the others are told their least id.
+    several = least.where("rows > 1").select("root", "component_id")
+    told = rows.join(broadcast_if_small(several), "root", "left")
+    component = F.coalesce("component_id", "doc_id")
+    return told.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component the row with the least id, then the least text hash.
+
+    Rows without words and rows without an id all stay, as they are linked with
+    nothing. A row that repeats as a whole stays once, if its component stays with it.
+    """
+    rows = durable(judged(docs, shingle, percent), "judged").where("root is not null")
+    row = F.struct("doc_id", "row_key")
+    groups = durable(rows.groupBy("root").agg(F.min(row).alias("stays"), F.count("*").alias("rows")).where("rows > 1"), "groups")
+    seen = rows.select("root", row.alias("row")).distinct()
+    gone = seen.join(broadcast_if_small(groups), "root").where(F.col("row") != F.col("stays"))
+    gone = durable(gone.select(F.col("row.doc_id").alias("gone_id"), F.col("row.row_key").alias("gone_key")), "gone")
+    again = durable(rows.groupBy("doc_id", "row_key").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias("again_id"), F.col("row_key").alias("again_key")), "again")
+
+    keyed = docs.withColumn(KEY, row_key())
+    own = F.col("doc_id").cast("bigint")
+    left = keyed.join(broadcast_if_small(gone), (own == F.col("gone_id")) & (F.col(KEY) == F.col("gone_key")), "left_anti")
+    if again.isEmpty():
+        return left.drop(KEY)
+    repeats = (own == F.col("again_id")) & (F.col(KEY) == F.col("again_key"))
+    single = left.join(broadcast_if_small(again), repeats, "left_anti")
+    several = left.join(broadcast_if_small(again), repeats, "left_semi").dropDuplicates(["doc_id", KEY])
+    return single.unionByName(several).drop(KEY)

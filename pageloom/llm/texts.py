@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import zlib
@@ -23,9 +25,15 @@ _SEPARATORS = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
 
+#: How workers' C heaps behave: arrays from 4 MB on go back to the system when they are freed, and two threads share a heap.
+HEAP = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, if their own path lacks it."""
+    """Let Python workers import this package from where the driver has it, if their own path lacks it, and keep them small."""
     root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
+    for name, value in HEAP.items():
+        known.setdefault(name, value)
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         known["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
@@ -58,10 +66,21 @@ def kept(name: str, make: Callable[[], Kept]) -> Kept:
     """What a worker remembers between tasks under a name; one thing at a time, so that operators in a row don't add up."""
     if name not in _KEPT:
         _KEPT.clear()
+        give_back()
         _KEPT[name] = make()
     return _KEPT[name]
 
 
+def give_back() -> None:
+    """Return what is free in this process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_texts(
     docs: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text", limit: int = SLICE_BYTES
 ) -> DataFrame:

@@ -80,3 +80,24 @@ def test_the_contract_lists_all(spark):
     contract = importlib.import_module("__spark_entry__")
     names = contract.queries()
     assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+
+
+def test_one_row_of_each_group_stays_however_ids_repeat(spark):
+    one, other = "alpha beta gamma delta epsilon zeta eta theta", "iota kappa lambda mu nu xi omicron pi rho"
+    near = " ".join([one] * 4) + " end"
+
+    def left(rows):
+        docs = spark.createDataFrame([(str(n), i, t, "en", 1, "s", "k", "t") for n, (i, t) in enumerate(rows)], EDGE_SCHEMA)
+        return sorted((-1 if r.doc_id is None else r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+
+    assert left([(1, one), (2, one), (2, other)]) == [(1, one), (2, other)]
+    assert left([(1, one), (1, other), (2, other), (0, one)]) == [(0, one), (1, other)]
+    assert left([(3, one), (3, one), (3, one)]) == [(3, one)]
+    assert left([(4, near), (4, near + " x")]) in ([(4, near)], [(4, near + " x")])  # near copies under one id
+    assert len(left([(5, " "), (6, " ")])) == 2  # without words
+    assert left([(None, one), (None, one), (7, one)]) == [(-1, one), (-1, one), (7, one)]
+
+
+def test_nothing_learned_keeps_what_has_letters(spark):
+    docs = spark.createDataFrame([("a", 1, "Some text.", None, 1, "s", "k", "t"), ("b", 2, "123", None, 1, "s", "k", "t"), ("c", 3, None, None, 1, "s", "k", "t")], EDGE_SCHEMA)
+    assert [r.node for r in corpus_pipeline.language_id(spark, docs, "").collect()] == ["a"]
