@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A vector's direction is turned by ``TABLES`` pseudo-random rotations (three rounds of random signs and a fast Hadamard
-transform) and falls, in each table, to the nearest of the signed axes. A query probes the ``PROBES`` axes nearest to
-it in every table; the vectors found there are ranked by their exact inner product with it.
+transform) and falls, in each table, to the nearest of the signed axes. A query probes the axes nearest to it in every
+table, ``SHARE`` of all of them and at least ``PROBES``; the vectors found there are ranked by their exact inner product
+with it. A query that has met fewer vectors than it is to return goes on to all other axes of the first table, which
+hold every vector once: so it gets all candidates where there are few, and as many as asked for wherever there are.
 
 Equal vectors are one class with their smallest ids, so a vector with very many copies is hashed and searched once. A
 bucket with more than ``ROWS_A_PART`` classes is split, and a query visits every part of it.
@@ -13,6 +15,7 @@ vectors of one length are compared. A row that repeats counts once; rows of one
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark.sql.window import Window
 from pageloom.operators.skew import broadcast_if_small
 from pageloom.storage import durable
 
-TABLES, PROBES = 6, 28
+TABLES, PROBES, SHARE = 6, 28, 0.26
 ROWS_A_PART = 20_000
 #: Vectors hashed at a time; each is copied once for every probe.
 HASHED_ROWS = 512
@@ -96,8 +99,13 @@ def classes(rows: DataFrame, keep: int) -> DataFrame:
     return parts.groupBy("vector").agg(smallest).select(F.xxhash64("vector").alias("name"), "vector", "ids")
 
 
-def _hashed(rows: DataFrame, probes: int, tables: int) -> DataFrame:
-    """``rows`` once for each table and probed axis, with ``width, tab, axis``."""
+def axes_of(width: int) -> int:
+    """Signed axes of vectors of a width, which is padded to a power of two."""
+    return 2 << max(0, (width - 1).bit_length())
+
+
+def _hashed(rows: DataFrame, probes: int | None, tables: int) -> DataFrame:
+    """``rows`` once for each table and probed axis, with ``width, tab, axis``; by default as many axes as the width asks for."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", width int, tab int, axis int"
 
     def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -109,7 +117,7 @@ def _hashed(rows: DataFrame, probes: int, tables: int) -> DataFrame:
             data = np.array([vectors[i] for i in places], np.float64)
             own = batch.take(pa.array(places))
             for table in range(tables):
-                axes = nearest_axes(rotated(data, table), probes)
+                axes = nearest_axes(rotated(data, table), probes or max(PROBES, math.ceil(SHARE * axes_of(width))))
                 out = own.take(pa.array(np.repeat(np.arange(len(places)), axes.shape[1])))
                 n = out.num_rows
                 extra = [np.full(n, width, np.int32), np.full(n, table, np.int32), axes.ravel().astype(np.int32)]
@@ -124,11 +132,13 @@ def _hashed(rows: DataFrame, probes: int, tables: int) -> DataFrame:
 
 
 def neighbours(
-    rows: DataFrame, every: int = EVERY, nearest: int = NEAREST, tables: int = TABLES, probes: int = PROBES, part_rows: int = ROWS_A_PART
+    rows: DataFrame, every: int = EVERY, nearest: int = NEAREST, tables: int = TABLES, probes: int | None = None, part_rows: int = ROWS_A_PART
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every`` its nearest others found.
 
-    Largest inner product first, ties to the smaller id.
+    Largest inner product first, ties to the smaller id. A query has ``nearest``
+    rows, or one for each other id of its width if those are fewer; none, if there
+    is no other.
     """
     keep = nearest + 1  # one more, for the query's own row
     clean = valid(rows)
@@ -143,8 +153,6 @@ def neighbours(
     parts = hashed.groupBy(*bucket).agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
     parts = broadcast_if_small(durable(parts, "parts"))
     dealt = hashed.join(parts, bucket).withColumn("part", F.pmod(F.col("name"), F.col("parts")).cast("int")).drop("parts")
-    probing = _hashed(wanted, probes, tables).join(parts, bucket)
-    probing = probing.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     names = ["name", "vec_id", "score"]
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -170,10 +178,29 @@ def neighbours(
         return pa.table([pa.array(c) for c in columns], names=names)
 
     keys = [*bucket, "part"]
-    found = probing.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(rank, "name bigint, vec_id bigint, score double")
-    # Found in several tables: one row each, then the best of every query vector.
-    single = found.groupBy("name", "vec_id").agg(F.max("score").alias("score"))
-    best = single.withColumn("place", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "vec_id"))).where(F.col("place") <= keep)
+
+    def met(probing: DataFrame, dealt: DataFrame) -> DataFrame:
+        at = probing.join(parts, bucket).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        return at.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(rank, "name bigint, vec_id bigint, score double")
+
+    def best_of(found: DataFrame) -> DataFrame:
+        # Found in several tables: one row each, then the best of every query vector.
+        single = found.groupBy("name", "vec_id").agg(F.max("score").alias("score"))
+        place = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("score"), "vec_id"))
+        return single.withColumn("place", place).where(F.col("place") <= keep).drop("place")
+
+    best = durable(best_of(met(_hashed(wanted, probes, tables), dealt)), "met")
+    # A query always meets its own class, so all ids of its width are as many as it can meet.
+    there = index.groupBy(F.size("vector").alias("width")).agg(F.sum(F.size("ids")).alias("ids"))
+    counts = best.groupBy("name").agg(F.count("*").alias("ids_met"))
+    sized = wanted.select("name", F.size("vector").alias("width")).join(counts, "name", "left")
+    short = sized.join(F.broadcast(there), "width").where(F.coalesce("ids_met", F.lit(0)) < F.least(F.lit(keep), "ids"))  # a row for each width
+    short = durable(short.select("name"), "short")
+    if not short.isEmpty():
+        again = wanted.join(broadcast_if_small(short), "name", "left_semi")
+        widest = axes_of(there.agg(F.max("width")).first()[0])
+        rest = met(_hashed(again, widest, 1), dealt.where("tab = 0"))
+        best = best_of(best.unionByName(rest))
     lists = best.groupBy("name").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v")))).alias("near"))
     near = F.expr(f"slice(filter(near, x -> x.v <> query_id), 1, {nearest})")
     asked = asking.select(F.col("vec_id").alias("query_id"), "name").join(lists, "name").select("query_id", F.posexplode(near).alias("place", "x"))

@@ -441,7 +441,7 @@ def test_neighbours_of_odd_vectors(spark):
     rows = [(i, unit, 1) for i in range(0, 60)] + [(100, [1.0, 0.0, 0.0], 1), (101, None, 1), (102, [0.0] * 3, 1), (103, [1.0, None, 0.0], 1), (104, [float("nan"), 1.0, 0.0], 1), (105, [float("inf"), 1.0, 0.0], 1), (None, unit, 1), (120, [2.0, 0.0], 1), (140, [1.0, 1.0], 1), (0, unit, 1)]
     frame = spark.createDataFrame(rows, "vec_id int, embedding array<double>, score int")
     found = defaultdict(list)
-    for r in sorted(cross_polytope.neighbours(frame, probes=64, part_rows=2).collect(), key=lambda r: (r.query_id, r.rank)):
+    for r in sorted(cross_polytope.neighbours(frame, part_rows=2).collect(), key=lambda r: (r.query_id, r.rank)):
         found[r.query_id].append((r.vec_id, round(r.score, 9)))
     assert found[0] == [(i, 1.0) for i in range(1, 21)] and found[40] == [(i, 1.0) for i in range(20)]
     assert found[100] == [(i, 0.6) for i in range(20)]
@@ -449,6 +449,26 @@ def test_neighbours_of_odd_vectors(spark):
     assert cross_polytope.neighbours(frame.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("width,count", [(3, 12), (64, 15), (768, 15), (768, 21), (64, 400), (768, 400)])
+def test_few_vectors_are_all_found_and_many_nearly_all(spark, width, count):
+    rng = np.random.default_rng(width + count)
+    data = rng.normal(size=(count, width))
+    data[1] = data[0]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    found = defaultdict(list)
+    for r in cross_polytope.neighbours(frame).collect():
+        found[r.query_id].append((r.rank, r.vec_id))
+    hits = 0
+    for query in range(0, count, 20):
+        scores = data @ data[query]
+        order = [i for i in np.lexsort((np.arange(count), -scores)).tolist() if i != query][:20]
+        near = [v for _, v in sorted(found[query])]
+        assert len(near) == min(20, count - 1)
+        assert count > 21 or near == order
+        hits += len(set(near) & set(order))
+    assert hits >= 0.9 * 20 * len(range(0, count, 20)) or count <= 21
+
+
 def test_pseudo_rotation_keeps_lengths():
     vectors = np.random.default_rng(1).normal(size=(50, 48))
     assert np.allclose(np.linalg.norm(cross_polytope.rotated(vectors, 2), axis=1), 1)
