@@ -8,7 +8,10 @@ article: to the article or main element around it, and as far as nothing beside
 Every block there that isn't left out is kept.
 
 Left out wherever they stand: menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts,
-styles, hidden parts and reader comments. Text outside of markup is kept whole: character references decoded, white
+styles, hidden parts and reader comments. A class or id marks such a part if all its words say so. One that says so by a
+word among others, or by a word that may name a section as well (``related-work``, ``notice``, ``search``), leaves a part
+of an article out only if it isn't prose: short, or mostly links, or with form fields, or without headings and
+paragraphs. Text outside of markup is kept whole: character references decoded, white
 space inside a block turned into one blank and trimmed, blocks in page order joined by an empty line. A line break
 inside a block is white space.
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,15 +50,28 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+LISTS = frozenset("ul ol dl table tbody tr blockquote".split())
+OUT, DOUBTFUL = 1, 2
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a page's main text never comes from, and words of class, id and role that mark such parts.
 LEFT_OUT = frozenset("nav footer aside form button select option dialog head menu object canvas audio video".split())
 LEFT_OUT_WORDS = frozenset(
-    "ad ads adv advert advertisement adverts advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar "
-    "breadcrumb breadcrumbs sidebar aside widget footer masthead cookie cookies consent gdpr notice alert comment comments respond "
-    "disqus share sharing social related recommended newsletter subscribe subscription popup modal overlay pagination pager toolbar "
-    "login signup search complementary contentinfo".split()
+    "ad ads adv advert advertisement adverts advertising sponsor sponsored promo promotion nav navbar navigation menubar breadcrumb "
+    "breadcrumbs sidebar widget masthead cookie cookies consent gdpr comment comments respond disqus newsletter subscribe subscription "
+    "popup modal overlay pagination pager toolbar login signup complementary contentinfo".split()
 )
+#: Words that mark such parts too, but may as well name a section of an article.
+DOUBTFUL_WORDS = frozenset("banner menu aside footer notice alert share sharing social related recommended search".split())
+#: Words that say nothing about what an element holds.
+NEUTRAL_WORDS = frozenset(
+    "box block container wrapper wrap list item section area bar slot unit inner outer content body main page site global primary secondary "
+    "top bottom left right head header foot wide small large sticky fixed first last row col column panel group holder region zone text link "
+    "links icon icons button buttons form js mobile desktop".split()
+)
+#: Doubtful parts of an article stay if they are prose: so many characters outside of links, at most this share in links.
+PROSE_CHARS, PROSE_LINKED = 200, 0.25
+#: Paths longer than this get no vote; such a page goes by its own best container.
+PATH_CHARS = 2_000
 #: An element of the first kind ends open ones of the second, up to the nearest of the third.
 _CLOSED_BY = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -69,34 +86,79 @@ _CLOSED_BY = {
 
 @dataclass
 class Page:
-    """Elements in page order (parent, tag, generalised name, whether left out) and blocks of text with their element."""
+    """Elements in page order and blocks of text with their element; what is told of an element costs the same at any depth."""
 
     parent: list[int] = field(default_factory=list)
     tag: list[str] = field(default_factory=list)
     name: list[str] = field(default_factory=list)
+    #: Whether left out, and whether that hangs on what the element holds.
     out: list[bool] = field(default_factory=list)
+    doubtful: list[int] = field(default_factory=list)
+    #: Whether in an article or main element, the element that lists count for, and the number of the path.
+    within: list[bool] = field(default_factory=list)
+    lifted: list[int] = field(default_factory=list)
+    place: list[int] = field(default_factory=list)
+    places: dict[tuple[int, str], int] = field(default_factory=dict)
+    fields: dict[int, int] = field(default_factory=dict)
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
     def open(self, parent: int, tag: str, attributes: str) -> int:
-        name, out = tag, parent >= 0 and self.out[parent]
+        node = len(self.tag)
+        name, out, within = tag, parent >= 0 and self.out[parent], parent >= 0 and self.within[parent]
         if attributes and not attributes.isspace():
             name, marked = _described(tag, attributes)
-            out |= marked
-        inside = any(t in ("article", "main") for t in self._tags(parent)) if tag == "header" else True
+            out |= marked == OUT
+            if marked == DOUBTFUL and not out:
+                self.doubtful.append(node)
         self.parent.append(parent)
         self.tag.append(tag)
         self.name.append(name)
-        self.out.append(out or tag in LEFT_OUT or not inside)
-        return len(self.tag) - 1
+        self.out.append(out or tag in LEFT_OUT or (tag == "header" and not within))
+        self.within.append(within or tag in ("article", "main"))
+        self.lifted.append(self.lifted[parent] if tag in LISTS and parent >= 0 else node)
+        self.place.append(self.places.setdefault((self.place[parent] if parent >= 0 else -1, name), len(self.places)))
+        return node
+
+    def settle(self) -> None:
+        """Leave out the doubtful elements that are no prose of an article and hold no article."""
+        if not self.doubtful:
+            return
+        count = len(self.tag)
+        length, linked, parts, fields, holds = ([0] * count for _ in range(5))
+        for node, text, n in self.blocks:
+            if not self.out[node]:
+                length[node] += len(text)
+                linked[node] += n
+                parts[node] += 2 if self.tag[node] in HEADINGS else 1 if self.tag[node] == "p" else 0
+        for node, n in self.fields.items():
+            fields[node] += n
+        for node in range(count - 1, 0, -1):
+            if (parent := self.parent[node]) >= 0:
+                for own in (length, linked, parts, fields, holds):
+                    own[parent] += own[node]
+                holds[parent] += self.tag[node] in ("article", "main")
+        for node in self.doubtful:
+            prose = length[node] - linked[node] >= PROSE_CHARS and linked[node] <= PROSE_LINKED * length[node] and parts[node] >= 2 and not fields[node]
+            if not (prose if self.within[node] else holds[node]):
+                self.out[node] = True
+        for node, parent in enumerate(self.parent):
+            if parent >= 0 and self.out[parent]:
+                self.out[node] = True
+
+    def find(self, path: str) -> int | None:
+        """The number of a path, if the page has it."""
+        place: int | None = -1
+        for name in path.split(">"):
+            place = self.places.get((place, name))
+            if place is None:
+                return None
+        return place
 
     def _up(self, node: int) -> Iterator[int]:
         while node >= 0:
             yield node
             node = self.parent[node]
 
-    def _tags(self, node: int) -> Iterator[str]:
-        return (self.tag[n] for n in self._up(node))
-
     def path(self, node: int) -> str:
         names = []
         while node >= 0:
@@ -114,8 +176,7 @@ class Page:
             container = node
             if self.tag[node] not in ("div", "section", "article", "main", "body", "td"):
                 container = self.parent[node]
-                while container >= 0 and self.tag[container] in ("ul", "ol", "dl", "table", "tbody", "tr", "blockquote"):
-                    container = self.parent[container]
+                container = self.lifted[container] if container >= 0 else container
             if container >= 0:
                 found[container] = found.get(container, 0.0) + worth
                 around = self.parent[container]
@@ -167,27 +228,39 @@ class Page:
         return "\n\n".join(text for node, text, _ in self.blocks if inside[node] and not self.out[node])
 
 
-_DESCRIBED: dict[tuple[str, str], tuple[str, bool]] = {}
+_DESCRIBED: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def _described(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised name of an element, and whether its attributes mark it as left out."""
+def _described(tag: str, attributes: str) -> tuple[str, int]:
+    """Generalised name of an element, and whether its attributes mark it as left out, perhaps, or not (0)."""
     key = (tag, attributes)
     if key not in _DESCRIBED:
         if len(_DESCRIBED) > 50_000:
             _DESCRIBED.clear()
         given = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
         classes = sorted({c for c in (_DIGITS.sub("", c).strip("-_") for c in given.get("class", "").split()) if c})
-        words = {w for k in ("class", "id", "role") for w in _WORD.findall(given.get(k, ""))}
-        hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
-        out = tag not in ("html", "body", "article", "main") and bool(words & LEFT_OUT_WORDS)
-        _DESCRIBED[key] = ".".join([tag, *classes]), out or hidden
+        marked = 0
+        if "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", ""):
+            marked = OUT
+        elif tag not in ("html", "body", "article", "main"):
+            for token in " ".join(given.get(k, "") for k in ("class", "id", "role")).split():
+                marked = OUT if marked == OUT else _marks(token) or marked
+        _DESCRIBED[key] = ".".join([tag, *classes]), marked
     return _DESCRIBED[key]
 
 
+def _marks(token: str) -> int:
+    """A class or id marks its element for sure if all its words do or say nothing, and perhaps if one of several does."""
+    words = set(_WORD.findall(token)) - NEUTRAL_WORDS
+    if words and words <= LEFT_OUT_WORDS:
+        return OUT
+    return DOUBTFUL if words & (LEFT_OUT_WORDS | DOUBTFUL_WORDS) else 0
+
+
 def parse(source: str) -> Page:
     page = Page()
     stack: list[int] = []
+    opened: Counter[str] = Counter()
     held: list[str] = []
     linked = 0
     links = 0
@@ -201,6 +274,7 @@ def parse(source: str) -> Page:
             if text:
                 if not stack:
                     stack.append(page.open(-1, "body", ""))
+                    opened["body"] += 1
                 node = stack[-1]
                 while page.tag[node] not in BLOCKS and page.parent[node] >= 0:
                     node = page.parent[node]
@@ -214,6 +288,7 @@ def parse(source: str) -> Page:
             flush()
         for node in stack[depth:]:
             links -= page.tag[node] == "a"
+            opened[page.tag[node]] -= 1
         del stack[depth:]
 
     match = _TOKEN.match
@@ -234,7 +309,7 @@ def parse(source: str) -> Page:
             if tag == "br":
                 held.append(" ")
                 continue
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1 if opened[tag] else -1, -1, -1):
                 open_tag = page.tag[stack[depth]]
                 if open_tag == tag:
                     close(depth)
@@ -264,20 +339,24 @@ def parse(source: str) -> Page:
                 ends, limits = _CLOSED_BY[tag]
             else:
                 ends, limits = {"p"}, {"button", "td", "th", "li"}
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1 if any(opened[t] for t in ends) else -1, -1, -1):
                 if page.tag[stack[depth]] in limits:
                     break
                 if page.tag[stack[depth]] in ends:
                     close(depth)
                     if tag != "tr":
                         break
+        if tag == "input" and stack:
+            page.fields[stack[-1]] = page.fields.get(stack[-1], 0) + 1
         if tag in VOID or found.group(3).endswith("/") and tag not in BLOCKS and tag != "a":
             continue
-        if tag in ("html", "body") and any(page.tag[n] == tag for n in stack):
+        if tag in ("html", "body") and opened[tag]:
             continue
         stack.append(page.open(stack[-1] if stack else -1, tag, found.group(3)))
+        opened[tag] += 1
         links += tag == "a"
     flush()
+    page.settle()
     return page
 
 
@@ -295,13 +374,13 @@ def extract(source: str | None, paths: list[str] | None) -> str:
     scores = page.scores()
     if not scores:
         return ""
-    named: dict[str, list[int]] = {}
+    named: dict[int, list[int]] = {}
     for node in scores:
-        named.setdefault(page.path(node), []).append(node)
+        named.setdefault(page.place[node], []).append(node)
     for path in paths or []:
-        if path in named:
-            return page.text(page.climbed(named[path]))
-    return page.text(page.climbed(named[page.path(min(scores, key=lambda n: (-scores[n], n)))]))
+        if (place := page.find(path)) in named:
+            return page.text(page.climbed(named[place]))
+    return page.text(page.climbed(named[page.place[min(scores, key=lambda n: (-scores[n], n))]]))
 
 
 def host_of(url: str = "url") -> F.Column:
@@ -320,8 +399,9 @@ def votes(pages: DataFrame) -> DataFrame:
                     continue
                 page = parse(source)
                 node = best_container(page)
-                if node is not None:
-                    own = counted.setdefault((host, page.path(node)), [0, 0.0])
+                path = "" if node is None else page.path(node)
+                if 0 < len(path) <= PATH_CHARS:
+                    own = counted.setdefault((host, path), [0, 0.0])
                     own[0] += 1
                     own[1] += len(page.text({node}))
             if len(counted) > 10_000:

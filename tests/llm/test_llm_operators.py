@@ -270,6 +270,55 @@ def test_main_text_keeps_the_whole_article():
     assert both(f"<div class=wrap>{menu}<section>{long}</section><section>{short}</section></div>") == joined(long, short)
 
 
+def test_prose_stays_whatever_its_section_is_called():
+    prose = "Plain prose of the article with some words in it. " * 8
+    section = "<h2>Head</h2><p>{0}</p><p>{0}</p>"
+    for mark in ("class='related-work'", "class='notice-period'", "id='search'", "class='share-price'", "id=related", "class='ad-hoc methods'"):
+        page = f"<html><body><article><h1>T</h1><p>{prose}</p><section {mark}>{section.format(prose)}</section></article></body></html>"
+        assert main_text.extract(page, None).count(prose.strip()) == 3, mark
+    gone = [
+        "<div class='ad-box'>{0}</div>", "<div class='notice'>{1}</div>", "<div class=comments><h2>Say</h2><p>{0}</p><p>{0}</p></div>", "<div class='cookie-banner'>{0}</div>",
+        "<div class='related'><ul><li><a href=/a>{0}</a><li><a href=/b>{0}</a></ul></div>", "<section id=search><h2>Find</h2><p>{0}</p><input name=q></section>",
+        "<aside>{0}</aside>", "<div class='newsletter'><h2>x</h2><p>{0}</p></div>", "<form><p>{0}</p></form>", "<div hidden>{0}</div>",
+    ]
+    for part in gone:
+        page = f"<html><body><main><h1>T</h1><p>{prose}</p>{part.format('other ' * 60, 'short')}<p>end</p></main></body></html>"
+        assert main_text.extract(page, None) == "\n\n".join(["T", prose.strip(), "end"]), part
+    around = f"<body><div class='content-with-sidebar'><article><p>{prose}</p></article></div><div class='left-sidebar'><p>{prose}</p></div></body>"
+    assert main_text.extract(around, None) == prose.strip()
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    for opening, closing in (("<div>", "</div>"), ("<ul><li>", "</li></ul>"), ("<header>", "</header>"), ("<div><p>", "</div>")):
+        page = "<article>" + opening * 20_000 + "deep text" + closing * 20_000 + "</article>"
+        began = time.time()
+        main_text.extract(page, ["body>article"])
+        assert time.time() - began < 2
+    assert main_text.extract("<div>" * 20_000 + "deep text", None) == "deep text"
+
+
+def test_votes_equal_a_plain_count(spark, sf_dir):
+    rows = load(sf_dir, "pages")[:200] + [{"page_id": -1, "url": "https://deep.example/", "html": "<div>" * 5000 + "text " * 30}]
+    counted = Counter()
+    for r in rows:
+        page = main_text.parse(r["html"])
+        scores = page.scores()
+        if scores:
+            path = page.path(max(scores, key=lambda n: (scores[n], -n)))
+            if len(path) <= main_text.PATH_CHARS:
+                counted[re.match(r"[a-z]+://([^/:?#]*)", r["url"]).group(1), path] += 1
+    pages = spark.createDataFrame([(r["page_id"], r["url"], r["html"]) for r in rows], "page_id long, url string, html string")
+    assert {(r.host, r.path): r.votes for r in main_text.votes(pages).collect()} == counted
+    best = {}
+    for (host, path), n in counted.items():
+        best.setdefault(host, []).append((-n, path))
+    for r in main_text.winning_paths(pages).collect():
+        own = dict((p, -n) for n, p in best[r.host])
+        assert len(r.paths) == min(3, len(own)) and [own[p] for p in r.paths] == sorted(own.values(), reverse=True)[:3]
+
+
 # --- 5 -------------------------------------------------------------------------------
 
 
