@@ -3,8 +3,8 @@
     p(w | h) = l2[b] c(h w) / c(h) + l1[b] c(w) / N + l0[b] / (V + 1),    b = bucket of c(h)
 
 The mixture weights of each context-frequency bucket are learned by expectation-maximisation on counts held out of the
-others: documents are packed into blocks, the training documents of every tenth block are the held-out part, and what
-the other blocks count is the retained part. Scores use the counts of all training documents.
+others: one training document in ten, by the crc32 of its id, is the deleted part, and what the other training documents
+count is the retained part. Scores use the counts of all training documents. Neither hangs on how the rows are dealt.
 
 How counts meet texts: a block sends each distinct word and word pair once, as sorted 64-bit hashes cut at fixed bounds
 into buckets. A bucket's task adds up what all blocks sent and answers each block with the totals in the order of its
@@ -12,7 +12,7 @@ own list. So a frequent word costs one entry for each block, never a row for eac
 slice of the hash space, and no count passes through the driver but N, V and the histogram of the held-out part.
 
 Null texts count as empty: one end token. Repeated rows are documents of their own. Without training documents every
-count is 0 and both scores come from the uniform part; without a held-out block the weights stay equal.
+count is 0 and both scores come from the uniform part; without a deleted document the weights stay equal.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pageloom.storage import durable
 FOLDS, HELD_OUT = 10, 0
 BLOCK_BYTES = 6 << 20
 LEAST_BLOCKS = 64
-#: Blocks in this share (one in ``DELETED``) give the held-out counts of the mixture weights.
+#: Training documents in this share (one in ``DELETED``) give the held-out counts of the mixture weights.
 DELETED = 10
 KEYS_A_BUCKET = 600_000
 CONTEXT_BUCKETS = 24
@@ -56,11 +56,22 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, len(raw) // size).T).view(kind).ravel()
 
 
+TRAINS, GIVES_WEIGHTS = 1, 2
+
+
+def part_of(key: int | None) -> int:
+    """What a document is for: 0 held out by contract, ``TRAINS``, or ``TRAINS | GIVES_WEIGHTS`` for the deleted part."""
+    place = fold(key, FOLDS * DELETED)
+    if place % FOLDS == HELD_OUT:
+        return 0
+    return TRAINS | GIVES_WEIGHTS if place // FOLDS == 0 else TRAINS
+
+
 def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """``block, deleted, n_keys, keys, null_keys, train, lengths, words, stream``: documents as numbers of distinct words."""
+    """``block, n_keys, keys, null_keys, parts, lengths, words, stream``: documents as numbers of distinct words."""
     kinds = pa.schema(
-        [("block", pa.int64()), ("deleted", pa.bool_()), ("n_keys", pa.int64())]
-        + [(n, pa.binary()) for n in ("keys", "null_keys", "train", "lengths", "words", "stream")]
+        [("block", pa.int64()), ("n_keys", pa.int64())]
+        + [(n, pa.binary()) for n in ("keys", "null_keys", "parts", "lengths", "words", "stream")]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,14 +80,12 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             split = [words_of(t) if t else [] for t in batch.column("text").to_pylist()]
             keys = batch.column("doc_id").to_pylist()
             distinct, stream = np.unique(hashes([w for words in split for w in words]), return_inverse=True)
-            name = int(mix(np.array([number + 1], np.uint64))[0])
             row = {
                 "block": number,
-                "deleted": name % DELETED == 0,
                 "n_keys": len(distinct) + len(stream),
                 "keys": np.array([k or 0 for k in keys], "<i8").tobytes(),
                 "null_keys": bytes(k is None for k in keys),
-                "train": bytes(fold(k, FOLDS) != HELD_OUT for k in keys),
+                "parts": bytes(map(part_of, keys)),
                 "lengths": packed(np.array([len(w) for w in split], np.uint32)),
                 "words": packed(np.diff(distinct, prepend=np.uint64(0))),
                 "stream": packed(stream.astype(np.uint32)),
@@ -84,7 +93,7 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             number += 1
             yield pa.RecordBatch.from_pylist([row], kinds)
 
-    schema = "block bigint, deleted boolean, n_keys bigint, keys binary, null_keys binary, train binary, lengths binary, words binary, stream binary"
+    schema = "block bigint, n_keys bigint, keys binary, null_keys binary, parts binary, lengths binary, words binary, stream binary"
     return id_and_text(docs).mapInArrow(run, schema)
 
 
@@ -94,6 +103,7 @@ class Block:
 
     keys: list[int | None]
     train: np.ndarray
+    deleted: np.ndarray
     document: np.ndarray
     words: np.ndarray
     word: np.ndarray
@@ -103,10 +113,18 @@ class Block:
     pair: np.ndarray
 
     @classmethod
-    def of(cls, row: dict) -> Block:
+    def of(cls, row: dict, only: int = 0) -> Block:
+        """The block of a row; with ``only`` that of its documents in this part, and of their words alone."""
         lengths = unpacked(row["lengths"], np.uint32).astype(np.int64)
         known = np.cumsum(unpacked(row["words"], np.uint64), dtype=np.uint64)
         stream = unpacked(row["stream"], np.uint32).astype(np.int64)
+        ids, nulls, parts = np.frombuffer(row["keys"], "<i8"), np.frombuffer(row["null_keys"], np.uint8), np.frombuffer(row["parts"], np.uint8)
+        if only:
+            chosen = (parts & only) > 0
+            stream = stream[np.repeat(chosen, lengths)]
+            lengths, ids, nulls, parts = lengths[chosen], ids[chosen], nulls[chosen], parts[chosen]
+            used, stream = np.unique(stream, return_inverse=True)
+            known = known[used]
         n_words = len(known)
         words = np.concatenate([known, np.array([_END], np.uint64)])
         document = np.repeat(np.arange(len(lengths)), lengths + 1)
@@ -127,17 +145,16 @@ class Block:
         by_word, by_pair = np.argsort(words, kind="stable"), np.argsort(pairs, kind="stable")
         place_word, place_pair = np.empty_like(by_word), np.empty_like(by_pair)
         place_word[by_word], place_pair[by_pair] = np.arange(len(words)), np.arange(len(pairs))
-        ids = np.frombuffer(row["keys"], "<i8").tolist()
-        keys = [None if null else k for k, null in zip(ids, row["null_keys"], strict=True)]
-        train = np.frombuffer(row["train"], np.uint8).astype(bool)
-        return cls(keys, train, document, words[by_word], place_word[word], place_word[before], starts, pairs[by_pair], place_pair[pair])
-
-    def lists(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Sorted hashes with their counts in the block's training documents, for words and for pairs."""
-        counted = self.train[self.document]
+        keys = [None if null else k for k, null in zip(ids.tolist(), nulls.tolist(), strict=True)]
+        train, deleted = (parts & TRAINS) > 0, (parts & GIVES_WEIGHTS) > 0
+        return cls(keys, train, deleted, document, words[by_word], place_word[word], place_word[before], starts, pairs[by_pair], place_pair[pair])
+
+    def lists(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Sorted hashes with their counts in the block's training documents and in the deleted ones, for words and for pairs."""
+        counted, gone = self.train[self.document], self.deleted[self.document]
         return [
-            (self.words, np.bincount(self.word[counted], minlength=len(self.words))),
-            (self.pairs, np.bincount(self.pair[counted], minlength=len(self.pairs))),
+            (hashes, np.bincount(place[counted], minlength=len(hashes)), np.bincount(place[gone], minlength=len(hashes)))
+            for hashes, place in ((self.words, self.word), (self.pairs, self.pair))
         ]
 
 
@@ -147,9 +164,9 @@ def _bounds(buckets: int) -> np.ndarray:
 
 
 def requests(table: DataFrame, buckets: int) -> DataFrame:
-    """``block, deleted, length, bucket, hashes, counts``: each block's lists, cut into buckets of the hash space."""
-    names = ["block", "deleted", "length", "bucket", "hashes", "counts"]
-    kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    """``block, length, bucket, hashes, counts, gone``: each block's lists, cut into buckets of the hash space."""
+    names = ["block", "length", "bucket", "hashes", "counts", "gone"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds(buckets)
@@ -157,46 +174,43 @@ def requests(table: DataFrame, buckets: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 rows = []
-                for length, (hashes, counts) in enumerate(Block.of(row).lists(), 1):
+                for length, (hashes, counts, gone) in enumerate(Block.of(row).lists(), 1):
                     cuts = [0, *np.searchsorted(hashes, bounds).tolist(), len(hashes)]
                     for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                         if b > a:
                             steps = np.diff(hashes[a:b], prepend=np.uint64(0))
-                            rows.append((row["block"], row["deleted"], length, bucket, packed(steps), packed(counts[a:b].astype(np.uint32))))
+                            own = (packed(x[a:b].astype(np.uint32)) for x in (counts, gone))
+                            rows.append((row["block"], length, bucket, packed(steps), *own))
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return table.mapInArrow(run, "block bigint, deleted boolean, length int, bucket int, hashes binary, counts binary")
+    return table.mapInArrow(run, "block bigint, length int, bucket int, hashes binary, counts binary, gone binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """``block, deleted, length, bucket, totals, retained, n, distinct, n_retained``.
+    """``block, length, bucket, totals, retained, n, distinct, n_retained``.
 
-    ``totals`` and ``retained`` (for held-out blocks only) follow the asking list. The last three are the bucket's own
-    facts, on the first of its rows only.
+    ``totals`` follow the asking list, ``retained`` those of its entries that occur in the block's deleted documents.
+    The last three are the bucket's own facts, on the first of its rows only.
     """
-    schema = (
-        "block bigint, deleted boolean, length int, bucket int, totals binary, retained binary, n bigint, distinct bigint, n_retained bigint"
-    )
-    names = ["block", "deleted", "length", "bucket", "totals", "retained", "n", "distinct", "n_retained"]
-    kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    schema = "block bigint, length int, bucket int, totals binary, retained binary, n bigint, distinct bigint, n_retained bigint"
+    names = ["block", "length", "bucket", "totals", "retained", "n", "distinct", "n_retained"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def count(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         parts = [np.cumsum(unpacked(r["hashes"], np.uint64), dtype=np.uint64) for r in rows]
         own = np.concatenate([unpacked(r["counts"], np.uint32) for r in rows]).astype(np.float64)
-        sizes = [len(p) for p in parts]
-        held = np.repeat([r["deleted"] for r in rows], sizes)
+        gone = np.concatenate([unpacked(r["gone"], np.uint32) for r in rows])
         hashes, where = np.unique(np.concatenate(parts), return_inverse=True)
         totals = np.bincount(where, own, len(hashes)).astype(np.int64)
-        retained = np.bincount(where, np.where(held, 0, own), len(hashes)).astype(np.int64)
+        retained = totals - np.bincount(where, gone, len(hashes)).astype(np.int64)
         out, at = [], 0
-        for i, (r, size) in enumerate(zip(rows, sizes, strict=True)):
-            mine = where[at : at + size]
+        for i, (r, size) in enumerate(zip(rows, map(len, parts), strict=True)):
+            mine, asks = where[at : at + size], gone[at : at + size] > 0
             at += size
             facts = (int(totals.sum()), int((totals > 0).sum()), int(retained.sum())) if i == 0 else (0, 0, 0)
-            kept = packed(retained[mine]) if r["deleted"] else None
-            out.append((r["block"], r["deleted"], r["length"], r["bucket"], packed(totals[mine]), kept, *facts))
+            out.append((r["block"], r["length"], r["bucket"], packed(totals[mine]), packed(retained[mine[asks]]), *facts))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     return asked.groupBy("length", "bucket").applyInArrow(count, schema)
@@ -229,19 +243,18 @@ def held_out_histogram(table: DataFrame, replies: DataFrame, n_retained: int) ->
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[np.ndarray] = []
         if left.num_rows and right.num_rows:
-            block = Block.of(left.to_pylist()[0])
-            words, pairs = _joined(right, "retained")
-            _, bucket, two, one = _parts(block, words, pairs, n_retained)
-            mine = block.train[block.document]
-            bucket, two, one = bucket[mine], two[mine], one[mine]
-            code = (bucket << 40) + ((step(two) + 1) << 20) + step(one) + 1
-            codes, where = np.unique(code, return_inverse=True)
-            found = [codes, np.bincount(where, minlength=len(codes)), np.bincount(where, two), np.bincount(where, one)]
+            # The entries that occur in deleted documents, in the order of their hashes, are what was answered.
+            block = Block.of(left.to_pylist()[0], GIVES_WEIGHTS)
+            if len(block.keys):
+                _, bucket, two, one = _parts(block, *_joined(right, "retained"), n_retained)
+                code = (bucket << 40) + ((step(two) + 1) << 20) + step(one) + 1
+                codes, where = np.unique(code, return_inverse=True)
+                found = [codes, np.bincount(where, minlength=len(codes)), np.bincount(where, two), np.bincount(where, one)]
         codes, n, s2, s1 = found or [np.empty(0, np.int64)] * 4
         columns = [codes >> 40, ((codes >> 20) & 0xFFFFF) - 1, (codes & 0xFFFFF) - 1, n.astype(np.int64), s2.astype(float), s1.astype(float)]
         return pa.table([pa.array(c) for c in columns], names=["bucket", "two", "one", "n", "sum_two", "sum_one"])
 
-    grouped = table.where("deleted").groupBy("block").cogroup(replies.where("deleted").groupBy("block")).applyInArrow(count, schema)
+    grouped = table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(count, schema)
     sums = [F.sum(c).alias(c) for c in ("n", "sum_two", "sum_one")]
     return grouped.groupBy("bucket", "two", "one").agg(*sums)
 

@@ -375,6 +375,17 @@ def test_language_model_of_odd_rows(edge, nothing):
     assert interpolated_lm.score(nothing).isEmpty()
 
 
+def test_scores_do_not_hang_on_the_layout(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = []
+    for parts, block_bytes in ((1, 1 << 30), (7, 50_000), (64, 1 << 20)):
+        rows = interpolated_lm.score(docs.repartition(parts), block_bytes).collect()
+        found.append({r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in rows})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        assert all(np.allclose(other[k], own, rtol=1e-10, atol=0) for k, own in found[0].items())
+
+
 # --- 6 -------------------------------------------------------------------------------
 
 
