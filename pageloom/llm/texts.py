@@ -25,6 +25,8 @@ _SEPARATORS = str.maketrans(dict.fromkeys("\t\n\x0b\x0c\r", " "))
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
 
+#: Batches go to a worker whole and are held twice on the way; one need not be much larger than a slice.
+BATCH_SETTING, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
 #: How workers' C heaps behave: arrays from 4 MB on go back to the system when they are freed, and two threads share a heap.
 HEAP = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
@@ -34,6 +36,8 @@ def importable(spark: SparkSession) -> None:
     root, known = str(Path(__file__).parents[2]), spark.sparkContext.environment
     for name, value in HEAP.items():
         known.setdefault(name, value)
+    if spark.conf.get(BATCH_SETTING, DEFAULT_BATCH) == DEFAULT_BATCH:  # a size of the caller's own stays
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         known["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
@@ -91,6 +95,7 @@ def map_texts(
             out = work(part)
             if out is not None and out.num_rows:
                 yield out
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
@@ -105,6 +110,7 @@ def keep_rows(
             kept = part.filter(pa.array(decide(part.column(text).to_pylist()), pa.bool_()))
             if kept.num_rows:
                 yield kept
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
