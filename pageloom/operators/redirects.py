@@ -34,23 +34,21 @@ def redirect_ends(steps: DataFrame) -> DataFrame:
     ``end`` is the first title of the chain that is no redirect, whether a page bears
     it or not; it is null for titles on a circle or on the way into one, and so is
     ``hops``. Each round doubles the steps taken, so a chain of length l takes log l
-    rounds, one join each. Steps that lead into a circle never end; they are given up
-    once more steps were taken than titles are on the way.
+    rounds, one join each. A title ends with the one it points to; once a round ends
+    no title, all that are left point at each other and lie on or before circles.
     """
     jumps = durable(steps.select("title_norm", F.col("target").alias("at"), F.lit(1).cast("bigint").alias("hops"), F.lit(True).alias("going")), "redirects")
-    taken = 1
-    while True:
-        going = jumps.where("going")
-        left = going.count()
-        # A chain without repeats has at most as many steps as titles are on the way.
-        if not left or taken > 2 * left:
-            break
-        onward = jumps.select(F.col("title_norm").alias("via"), F.col("at").alias("onward"), F.col("hops").alias("more"))
-        moved = going.join(broadcast_if_small(onward), F.col("at") == F.col("via"), "left").select(
-            "title_norm", F.coalesce("onward", "at").alias("at"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("via").isNotNull().alias("going")
+    before = None
+    while (left := jumps.where("going").count()) and left != before:
+        onward = jumps.select(F.col("title_norm").alias("via"), F.col("at").alias("onward"), F.col("hops").alias("more"), F.col("going").alias("goes_on"))
+        moved = jumps.where("going").join(broadcast_if_small(onward), F.col("at") == F.col("via"), "left").select(
+            "title_norm",
+            F.coalesce("onward", "at").alias("at"),
+            (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+            F.coalesce("goes_on", F.lit(False)).alias("going"),
         )
         jumps = durable(moved.unionByName(jumps.where("not going")), "redirects")
-        taken *= 2
+        before = left
     ended = ~F.col("going")
     return jumps.select("title_norm", F.when(ended, F.col("at")).alias("end"), F.when(ended, F.col("hops")).alias("hops"))
 
