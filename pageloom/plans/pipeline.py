@@ -9,21 +9,30 @@ from pyspark.sql import functions as F
 
 from pageloom.functions import tokens as tk
 from pageloom.operators import articles, features, graph, models, pagerank, stats
-from pageloom.sinks.tables import under, write_csv, write_model, write_tables
-from pageloom.sources.mediawiki import parse_pages, read_pages, rejected_pages
+from pageloom.sinks.published import Version, fingerprint
+from pageloom.sinks.tables import move_folder, under, write_csv, write_model, write_tables
+from pageloom.sources.mediawiki import parse_pages, read_pages, rejected_pages, write_ingested
 from pageloom.storage import durable
 
 
 def ingest(spark: SparkSession, path: str, out: str | None = None, bad_records: str = "keep") -> DataFrame:
     """Parse a dump once and return the parsed pages as a column-pruned table scan.
 
-    With ``out`` the records that are no well-formed page are written there as ``rejected_pages``.
+    With ``out`` pages and rejected records come from one pass over the dump, written
+    into folders by their state, which then become the tables ``pages`` and
+    ``rejected_pages`` (of which ``record`` is the column that is filled).
     """
-    pages = parse_pages(read_pages(spark, path, bad_records))
     if out is None:
-        return durable(pages, "pages")
-    write_tables({"pages": pages, "rejected_pages": rejected_pages(spark, path)}, out)
-    return spark.read.schema(pages.schema).parquet(under(out, "pages"))
+        return durable(parse_pages(read_pages(spark, path, bad_records)), "pages")
+    if bad_records == "fail":
+        pages = parse_pages(read_pages(spark, path, bad_records))
+        write_tables({"pages": pages, "rejected_pages": rejected_pages(spark, path).limit(0)}, out)
+        return spark.read.schema(pages.schema).parquet(under(out, "pages"))
+    schema = write_ingested(spark, path, lambda raw: parse_pages(raw, carry=["record"]), under(out, "ingested"))
+    for state, name, columns in (("page", "pages", schema), ("rejected", "rejected_pages", "record string")):
+        if not move_folder(spark, under(out, f"ingested/state={state}"), under(out, name)):
+            spark.createDataFrame([], columns).write.parquet(under(out, name))
+    return spark.read.schema(schema).parquet(under(out, "pages"))
 
 
 def corpus_stats(pages: DataFrame, out: str | None = None, top_k: int = 25) -> dict[str, DataFrame]:
@@ -142,3 +151,37 @@ def run_pipeline(
         "nlp": nlp(pages, k, out, max_iter, separator),
         "graph": page_graph(pages, out, rank_iter, top_n),
     }
+
+
+def publish_pipeline(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    k: int = 10,
+    top_k: int = 25,
+    max_iter: int = models.MAX_ITER,
+    rank_iter: int = pagerank.MAX_ITER,
+    top_n: int = 10,
+    separator: str = tk.LETTERS_ONLY,
+    keep: int = 2,
+) -> str:
+    """The full job as a version of its own, shown to readers by one rename at the end; the version's folder.
+
+    The version is named by the input files and the parameters. A run that died is
+    taken up again by calling this anew: stages that it finished are not repeated.
+    Ranks and reports are written too, so that a reader needs nothing but the folder.
+    """
+    parameters = {"k": k, "top_k": top_k, "max_iter": max_iter, "rank_iter": rank_iter, "top_n": top_n, "separator": separator}
+    version = Version(spark, out, fingerprint(spark, path, parameters))
+    version.run("pages", lambda folder: ingest(spark, path, folder))
+    pages = spark.read.parquet(under(version.folder, "pages")).drop("record")
+
+    def graph_tables(folder: str) -> None:
+        found = page_graph(pages, folder, rank_iter, top_n)
+        write_tables({f"graph/{name}": found[name] for name in ("counts", "pagerank", "top_pages", "top_categories")}, folder)
+
+    version.run("stats", lambda folder: corpus_stats(pages, folder, top_k))
+    version.run("nlp", lambda folder: nlp(pages, k, folder, max_iter, separator))
+    version.run("graph", graph_tables)
+    version.publish(keep)
+    return version.folder

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +84,20 @@ def rejected_pages(spark: SparkSession, path: str) -> DataFrame:
     return _records(spark, path).where(_is_bad()).select("record")
 
 
+def write_ingested(spark: SparkSession, path: str, parse: Callable[[DataFrame], DataFrame], target: str) -> T.StructType:
+    """Parsed pages and rejected records of a dump from one pass over it, in the folders ``state=page`` and ``state=rejected``.
+
+    ``parse`` must carry the column ``record``: the text of a rejected record, null
+    for a page. Returns the schema of the pages. A folder without rows isn't made.
+    """
+    found = _records(spark, path).withColumn("record", F.when(_is_bad(), F.col("record")))
+    fields = [F.when(F.col("record").isNull(), F.col(f"page.{name}")).alias(name) for name in found.schema["page"].dataType.names if name != BAD_RECORD]
+    pages = parse(found.select(*fields, "record"))
+    state = F.when(F.col("record").isNull(), "page").otherwise("rejected").alias("state")
+    pages.select(*pages.drop("record").columns, "record", state).write.mode("overwrite").partitionBy("state").parquet(target)
+    return pages.drop("record").schema
+
+
 def leaf_types(schema: T.StructType) -> dict[str, T.DataType]:
     """Type of every dotted path of a schema; the elements of an array count as its own level."""
     known: dict[str, T.DataType] = {}
@@ -131,7 +145,7 @@ def one_revision(raw: DataFrame, revisions: str = "latest") -> DataFrame:
     return raw.withColumn("revision", F.array_max(ranked)["revision"])
 
 
-def project_pages(raw: DataFrame, revisions: str = "latest") -> DataFrame:
+def project_pages(raw: DataFrame, revisions: str = "latest", carry: Sequence[str] = ()) -> DataFrame:
     """The seven typed page columns; a column the frame lacks is null."""
     flat = one_revision(raw, revisions)
     found = {name: first_path(flat, paths) for name, paths in COLUMN_PATHS.items()}
@@ -151,7 +165,7 @@ def project_pages(raw: DataFrame, revisions: str = "latest") -> DataFrame:
         cast = column.cast("string") if COLUMN_TYPES[name] == "string" else column.try_cast(COLUMN_TYPES[name])
         return (F.trim(cast) if name == "title" else cast).alias(name)
 
-    return flat.select(*(typed(name) for name in COLUMN_PATHS))
+    return flat.select(*(typed(name) for name in COLUMN_PATHS), *carry)
 
 
 def with_revision_time(pages: DataFrame) -> DataFrame:
@@ -159,10 +173,10 @@ def with_revision_time(pages: DataFrame) -> DataFrame:
     return pages.withColumn("revision_time", F.col("timestamp").try_cast("timestamp"))
 
 
-def parse_pages(raw: DataFrame, compat: bool = False, revisions: str = "latest") -> DataFrame:
-    """Flat pages with their extracted arrays and cleaned text, map-only."""
+def parse_pages(raw: DataFrame, compat: bool = False, revisions: str = "latest", carry: Sequence[str] = ()) -> DataFrame:
+    """Flat pages with their extracted arrays and cleaned text, map-only; columns named in ``carry`` stay as they are."""
     markup = F.col("text_raw")
-    return project_pages(raw, revisions).select(
+    return project_pages(raw, revisions, carry).select(
         "*",
         wikitext.categories(markup).alias("categories"),
         wikitext.templates(markup).alias("templates"),

@@ -26,7 +26,8 @@ def test_full_pipeline(spark, dump, pages, tmp_path, monkeypatch):
     read = lambda name: spark.read.parquet(under(out, name))
 
     written = read("pages")
-    assert written.columns == pages.columns
+    assert written.columns == [*pages.columns, "record"] and written.where("record IS NOT NULL").isEmpty()
+    written = written.drop("record")
     assert written.drop("timestamp").exceptAll(pages.drop("timestamp")).isEmpty()
     assert written.count() == pages.count()
 
@@ -55,6 +56,68 @@ def test_full_pipeline(spark, dump, pages, tmp_path, monkeypatch):
     assert result["graph"]["top_pages"].count() == 10
 
 
+def test_one_pass_gives_pages_and_rejects(spark, dump, pages, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    good = "<page><title>T{0}</title><ns>0</ns><id>{0}</id><revision><id>1</id><text>x [[A]]</text></revision></page>"
+    (folder / "a.xml").write_text("<mediawiki>" + "".join(good.format(i) for i in range(5)) + "<page><title>bad & broken</title><id>7</id></page><page><ns>zero</ns></page></mediawiki>")
+    out = str(tmp_path / "out")
+    found = pipeline.ingest(spark, str(folder), out)
+    assert sorted(r.id for r in found.select("id").collect()) == list(range(5)) and found.columns == pages.columns
+    assert sorted(r.record for r in spark.read.parquet(under(out, "rejected_pages")).select("record").collect()) == sorted(
+        r.record for r in pipeline.rejected_pages(spark, str(folder)).collect()
+    )
+    pipeline.ingest(spark, dump, out)  # no reject: an empty table takes the place of the old one
+    assert spark.read.parquet(under(out, "rejected_pages")).count() == 0
+    assert spark.read.parquet(under(out, "pages")).count() == pages.count()
+
+
+def test_a_failed_run_leaves_the_old_set_and_is_taken_up_again(spark, dump, pages, tmp_path, monkeypatch):
+    from pageloom.sinks.published import published_folder, published_versions, read_published
+
+    out, ran = str(tmp_path / "published"), []
+    works = {}
+
+    def small(name, fails=False):
+        def work(*args):
+            ran.append(name)
+            folder = args[2] if name in ("nlp",) else args[1]
+            if fails:
+                raise RuntimeError("lost")
+            spark.range(3).write.mode("overwrite").parquet(under(folder, name))
+            return {t: spark.range(2) for t in ("counts", "pagerank", "top_pages", "top_categories")}
+
+        works[name] = work
+        return work
+
+    for name in ("corpus_stats", "nlp", "page_graph"):
+        monkeypatch.setattr(pipeline, name, small(name))
+    with pytest.raises(FileNotFoundError):
+        published_folder(spark, out)
+    first = pipeline.publish_pipeline(spark, dump, out, k=2)
+    assert published_folder(spark, out) == first and ran == ["corpus_stats", "nlp", "page_graph"]
+    assert read_published(spark, out, "pages").count() == pages.count()
+    assert pipeline.publish_pipeline(spark, dump, out, k=2) == first and len(ran) == 3  # nothing to do again
+
+    ran.clear()
+    monkeypatch.setattr(pipeline, "nlp", small("nlp", fails=True))
+    with pytest.raises(RuntimeError):
+        pipeline.publish_pipeline(spark, dump, out, k=3)
+    assert published_folder(spark, out) == first and read_published(spark, out, "nlp").count() == 3
+    monkeypatch.setattr(pipeline, "nlp", small("nlp"))
+    ingested = []
+    monkeypatch.setattr(pipeline, "ingest", lambda *args: ingested.append(args))
+    second = pipeline.publish_pipeline(spark, dump, out, k=3)
+    assert ran == ["corpus_stats", "nlp", "nlp", "page_graph"] and not ingested
+    assert second != first and published_versions(spark, out) == [first.split("/")[-1], second.split("/")[-1]]
+    monkeypatch.undo()
+    for name in ("corpus_stats", "nlp", "page_graph"):
+        monkeypatch.setattr(pipeline, name, works[name])
+    third = pipeline.publish_pipeline(spark, dump, out, k=4)
+    assert published_folder(spark, out) == third and len(published_versions(spark, out)) == 2
+    assert not (tmp_path / "published/versions" / first.split("/")[-1]).exists()
+
+
 def test_single_file_csv(spark, pages, tmp_path):
     out = tmp_path / "out"
     pipeline.page_graph(pages, str(out), max_iter=1, single_file=True)
