@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pageloom.llm import benchmark_leaks, bin_completion, cross_parsing, near_copies, subword_classifier
 from pageloom.llm.queries import table, vocabulary
-from pageloom.llm.texts import importable, keep_rows
+from pageloom.llm.texts import fresh_heaps, importable, keep_rows
 from pageloom.storage import durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,6 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Where nothing is learned, because no row has a language, every text with a letter stays.
     """
     importable(spark)
+    fresh_heaps(spark)
     model = cross_parsing.train(docs)
     if not model.languages:
         return keep_rows(docs, lambda texts: np.array([cross_parsing.has_letter(text) for text in texts], bool))
@@ -37,6 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least 0.3 for the quality label; rows held out of the training keep out of it here too."""
+    fresh_heaps(spark)
     model = subword_classifier.train(docs, table(spark, sf_dir, "labels"))
     shared = spark.sparkContext.broadcast((model, model.margins()))
 
@@ -50,17 +52,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, 0.8): the least id, of its texts the one with the least hash."""
     importable(spark)
+    fresh_heaps(spark)
     return near_copies.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
+    fresh_heaps(spark)
     return benchmark_leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids: one row for each piece of a document with its place."""
     importable(spark)
+    fresh_heaps(spark)
     parts = bin_completion.pieces(docs, vocabulary("word_bpe_49k.json"), end_id=1)
     return bin_completion.packed(durable(parts, "pieces"))
 

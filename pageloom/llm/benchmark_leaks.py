@@ -1,11 +1,11 @@
 """Benchmark decontamination by a BM25 index of the test items and block-max WAND.
 
 An item leaks if the document, taken whole, holds 80 % of its shingles of five terms, or 80 % of its question's and of
-its answer's, wherever they stand. A shallow pass over a slice of documents counts the items' shingles in each by their
-hashes; documents in which no item reaches that share are done. Of the others, the terms inside the items' shingles are
-a query against the inverted index, and block-max WAND returns every item at or above a threshold. Impacts are divided
-by the score that an item has with itself, so one threshold serves all items; it is lowered to the least score that a
-leak of any item can have. What is returned is verified on the shingles themselves, over the whole document.
+its answer's, wherever they stand. Every document asks the inverted index with its passages: the terms of all stretches
+that some item has a shingle of. A document without any such stretch has nothing to ask, since terms outside of shingles
+count for no leak. Block-max WAND returns every item at or above a threshold. Impacts are divided by the score that an
+item has with itself, so one threshold serves all items; it is lowered to the least score that a leak of any item can
+have. What is returned, and nothing else, is verified on the shingles themselves, over the whole document.
 
 Terms are lower-cased runs of letters and digits. The question is an item's first line, the answer is the rest. A part
 of fewer than five terms is one shingle; an item without terms matches nothing. Items are indexed in shards of bounded
@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 from operator import itemgetter
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.texts import id_and_text, keep_rows, kept, map_texts, mix
+from pageloom.storage import durable
 
 TERM = re.compile(r"[^\W_]+")
 K1, B = 1.2, 0.75
@@ -37,8 +39,6 @@ SHINGLE = 5
 BLOCK = 16
 SHARD_CHARS = 20_000_000
 REMEMBERED = 150_000
-#: Pairs of a document's shingle and an item's part that the shallow pass counts at a time.
-COUNTED = 2_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,31 +146,16 @@ class Index:
         starts = np.concatenate([[0], np.cumsum(df)])
         return cls(ids, numbers, parts, starts, item[order], impact[order])
 
-    def grams(self) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-        """For every size of shingle the sorted hashes and where their parts begin; the parts; and shingles a part.
-
-        Parts 3 i, 3 i + 1 and 3 i + 2 are item i, its question and its answer.
-        """
+    def grams(self) -> dict[int, np.ndarray]:
+        """For every size of shingle the sorted hashes of all items' shingles and of their questions' and answers'."""
         if getattr(self, "_grams", None) is None:
-            by_size: dict[int, list[tuple[np.ndarray, int]]] = {}
-            counts = np.zeros(3 * len(self.parts), np.int64)
-            for i, (q, a) in enumerate(self.parts):
-                for part, terms in enumerate((q + a, q, a), 3 * i):
+            by_size: dict[int, list[np.ndarray]] = {}
+            for q, a in self.parts:
+                for terms in (q + a, q, a):
                     if terms:
                         size = min(SHINGLE, len(terms))
-                        own = np.unique(gram_hashes(np.array(terms, np.int64), size))
-                        counts[part] = len(own)
-                        by_size.setdefault(size, []).append((own, part))
-            lists, owners, at = {}, [], 0
-            for size, found in by_size.items():
-                hashes = np.concatenate([h for h, _ in found])
-                part = np.repeat([p for _, p in found], [len(h) for h, _ in found])
-                order = np.argsort(hashes, kind="stable")
-                names, first = np.unique(hashes[order], return_index=True)
-                lists[size] = names, np.append(first, len(hashes)) + at
-                owners.append(part[order])
-                at += len(hashes)
-            self._grams = lists, np.concatenate(owners).astype(np.int32) if owners else np.empty(0, np.int32), counts
+                        by_size.setdefault(size, []).append(gram_hashes(np.array(terms, np.int64), size))
+            self._grams = {size: np.unique(np.concatenate(found)) for size, found in by_size.items()}
         return self._grams
 
     def least(self, overlap: float = OVERLAP) -> float:
@@ -273,12 +258,11 @@ def wand(index: Index, query: list[int], threshold: float = RETRIEVE) -> list[tu
 _item = itemgetter(0)
 
 
-def reachable(index: Index, terms: np.ndarray, stops: np.ndarray, overlap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts that may hold an item, and the places and sizes of the items' shingles. ``stops`` is where each text ends."""
-    lists, parts, counts = index.grams()
+def stretches(index: Index, terms: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and sizes of all shingles that some item has, in order. ``stops`` is where each text ends."""
     text = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
-    places, sizes, rows = [], [], []
-    for size, (names, first) in lists.items():
+    places, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for size, names in index.grams().items():
         hashes = gram_hashes(terms, size)
         if not len(hashes):
             continue
@@ -286,39 +270,12 @@ def reachable(index: Index, terms: np.ndarray, stops: np.ndarray, overlap: float
         for i in range(size):
             inside &= terms[i : i + len(hashes)] > 0
         place = np.flatnonzero(inside)
-        row = np.searchsorted(names, hashes[place]).clip(max=len(names) - 1)
-        hit = names[row] == hashes[place]
-        place, row = place[hit], row[hit]
+        place = place[names[np.searchsorted(names, hashes[place]).clip(max=len(names) - 1)] == hashes[place]]
         places.append(place)
         sizes.append(np.full(len(place), size))
-        # Each shingle of a text once, with where its parts begin and end.
-        _, single = np.unique(text[place] * np.int64(len(names)) + row, return_index=True)
-        rows.append(np.stack([text[place[single]], first[row[single]], first[row[single] + 1]]))
-    if not any(map(len, places)):
-        return (np.empty(0, np.int64),) * 3
-    every = np.concatenate(rows, 1)
-    owner, begin, end = every[:, np.argsort(every[0], kind="stable")]
-    done = np.concatenate([[0], np.cumsum(end - begin)])
-    found, at = [], 0
-    while at < len(owner):
-        upto = max(at + 1, int(np.searchsorted(done, done[at] + COUNTED, side="right")) - 1)
-        # Whole texts at a time.
-        if upto < len(owner):
-            start = int(np.searchsorted(owner, owner[upto]))
-            upto = start if start > at else int(np.searchsorted(owner, owner[at], side="right"))
-        n = (end - begin)[at:upto]
-        pick = np.repeat(begin[at:upto] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        key, hits = np.unique(np.repeat(owner[at:upto], n) * np.int64(len(counts)) + parts[pick], return_counts=True)
-        key = key[hits + 1e-9 >= overlap * counts[key % len(counts)]]
-        pair, part = key // 3, key % 3
-        whole = pair[part == 0]
-        pairs = np.unique(pair)
-        item = pairs % len(index.parts)
-        question = np.isin(pairs, pair[part == 1]) | (counts[3 * item + 1] == 0)
-        answer = np.isin(pairs, pair[part == 2]) | (counts[3 * item + 2] == 0)
-        found.append(np.concatenate([whole, pairs[question & answer]]) // len(index.parts))
-        at = upto
-    return np.unique(np.concatenate(found)), np.concatenate(places), np.concatenate(sizes)
+    at, size = np.concatenate(places), np.concatenate(sizes)
+    order = np.argsort(at, kind="stable")
+    return at[order], size[order]
 
 
 def leaks(index: Index, texts: list[str | None], threshold: float = RETRIEVE, overlap: float = OVERLAP) -> list[dict[int, tuple]]:
@@ -327,13 +284,10 @@ def leaks(index: Index, texts: list[str | None], threshold: float = RETRIEVE, ov
     if not index.item_ids:
         return out
     terms, stops = index.words().terms(texts)
-    may, places, sizes = reachable(index, terms, stops, overlap)
-    if not len(may):
-        return out
-    order = np.argsort(places, kind="stable")
-    places, sizes = places[order], sizes[order]
+    places, sizes = stretches(index, terms, stops)
     need = max(min(threshold, index.least(overlap)), 1e-8)
-    for text in may.tolist():
+    asking = np.unique(np.searchsorted(stops, places, side="right"))
+    for text in asking.tolist():
         start, stop = int(stops[text - 1]) if text else 0, int(stops[text])
         own, begin = terms[start:stop].tolist(), np.searchsorted(places, [start, stop])
         grams = {tuple(own[p - start : p - start + n]) for p, n in zip(places[slice(*begin)].tolist(), sizes[slice(*begin)].tolist(), strict=True)}
@@ -346,22 +300,22 @@ def leaks(index: Index, texts: list[str | None], threshold: float = RETRIEVE, ov
     return out
 
 
-def shards(items: DataFrame, shard_chars: int = SHARD_CHARS) -> list[Index]:
-    """Indexes over all items, each over about ``shard_chars`` characters at most."""
+def shards(items: DataFrame, shard_chars: int = SHARD_CHARS) -> Iterator[tuple[Index, bool]]:
+    """Indexes over all items, each over about ``shard_chars`` characters at most, one at a time; and whether it is the only one."""
     named = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where(
         "text is not null"
     )
     total = named.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     count = max(1, -(-total // shard_chars))
-    found = []
     for shard in range(count):
         own = named.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == shard) if count > 1 else named
         rows = own.distinct().collect()
-        found.append(Index.build(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))))
-    return found
+        yield Index.build(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))), count == 1
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overlap: float = OVERLAP, shard_chars: int = SHARD_CHARS
+) -> DataFrame:
     """``doc_id, item_id, score, overlap, question_overlap, answer_overlap`` for every leaked item of every document row.
 
     Null and empty texts leak nothing. The score is the share of the item's own
@@ -369,7 +323,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, o
     """
     schema = "doc_id bigint, item_id bigint, score double, overlap double, question_overlap double, answer_overlap double"
     result = None
-    for index in shards(items):
+    for index, alone in shards(items, shard_chars):
         index.least(overlap)  # once, not in every worker
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -388,14 +342,22 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, o
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         found = map_texts(id_and_text(docs), work, schema)
+        if not alone:  # written before the next shard's index is built, so that one index at a time is held
+            found = durable(found, "leaks")
+            shared.destroy()
         result = found if result is None else result.unionByName(found)
     return result
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overlap: float = OVERLAP) -> DataFrame:
+def without_leaks(
+    docs: DataFrame, items: DataFrame, threshold: float = RETRIEVE, overlap: float = OVERLAP, shard_chars: int = SHARD_CHARS
+) -> DataFrame:
     """Documents that leak no item, with all their columns."""
-    for index in shards(items):
+    for index, alone in shards(items, shard_chars):
         index.least(overlap)
         shared = docs.sparkSession.sparkContext.broadcast(index)
         docs = keep_rows(docs, lambda texts, shared=shared: np.array([not f for f in leaks(shared.value, texts, threshold, overlap)], bool))
+        if not alone:
+            docs = durable(docs, "without_leaks")
+            shared.destroy()
     return docs

@@ -43,6 +43,16 @@ def importable(spark: SparkSession) -> None:
         known["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
 
 
+def fresh_heaps(spark: SparkSession) -> None:
+    """Let the executors collect their garbage and give back what their heaps don't need, between two stages.
+
+    A JVM keeps the heap that its greediest stage asked for, so stages in a row add
+    up with the workers' memory. A few tasks for each core reach every executor.
+    """
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).selectExpr("reflect('java.lang.System', 'gc') AS done").write.format("noop").mode("overwrite").save()
+
+
 def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text", *more: str) -> DataFrame:
     """The two columns every text operator needs, under fixed names; further columns are left behind."""
     return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *more)
