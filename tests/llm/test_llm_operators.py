@@ -744,7 +744,27 @@ def test_leaks_of_odd_rows(spark, edge, nothing):
     assert left.columns == edge.columns and left.count() == 8
     assert benchmark_leaks.find_leaks(edge, nothing.selectExpr("doc_id AS item_id", "text")).isEmpty()
     assert benchmark_leaks.find_leaks(nothing, items).isEmpty()
-    assert len(benchmark_leaks.shards(items, shard_chars=40)) > 1
+    assert len(list(benchmark_leaks.shards(items, shard_chars=40))) > 1
+
+
+def test_the_index_gives_the_leaks(spark, sf_dir, monkeypatch):
+    docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    rows = sorted((r["item_id"], r["text"]) for r in items.collect())
+    index, held = benchmark_leaks.Index.build(rows), [r["text"] for r in docs.select("text").collect()]
+    asked = []
+    original = benchmark_leaks.wand
+    monkeypatch.setattr(benchmark_leaks, "wand", lambda *args: asked.append(1) or original(*args))
+    found = benchmark_leaks.leaks(index, held)
+    terms, stops = index.words().terms(held)
+    with_shingles = len(np.unique(np.searchsorted(stops, benchmark_leaks.stretches(index, terms, stops)[0], side="right")))
+    assert any(found) and len(asked) == with_shingles >= sum(map(bool, found))
+    monkeypatch.setattr(benchmark_leaks, "wand", lambda *args: [])
+    assert not any(benchmark_leaks.leaks(index, held))
+    monkeypatch.undo()
+    one, many = (sorted((r.doc_id, r.item_id) for r in benchmark_leaks.find_leaks(docs, items, shard_chars=n).collect()) for n in (10**9, 2_000))
+    assert one == many
+    left = [sorted(r.doc_id for r in benchmark_leaks.without_leaks(docs, items, shard_chars=n).collect()) for n in (10**9, 2_000)]
+    assert left[0] == left[1]
 
 
 def whole_leaks(texts, items):
