@@ -2,8 +2,10 @@
 
 A document is the average of learned vectors of its features: every word, every run of ``NGRAMS`` bytes inside a
 blank-padded word, and every word pair of one word twice, each hashed to one of ``BUCKETS`` rows (all such pairs to the
-same). ``PADDING`` features without a vector count along, so that a few odd words don't decide a short text. A linear layer and a softmax over the two labels follow. Both
-layers are trained together by stochastic gradient descent in numpy on a bounded, balanced sample of labelled rows.
+same). ``PADDING`` features without a vector count along, so that a few odd words don't decide a short text. A linear
+layer and a softmax over the two labels follow. Both layers are trained together by stochastic gradient descent in numpy
+on a bounded, balanced sample of labelled rows, each read whole. Texts are read in pieces cut between words, so that a
+text of any length takes the memory of a piece; a word longer than a piece counts as several.
 
 With a linear output the difference of the two scores is an average of one number for each bucket, so scoring gathers
 one number for each feature of the whole text.
@@ -11,12 +13,14 @@ one number for each feature of the whole text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pageloom.llm.cross_parsing import crc_fold
 from pageloom.llm.texts import fold, id_and_text, kept, map_texts
@@ -27,9 +31,10 @@ DIMENSIONS = 12
 EPOCHS = 6
 RATE = 0.5
 BATCH = 16
-#: Bounds of the labelled sample: rows of each label, and characters of each row.
+#: Bound of the labelled sample: rows of each label.
 SAMPLE_ROWS = 1_200
-SAMPLE_CHARS = 8_000
+#: Bytes of text whose features are made at a time.
+PIECE = 1 << 18
 THRESHOLD = 0.3
 PADDING = 40
 #: Text to a slice: its feature arrays take some sixty times as much.
@@ -38,11 +43,51 @@ SLICE = 1 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _PRIME = np.uint32(0x01000193)
+_AGAIN = 0x5BD1E995
+_BLANKS = b" \t\n\x0b\x0c\r"
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def pieces(text: bytes, size: int = PIECE) -> list[bytes]:
+    """A text cut behind the last blank of each ``size`` bytes, or after them if there is none."""
+    out, at = [], 0
+    while len(text) - at > size:
+        cut = max(text.rfind(bytes([b]), at, at + size) for b in _BLANKS) + 1
+        cut = cut if cut > at else at + size
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
+def feature_parts(texts: list[str], size: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of features and the texts they belong to, for about ``size`` bytes of text at a time, all of them together once."""
+    held, owners, total = [], [], 0
+    for place, text in enumerate(texts):
+        last = b""
+        for piece in pieces(text.encode("utf-8", "surrogatepass"), size):
+            if last[-1:].isspace() and piece.split(None, 1)[:1] == last.rsplit(None, 1)[-1:]:
+                yield np.array([_bucket(np.array([_AGAIN], np.uint32))[0]]), np.array([place])  # a pair that the cut parted
+            last = piece if piece.strip(_BLANKS) else last
+            held.append(piece)
+            owners.append(place)
+            total += len(piece)
+            if total >= size:
+                buckets, own = features(held)
+                yield buckets, np.array(owners)[own]
+                held, owners, total = [], [], 0
+    if held:
+        buckets, own = features(held)
+        yield buckets, np.array(owners)[own]
+
+
+def _bucket(hashed: np.ndarray) -> np.ndarray:
+    hashed = hashed ^ (hashed >> np.uint32(15))
+    hashed = hashed * np.uint32(0x2C1B3C6D)
+    return ((hashed ^ (hashed >> np.uint32(13))) & np.uint32(BUCKETS - 1)).astype(np.int32)
+
+
+def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all features of the texts, and the text that each belongs to."""
-    raw = [b" " + t.encode("utf-8", "surrogatepass") + b" " for t in texts]
+    raw = [b" " + t + b" " for t in texts]
     data = np.frombuffer(b"".join(raw), np.uint8)
     ends = np.cumsum([len(r) for r in raw])
     blank = _BLANK[data]
@@ -51,9 +96,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     buckets, owners = [], []
 
     def keep(hashed: np.ndarray, at: np.ndarray) -> None:
-        hashed = hashed ^ (hashed >> np.uint32(15))
-        hashed = hashed * np.uint32(0x2C1B3C6D)
-        buckets.append(((hashed ^ (hashed >> np.uint32(13))) & np.uint32(BUCKETS - 1)).astype(np.int32))
+        buckets.append(_bucket(hashed))
         owners.append(owner[at])
 
     # Runs that hold no blank but at their ends, and not blanks alone.
@@ -79,7 +122,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words = sums[stop] - sums[first] + (stop - first).astype(np.uint32)
         keep(words, first)
         again = first[1:][(words[1:] == words[:-1]) & (owner[first[1:]] == owner[first[:-1]])]
-        keep(np.full(len(again), 0x5BD1E995, np.uint32), again)
+        keep(np.full(len(again), _AGAIN, np.uint32), again)
     if not buckets:
         return np.empty(0, np.int32), np.empty(0, np.int32)
     return np.concatenate(buckets), np.concatenate(owners)
@@ -99,15 +142,25 @@ class Classifier:
         """Probability of label 1. A text without features has nothing but the bias."""
         kept("quality", dict)  # another operator's memory goes first
         margins = self.margins() if margins is None else margins
-        buckets, owners = features(texts)
-        sums = np.bincount(owners, margins[buckets], len(texts))
-        counts = np.bincount(owners, minlength=len(texts))
+        sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
+        for buckets, owners in feature_parts(texts):
+            sums += np.bincount(owners, margins[buckets], len(texts))
+            counts += np.bincount(owners, minlength=len(texts))
         logit = sums / (counts + PADDING) + float(self.bias[1] - self.bias[0])
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Classifier:
-    """Train by stochastic gradient descent with a falling rate; both labels weigh the same in total."""
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that a whole text has features in, and how many."""
+    times = np.zeros(BUCKETS, np.int64)
+    for buckets, _ in feature_parts([text]):
+        times += np.bincount(buckets, minlength=BUCKETS)
+    used = np.flatnonzero(times)
+    return used, times[used]
+
+
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Classifier:
+    """Train on the texts' bags by stochastic gradient descent with a falling rate; both labels weigh the same in total."""
     labels = np.asarray(labels, np.int64)
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
@@ -118,12 +171,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, rate: float
         bias[:] = np.log(counts + 1.0)
         return Classifier(vectors, output, bias)
     weight = (len(labels) / (2.0 * counts))[labels].astype(np.float32)
-    rows = []
-    for start in range(0, len(texts), 64):
-        buckets, owners = features(texts[start : start + 64])
-        for i in range(min(64, len(texts) - start)):
-            used, times = np.unique(buckets[owners == i], return_counts=True)
-            rows.append((used, (times / (times.sum() + PADDING)).astype(np.float32)))
+    rows = [(used, (times / (times.sum() + PADDING)).astype(np.float32)) for used, times in bags]
     steps, done = epochs * -(-len(rows) // BATCH), 0
     for _ in range(epochs):
         order = rng.permutation(len(rows))
@@ -160,15 +208,15 @@ def train(
     labels: DataFrame,
     label: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
-    sample_chars: int = SAMPLE_CHARS,
     folds: int = 5,
     held_out: int = 0,
 ) -> Classifier:
     """A classifier from labelled rows outside the held-out fold.
 
     Of each label at most ``sample_rows`` rows are learned, those with the
-    smallest hashes, by their first ``sample_chars`` characters. Rows without a
-    label of 0 or 1, or without text, teach nothing.
+    smallest hashes, whole. Of several texts under one id the smallest is learned.
+    Rows without a label of 0 or 1, or without text, teach nothing. Features are made
+    in the tasks; the driver takes their numbers, at most one for each bucket and row.
     """
     marked = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -180,10 +228,19 @@ def train(
     rows = F.broadcast(marked.groupBy("y").count())  # two rows at most
     near = marked.join(rows, "y").where(F.pmod("h", F.lit(unit)) * F.col("count") < F.lit(2.0 * unit * sample_rows))
     # At most four times ``sample_rows`` rows are expected here, whatever the size of the tables.
-    heads = id_and_text(docs).where("text is not null").select("doc_id", F.substring("text", 1, sample_chars).alias("text"))
-    found = heads.join(F.broadcast(near.select("doc_id", "y", "h")), "doc_id").dropDuplicates(["doc_id", "y"])
-    taken = [r for y in (0, 1) for r in found.where(F.col("y") == y).orderBy("h", "doc_id").limit(sample_rows).collect()]
-    return fit([r["text"] for r in taken], np.array([r["y"] for r in taken], np.int64))
+    whole = id_and_text(docs).where("text is not null").join(F.broadcast(near.select("doc_id", "y", "h")), "doc_id")
+    single = whole.groupBy("doc_id", "y", "h").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("y").orderBy("h", "doc_id")
+    chosen = single.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_rows)
+
+    def bags(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [bag(t) for t in batch.column("text").to_pylist()]
+        columns = [pa.array([x.astype("<u4").tobytes() for x in part], pa.binary()) for part in zip(*found, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("y"), batch.column("place"), *columns], ["y", "place", "used", "times"])
+
+    made = map_texts(chosen.select("y", "place", "text"), bags, "y int, place int, used binary, times binary", limit=SLICE)
+    taken = sorted(made.collect(), key=lambda r: (r["y"], r["place"]))
+    return fit([tuple(np.frombuffer(r[c], "<u4").astype(np.int64) for c in ("used", "times")) for r in taken], np.array([r["y"] for r in taken], np.int64))
 
 
 def classify(docs: DataFrame, model: Classifier, threshold: float = THRESHOLD, folds: int = 5, held_out: int = 0) -> DataFrame:

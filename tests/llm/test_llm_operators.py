@@ -192,11 +192,105 @@ def test_quality_learns_subwords():
     good = [" ".join(word("") for _ in range(60)) for _ in range(150)]
     bad = [" ".join(word("###") for _ in range(60)) for _ in range(150)] + [" ".join([word("")] * 60) for _ in range(150)]
     texts, labels = good[:100] + bad[:100] + bad[150:250], np.array([1] * 100 + [0] * 200)
-    model = subword_classifier.fit(texts, labels)
+    model = subword_classifier.fit([subword_classifier.bag(t) for t in texts], labels)
     assert (model.score(good[100:]) > 0.5).all() and (model.score(bad[100:150] + bad[250:]) < 0.5).all()
     assert np.allclose(model.score(good[:3] + [""] + bad[:2])[[0, 1, 2, 4, 5]], np.concatenate([model.score([t]) for t in good[:3] + bad[:2]]))
 
 
+def plain_features(text):
+    """Counts of buckets by a loop over words and n-grams."""
+    mask, found, before = (1 << 32) - 1, Counter(), None
+
+    def bucket(h):
+        h = (h ^ (h >> 15)) * 0x2C1B3C6D & mask
+        return (h ^ (h >> 13)) & (subword_classifier.BUCKETS - 1)
+
+    for word in re.split(rb"[ \t\n\x0b\x0c\r]+", text.encode()):
+        if not word:
+            continue
+        padded = b" " + word + b" "
+        for n in subword_classifier.NGRAMS:
+            for gram in (padded[i : i + n] for i in range(len(padded) - n + 1)):
+                if not (gram[:1] == gram[-1:] == b" "):
+                    h = 0x811C9DC5 + n
+                    for b in gram:
+                        h = (h ^ b) * 0x01000193 & mask
+                    found[bucket(h)] += 1
+        found[bucket((sum((b + 1) * pow(0x9E3779B1, k + 1, 1 << 32) for k, b in enumerate(word)) + len(word)) & mask)] += 1
+        if word == before:
+            found[bucket(0x5BD1E995)] += 1
+        before = word
+    return found
+
+
+def test_features_are_those_of_a_plain_loop(monkeypatch):
+    rnd = random.Random(8)
+    words = ["a", "ab", "abc", "Wörter", "x" * 30, "中文", "b", "b"]
+    texts = ["", " ", "a", "a a a", "\t\nab  ab\n"] + [rnd.choice(["", " "]).join(w + rnd.choice([" ", "\n", "  "]) for w in rnd.choices(words, k=rnd.randrange(60))) for _ in range(40)]
+    for piece in (1 << 18, 64, 40):
+        for text in texts:
+            counts = Counter()
+            for buckets, owners in subword_classifier.feature_parts([text], piece):
+                counts.update(buckets.tolist())
+                assert not owners.any()
+            assert counts == plain_features(text), (piece, text)
+    every = Counter()
+    for buckets, owners in subword_classifier.feature_parts(texts, 500):
+        every.update(zip(owners.tolist(), buckets.tolist()))
+    assert every == Counter({(i, b): n for i, t in enumerate(texts) for b, n in plain_features(t).items()})
+
+
+def test_training_steps_follow_the_gradient():
+    rnd = np.random.default_rng(3)
+    bags = [(np.unique(rnd.integers(0, 40, 12)),) for _ in range(9)]
+    bags = [(used, rnd.integers(1, 4, len(used))) for (used,) in bags]
+    labels = np.array([0, 1, 1, 0, 1, 1, 0, 1, 1])
+    found = subword_classifier.fit(bags, labels, epochs=3, rate=0.3, seed=5)
+    size, width = subword_classifier.BUCKETS, subword_classifier.DIMENSIONS
+    vectors = np.random.default_rng(5).uniform(-1, 1, (size, width)).astype(np.float32)[:40].astype(float) / width
+    output, bias = np.zeros((width, 2)), np.zeros(2)
+    average = np.zeros((len(bags), 40))
+    for i, (used, times) in enumerate(bags):
+        average[i, used] = times / (times.sum() + subword_classifier.PADDING)
+    weight = (len(labels) / (2.0 * np.bincount(labels)))[labels]
+
+    def loss(v, o, b):
+        logits = average @ v @ o + b
+        return float((weight * (np.log(np.exp(logits).sum(1)) - logits[np.arange(len(labels)), labels])).sum())
+
+    def slope(at, of):
+        out = np.zeros_like(at)
+        for i in np.ndindex(at.shape):
+            step = np.zeros_like(at)
+            step[i] = 1e-6
+            out[i] = (of(at + step) - of(at - step)) / 2e-6
+        return out
+
+    for epoch in range(3):
+        lr = 0.3 * (1 - epoch / 3)
+        steps = slope(output, lambda o: loss(vectors, o, bias)), slope(bias, lambda b: loss(vectors, output, b)), slope(vectors, lambda v: loss(v, output, bias))
+        output, bias = output - lr * steps[0], bias - lr * 0.1 * steps[1]
+        # The vectors' step goes along the output as it is after its own step.
+        logits = average @ vectors @ (output + lr * steps[0]) + bias + lr * 0.1 * steps[1]
+        p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+        p[np.arange(len(labels)), labels] -= 1
+        vectors = vectors - lr * 20 * average.T @ ((p * weight[:, None]) @ (output + lr * steps[0]).T)
+        assert np.allclose(average.T @ ((p * weight[:, None]) @ (output + lr * steps[0]).T), steps[2], atol=1e-5)
+    assert np.allclose(found.output, output, atol=1e-4) and np.allclose(found.bias, bias, atol=1e-4) and np.allclose(found.vectors[:40], vectors, atol=1e-4)
+
+
+def test_a_very_long_text_is_scored_in_little_memory():
+    import tracemalloc
+
+    model = subword_classifier.fit([subword_classifier.bag(t) for t in ("good words here", "bad### stuff###")], np.array([1, 0]))
+    text = "some words of a very long text " * 300_000
+    tracemalloc.start()
+    whole = model.score([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < whole[0] < 1 and peak < 120e6
+
+
 def test_quality_of_odd_rows(spark, edge, nothing):
     labels = spark.createDataFrame([(4, 1, "x"), (6, 0, "y"), (7, None, "z"), (None, 1, "z"), (4, 1, "x")], "doc_id int, quality int, text string")
     model = subword_classifier.train(edge, labels)
