@@ -25,7 +25,9 @@ from pageloom.llm.texts import fold, id_and_text, kept, map_texts
 SEGMENT = 1024
 #: Bounds of the labelled sample: documents for each language, and symbols that they contribute.
 SAMPLE_DOCS = 400
-SAMPLE_SYMBOLS = 25_000
+SAMPLE_SYMBOLS = 40_000
+#: Languages learned: those with most labelled documents. A label column with more values is no column of languages.
+MOST_LANGUAGES = 300
 #: Letters that are one symbol, and digits that the number of any other letter of the sample is written in.
 SYMBOLS, DIGITS = 60, 32
 UNDETERMINED = "und"
@@ -202,7 +204,7 @@ def phrase_counts(texts: list[np.ndarray], model: Model) -> np.ndarray:
 
 
 def build(samples: dict[str, list[str]], limit: int = SAMPLE_SYMBOLS) -> Model:
-    """A model from texts by language, at most ``limit`` symbols of each."""
+    """A model from texts by language, about ``limit`` symbols of each, as evenly from its texts as their lengths allow."""
     seen: Counter[int] = Counter()
     known = letters()
     for texts in samples.values():
@@ -212,13 +214,10 @@ def build(samples: dict[str, list[str]], limit: int = SAMPLE_SYMBOLS) -> Model:
     ranked = sorted(seen, key=lambda p: (-seen[p], p))
     model = Model({p: _OTHER + 1 + i for i, p in enumerate(ranked[:SYMBOLS])}, {}, rare=ranked[SYMBOLS:])
     for language, texts in samples.items():
-        parts: list[np.ndarray] = []
-        held = 0
-        for text in texts:
-            found = model.symbols(text)[: max(0, limit - held)]
-            parts += [found, np.zeros(1, np.uint8)]
-            held += len(found)
-        if held:
+        found = [model.symbols(text) for text in texts]
+        share = window([len(f) for f in found], limit)  # of each text, so that every one is learned from
+        parts = [part for f in found for part in (f[:share], np.zeros(1, np.uint8))]
+        if any(map(len, found)):
             model.texts[language] = np.concatenate(parts)
     return model
 
@@ -231,14 +230,16 @@ def train(
     Every language gives at most ``sample_docs`` distinct texts, those with the
     smallest hashes, and of each a window at a place that its hash names. Windows
     are so long that they hold ``2 * sample_symbols`` characters together, or are
-    the whole texts.
+    the whole texts. Beyond ``MOST_LANGUAGES`` labels only those with the most
+    documents are learned (ties: the first by name), which bounds the model.
     """
     labelled = id_and_text(docs, "doc_id", "text", F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held_out)
     )
     unit = 1 << 30
     hashed = labelled.select("lang", F.xxhash64("text").alias("h"), "text")
-    rows = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("count"))
+    rows = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("count"), F.count("*").alias("documents"))
+    rows = rows.orderBy(F.desc("documents"), "lang").limit(MOST_LANGUAGES).drop("documents")
     near = hashed.join(F.broadcast(rows), "lang").where(F.pmod("h", F.lit(unit)) * F.col("count") < F.lit(2.0 * unit * sample_docs))
     facts = F.struct(F.pmod("h", F.lit(unit)).alias("place"), "h", F.length("text").cast("bigint").alias("n"))
     listed = near.select("lang", facts.alias("fact")).distinct().groupBy("lang")

@@ -790,6 +790,20 @@ def test_languages_beyond_the_common_letters():
     assert model.automata()[2] < 256
 
 
+def test_every_sampled_text_is_learned_from():
+    texts = [("abcdefgh"[i % 8] + "xyz") * 30 for i in range(50)] + ["long " * 900]
+    model = cross_parsing.build({"en": texts}, 2_000)
+    parts = [p for p in "".join(map(chr, model.texts["en"])).split("\0") if p]
+    assert len(parts) == 51 and 2_000 <= sum(map(len, parts)) < 2_100 and min(map(len, parts)) == max(map(len, parts))
+
+
+def test_many_labels_do_not_grow_the_model(spark, monkeypatch):
+    monkeypatch.setattr(cross_parsing, "MOST_LANGUAGES", 3)
+    rows = [(i, f"text number {i} of some length", f"l{i % 20:02d}" if i < 100 else "en") for i in range(200)]
+    model = cross_parsing.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 3 and "en" in model.languages
+
+
 # --- 10 ------------------------------------------------------------------------------
 
 
