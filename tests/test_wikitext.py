@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,27 @@ def test_extraction(spark, expression, text, expected):
 @pytest.mark.parametrize("text,count", [("[[a]] [[b]]", 2), ("", 0), ("none", 0), ("[[", 1), (None, 0)])
 def test_split_count(spark, text, count):
     assert apply(spark, text, lambda t: wikitext.split_count(t, wikitext.LINK_MARKUP)) == count
+
+
+def test_steps_are_guarded_and_change_nothing(spark):
+    parts = [" ", "  ", "\t", "\n", "\r", "\r\n", "\u0085", "\u2028", "\x0b", "a", "b c", "|", "{|", "|-", "{{", "}}", "[[", "]]", "[http://x.y", "https://q z"]
+    parts += ["<ref>", "</ref>", "<ref/>", "<br/>", "<Style a>", "</style>", "<", ">", "=", "''", "*", "#", "[[File:", " " * 9, "\n \n", " \n\n "]
+    rng = random.Random(5)
+    texts = [("".join(rng.choices(parts, k=rng.randint(0, 25))),) for _ in range(1500)] + [(None,)]
+    df = spark.createDataFrame(texts, "t string")
+    for compat in (False, True):
+        plain = F.coalesce("t", F.lit(""))
+        for step in wikitext.cleaning_steps(compat):
+            plain = F.regexp_replace(plain, *step)
+        cleaned = wikitext.clean_wikitext(F.col("t"), compat)
+        assert df.where(~plain.eqNullSafe(cleaned)).isEmpty()
+        plan = df.select(cleaned.alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+        # Every pattern stands under a test of the text.
+        assert plan.count("THEN regexp_replace(") == plan.count("regexp_replace(")
+
+
+def test_nested_cleaning_computes_each_step_once(spark):
+    df = spark.createDataFrame([("{{a {{b}} c}} [[File:x|[[y]] ]] z",)], "t string").select(wikitext.clean_nested(F.col("t")).alias("c"))
+    assert df.first().c == "z"
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("<noinclude") == 1
