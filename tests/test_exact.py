@@ -101,3 +101,21 @@ def test_the_pruned_vocabulary_is_the_same(spark, sf_dir):
     assert plain_.words == pruned.words and plain_.n_docs == pruned.n_docs
     assert sorted(map(tuple, plain_.terms.collect())) == sorted(map(tuple, pruned.terms.collect()))
     assert features.build_vocabulary(docs, min_df=0.01, sketch_buckets=64).words == features.build_vocabulary(docs, min_df=0.01).words
+
+
+def test_terms_are_counted_by_runs_of_documents(spark, monkeypatch):
+    texts = [("abc def,abc,def",), ("",), (None,), ("abc def ghi,jkl mno,abc,def ghi",), ("the",), ("zebra",), ("zebra,zebra,zebra,zebra",)]
+    docs = spark.createDataFrame(texts, "text string").coalesce(1)
+    for at_once in (1, 3, 2_000_000):
+        monkeypatch.setattr(features, "TOKENS_AT_ONCE", at_once)
+        for separator in (",", "[^a-z]+"):  # with a comma a token can look like a bigram
+            terms = features.term_arrays(docs, separator=separator).where("terms IS NOT NULL").select("terms")
+            total = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("total_count"))
+            seen = terms.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("doc_freq"))
+            expected = {tuple(row) for row in total.join(seen, "term").collect()} | {(None, 0, 6)}
+            assert {tuple(row) for row in features.term_statistics(docs, separator).collect()} == expected
+        counts = features.partial_term_counts(docs.limit(4), ",").where("term IS NOT NULL")
+    # One row of each term and run, not one of each occurrence.
+    assert counts.count() == counts.select("term").distinct().count()
+    keep = sketches.frequent_enough(counts, "term", 2, 1 << 12, counts="doc_freq")
+    assert {row.term for row in counts.where(keep(F.col("term"))).collect()} == {row.term for row in counts.where("doc_freq >= 2").collect()}
