@@ -143,3 +143,22 @@ def test_unicode_tokens(spark):
     docs = spark.createDataFrame([(1, "t", "élan élan города")], "id int, title string, text string")
     found = features.term_arrays(docs, [], tk.UNICODE_LETTERS).first()
     assert found.tokens == ["élan", "élan", "города"]
+
+
+def test_clusters_train_on_their_own_number_of_partitions(spark, space, monkeypatch):
+    seen = []
+
+    class Watched(models.BisectingKMeans):
+        def fit(self, dataset):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset)
+
+    monkeypatch.setattr(models, "BisectingKMeans", Watched)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        models.train_clusters(space, k=K, max_iter=1, partitions=5)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen == [5]
