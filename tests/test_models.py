@@ -145,6 +145,52 @@ def test_unicode_tokens(spark):
     assert found.tokens == ["élan", "élan", "города"]
 
 
+ODD_TEXTS = [
+    "İstanbul élan Kelvin abc\x00def UPPER the of ab zz zzz abc abc", "", "a bc", "x" * 50, "über alles über ALLES alles", "ΣΑΣ abc abc the abc def",
+    None, "abc", "abc def", "def", " abc  def\nabc\tdef ", "日本abc日本def",
+]
+
+
+def test_words_split_over_many_texts_equal_the_text_stages(spark, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import CountVectorizerModel
+
+    docs = spark.createDataFrame([(i, "t", text) for i, text in enumerate(ODD_TEXTS)], "id long, title string, text string").coalesce(1)
+    texts = docs.where("text is not null")
+    terms = features.term_arrays(texts).select("id", F.explode("terms").alias("term"))
+    expected = {r.term: (r.n, r.df) for r in terms.groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("id").alias("df")).collect()}
+    words = sorted(expected, reverse=True)[1:]
+    stages = [*features.text_stages(), CountVectorizerModel.from_vocabulary(words, inputCol="terms", outputCol="tf")]
+    vectors = {r.id: r.tf for r in PipelineModel(stages).transform(texts).collect()}
+    for at_once in (8_000_000, 16, 1):
+        monkeypatch.setattr(features, "BYTES_AT_ONCE", at_once)
+        found = {r.term: (r.total_count, r.doc_freq) for r in features.term_statistics(docs).collect()}
+        assert found.pop(None)[1] == len(ODD_TEXTS) - 1 and found == expected
+        assert {r.id: r.tf for r in features.count_vectors(texts, words).collect()} == vectors
+
+
+def test_saved_text_stages_are_told_from_others(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import CountVectorizerModel
+
+    texts = [(i, "t", text) for i, text in enumerate(ODD_TEXTS) if text is not None]
+    docs = spark.createDataFrame(texts, "id long, title string, text string")
+    for name, stages, own in (
+        ("own", features.text_stages(), True),
+        ("stop", features.text_stages(["ABC"]), True),
+        ("long", features.text_stages(min_length=1), True),
+        ("unicode", features.text_stages(separator=r"[^\p{L}]+"), True),
+        ("cased", [features.text_stages()[0].copy().setToLowercase(False), *features.text_stages()[1:]], False),
+    ):
+        words = ["abc", "abc abc", "def", "alles", "über", "bc"]
+        model = PipelineModel([*stages, CountVectorizerModel.from_vocabulary(words, inputCol="terms", outputCol="tf")])
+        write_model(model, f"{tmp_path}/{name}")
+        saved = models.load_model(f"{tmp_path}/{name}")
+        assert models._own_text_stages(saved.stages) is own
+        scored = {r.id: r.tf for r in models.score(docs, f"{tmp_path}/{name}").collect()}
+        assert scored == {r.id: r.tf for r in model.transform(docs).collect()}
+
+
 def test_clusters_train_on_their_own_number_of_partitions(spark, space, monkeypatch):
     seen = []
 
