@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import random
 import re
 import zlib
@@ -119,6 +120,18 @@ def test_chunks_give_the_library_s_ids(path, texts):
             assert all(p.tolist() == library.encode(t, add_special_tokens=False).ids for p, t in zip(parts, batch, strict=True))
 
 
+def test_chunks_of_a_large_vocabulary_are_encoded_once():
+    own, asked = chunk_ids.ChunkEncoder(BYTE_BPE), []
+    library = own._library
+    own._library = lambda texts: asked.append(len(texts)) or library(texts)
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)}x" for i in range(400_000)]
+    batches = [[" ".join(words[i : i + 1000])] for i in range(0, len(words), 1000)]
+    first = [own.encode(batch)[0].tolist() for batch in batches]
+    asked.clear()
+    assert [own.encode(batch)[0].tolist() for batch in batches[:20]] == first[:20] and not asked
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
 def test_token_files(spark, sf_dir, texts):
     library = Tokenizer.from_file(BYTE_BPE)
     found = {r.doc_id: r for r in QUERIES["op1_token_files"](spark, sf_dir).collect()}
