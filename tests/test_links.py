@@ -78,6 +78,24 @@ def test_grouped_links_are_the_expanded_ones(spark, rows_per_split):
     assert all(abs(r.pagerank - expected[r.id]) < 1e-9 for r in ranks)
 
 
+def test_written_out_edges_are_dealt_over_tasks(spark, monkeypatch):
+    """Few links and pages make many edges, so the tasks don't follow from the little that is shuffled."""
+    monkeypatch.setattr(factored, "PAGES_PER_BLOCK", 64, raising=False)
+    n = 300
+    links = [(i, 1, 1 + i % 3, "link") for i in range(n)] + [(0, 1, 1, "link"), (None, 1, 1, "link"), (5, None, 1, "link"), (7, 9, 1, "link"), (8, 2, 4, "x")]
+    nodes = [(i, 1) for i in range(n)] + [(3, 1), (None, 1), (1_000, 2), (1_001, None)]
+    expected = Counter((s, d, w, kind) for s, g, w, kind in links for d, h in nodes if None not in (s, d, g, h) and g == h and s != d)
+    links = durable(spark.createDataFrame(links, "src_id long, group_id long, weight long, edge_type string").coalesce(1), "links")
+    nodes = durable(spark.createDataFrame(nodes, "id long, group_id long").coalesce(1), "nodes")
+    out = factored.expanded(links, nodes, 2_000)
+    assert out.columns == ["src_id", "dst_id", "weight", "edge_type"]
+    found = out.withColumn("task", F.spark_partition_id()).collect()
+    assert Counter((r.src_id, r.dst_id, r.weight, r.edge_type) for r in found) == expected
+    tasks = Counter(r.task for r in found)
+    assert len(tasks) >= 8 and max(tasks.values()) < len(found) / 4
+    assert factored.expanded(links.limit(0), nodes).isEmpty() and factored.expanded(links, nodes.limit(0)).isEmpty()
+
+
 def test_a_title_of_very_many_pages_costs_a_sum(spark):
     """2,000 pages share a title that 2,000 pages link to, themselves among them: 4 million edges written out."""
     n = 2_000
