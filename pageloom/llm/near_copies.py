@@ -25,9 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.components import components
-from pageloom.llm.texts import WordHashes, id_and_text, kept, map_texts, mix, slices, words_of
+from pageloom.llm.texts import WordHashes, id_and_text, kept, map_texts, mix, slices, words_of, written
 from pageloom.operators.skew import broadcast_if_small, join_split
-from pageloom.storage import durable
 
 SHINGLE = 5
 PERCENT = 80
@@ -124,9 +123,9 @@ def candidates(nodes: DataFrame) -> DataFrame:
     A key that very many nodes share is one row of each task while its least node is
     sought; the join back is split by the rows it makes.
     """
-    keyed = durable(nodes.select("node", F.explode("keys").alias("key")), "band_keys")
+    keyed = written(nodes.select("node", F.explode("keys").alias("key")), "band_keys")
     shared = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    found = join_split(keyed, durable(shared.select("key", "least"), "shared_keys"), "key", F.col("node"), KEY_ROWS)
+    found = join_split(keyed, written(shared.select("key", "least"), "shared_keys"), "key", F.col("node"), KEY_ROWS)
     return found.where("node <> least").select("node", "least").distinct()
 
 
@@ -218,11 +217,11 @@ def judged(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     """``doc_id, row_key, n_shingles, root`` of each row; rows of one component share ``root``, which is null for rows linked with nothing."""
     if not 80 <= percent <= 100:
         raise ValueError("the bands are laid out for similarities of 0.8 and more")
-    table = durable(signed(docs, shingle), "signed")
-    nodes = durable(nodes_of(table), "nodes")
-    gathered = durable(components(candidates(nodes), "node", "least"), "gathered")
+    table = written(signed(docs, shingle), "signed")
+    nodes = written(nodes_of(table), "nodes")
+    gathered = written(components(candidates(nodes), "node", "least"), "gathered")
     members = gathered.withColumnRenamed("root", "gathering").join(nodes.select("node", "doc_id"), "node")
-    links = durable(components(confirmed(docs, durable(members, "members"), shingle, percent), "a", "b"), "rooted")
+    links = written(components(confirmed(docs, written(members, "members"), shingle, percent), "a", "b"), "rooted")
     plain = table.select("doc_id", "row_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     # Nodes that are linked with another: a node of very many copies is split by the join or not joined at all.
     return plain.join(broadcast_if_small(links), "node", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("root", "node").alias("root"))
@@ -230,8 +229,8 @@ def judged(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every document; the least id of a component is kept."""
-    rows = durable(judged(docs, shingle, percent), "judged")
-    least = durable(rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")), "least")
+    rows = written(judged(docs, shingle, percent), "judged")
+    least = written(rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")), "least")
     # A component of one row is its own; only the others are told their least id.
     several = least.where("rows > 1").select("root", "component_id")
     told = rows.join(broadcast_if_small(several), "root", "left")
@@ -245,13 +244,13 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     Rows without words and rows without an id all stay, as they are linked with
     nothing. A row that repeats as a whole stays once, if its component stays with it.
     """
-    rows = durable(judged(docs, shingle, percent), "judged").where("root is not null")
+    rows = written(judged(docs, shingle, percent), "judged").where("root is not null")
     row = F.struct("doc_id", "row_key")
-    groups = durable(rows.groupBy("root").agg(F.min(row).alias("stays"), F.count("*").alias("rows")).where("rows > 1"), "groups")
+    groups = written(rows.groupBy("root").agg(F.min(row).alias("stays"), F.count("*").alias("rows")).where("rows > 1"), "groups")
     seen = rows.select("root", row.alias("row")).distinct()
     gone = seen.join(broadcast_if_small(groups), "root").where(F.col("row") != F.col("stays"))
-    gone = durable(gone.select(F.col("row.doc_id").alias("gone_id"), F.col("row.row_key").alias("gone_key")), "gone")
-    again = durable(rows.groupBy("doc_id", "row_key").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias("again_id"), F.col("row_key").alias("again_key")), "again")
+    gone = written(gone.select(F.col("row.doc_id").alias("gone_id"), F.col("row.row_key").alias("gone_key")), "gone")
+    again = written(rows.groupBy("doc_id", "row_key").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias("again_id"), F.col("row_key").alias("again_key")), "again")
 
     keyed = docs.withColumn(KEY, row_key())
     own = F.col("doc_id").cast("bigint")

@@ -733,6 +733,38 @@ def test_components(spark):
     assert components.components(frame.limit(0), "a", "b").isEmpty()
 
 
+@pytest.mark.parametrize(("most", "join"), [(100_000, "BroadcastHashJoin"), (0, "SortMergeJoin")])
+def test_few_edges_are_joined_without_a_shuffle(spark, monkeypatch, most, join):
+    pairs = [(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 130)]
+    plans = []
+
+    def noted(df, name):
+        plans.extend([df._jdf.queryExecution().executedPlan().toString()] if name == "stars" else [])
+        return durable(df, name)
+
+    monkeypatch.setattr(components, "written", noted)
+    monkeypatch.setattr(components, "MAX_BROADCAST_ROWS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = components.components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(found) == [(i, 10) for i in range(10, 41)] + [(i, 100) for i in range(100, 130)]
+    assert plans and all(set(re.findall(r"BroadcastHashJoin|SortMergeJoin", p)) == {join} for p in plans)
+
+
+def test_near_copies_leave_no_garbage_to_the_driver(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+
+    def full_collections():
+        return sum(b.getCollectionCount() for b in beans if b.getName() in ("G1 Old Generation", "MarkSweepCompact", "PS MarkSweep"))
+
+    before = full_collections()
+    left = near_copies.representatives(spark.createDataFrame([(2, LONG), (1, LONG), (3, "other words")], "doc_id long, text string"))
+    assert full_collections() - before >= 10  # one for each table that it writes
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3]
+
+
 # --- 9 -------------------------------------------------------------------------------
 
 
