@@ -118,6 +118,23 @@ def test_a_failed_run_leaves_the_old_set_and_is_taken_up_again(spark, dump, page
     assert not (tmp_path / "published/versions" / first.split("/")[-1]).exists()
 
 
+def test_the_full_job_trains_and_ranks_in_full(spark, tmp_path, monkeypatch):
+    """The registered job gives its stages no fewer rounds and no smaller reports than they have by themselves."""
+    from pageloom.operators import models, pagerank
+    from pageloom.plans import queries
+
+    rows = [(i, f"alpha beta w{i}", "en", "web") for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    given = {}
+    monkeypatch.setattr(pipeline, "corpus_stats", lambda pages, out, *args: given.update(pages=pages.count(), stats=args))
+    monkeypatch.setattr(pipeline, "nlp", lambda pages, k, out, *args: given.update(nlp=(k, *args)))
+    ranked = dict.fromkeys(("counts", "pagerank", "top_pages", "top_categories"), spark.range(1))
+    monkeypatch.setattr(pipeline, "page_graph", lambda pages, out, *args: given.update(graph=args) or ranked)
+    monkeypatch.setattr(queries, "_read_back", lambda spark, folder, tables: folder)
+    queries.full_job(spark, str(tmp_path))
+    assert given == {"pages": 30, "stats": (25,), "nlp": (10, models.MAX_ITER, pipeline.tk.LETTERS_ONLY), "graph": (pagerank.MAX_ITER, 10)}
+
+
 def test_single_file_csv(spark, pages, tmp_path):
     out = tmp_path / "out"
     pipeline.page_graph(pages, str(out), max_iter=1, single_file=True)
