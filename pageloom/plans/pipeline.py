@@ -12,7 +12,7 @@ from pageloom.operators import articles, features, graph, models, pagerank, stat
 from pageloom.sinks.published import Version, fingerprint
 from pageloom.sinks.tables import move_folder, under, write_csv, write_model, write_tables
 from pageloom.sources.mediawiki import parse_pages, read_pages, rejected_pages, write_ingested
-from pageloom.storage import durable
+from pageloom.storage import DENSE, durable
 
 
 def ingest(spark: SparkSession, path: str, out: str | None = None, bad_records: str = "keep") -> DataFrame:
@@ -23,7 +23,7 @@ def ingest(spark: SparkSession, path: str, out: str | None = None, bad_records:
     ``rejected_pages`` (of which ``record`` is the column that is filled).
     """
     if out is None:
-        return durable(parse_pages(read_pages(spark, path, bad_records)), "pages")
+        return durable(parse_pages(read_pages(spark, path, bad_records)), "pages", codec=DENSE)
     if bad_records == "fail":
         pages = parse_pages(read_pages(spark, path, bad_records))
         write_tables({"pages": pages, "rejected_pages": rejected_pages(spark, path).limit(0)}, out)

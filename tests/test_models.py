@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import time
+from dataclasses import replace
 
 import pytest
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
+from pageloom import storage
 from pageloom.operators import articles, features, models
 from pageloom.sinks.tables import write_model
 
@@ -54,6 +57,27 @@ def test_features_have_unit_length(space):
     assert norms.where(F.abs(F.col("norm") - 1) > 1e-9).isEmpty()
 
 
+def test_training_shuffles_its_layout_once(spark, space):
+    """The fit passes over its input three times before it keeps it; the rows are dealt out for the first time only."""
+    seen = spark.sparkContext.accumulator(0)
+    passed = F.udf(lambda _: seen.add(1) or True, "boolean")
+    models.train_clusters(replace(space, features=space.features.where(passed("id"))), k=2, max_iter=1)
+    assert seen.value == space.docs.count()
+    assert all(file.endswith(".zstd.parquet") for table in (space.counts, space.features) for file in table.inputFiles())
+
+
+def test_shuffles_of_a_long_call_are_dropped_within_it(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffles = lambda: {name for name in str(disk.getAllFiles().mkString("|")).split("|") if "/shuffle_" in name}
+    before = shuffles()
+    spark.range(1_000).repartition(3, "id").groupBy("id").count().collect()
+    made, until = shuffles() - before, time.monotonic() + 30
+    with storage.swept(spark, 0.2):
+        while made & shuffles() and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not made & shuffles()
+
+
 def test_clusters(spark, space, clusters):
     model, assigned = clusters
     assert assigned.count() == space.docs.count() == assigned.select("id").distinct().count()
